@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import media, mixing
+from ebbtide.llm import media, mixing, sketches
 
-_MODULES = (media, mixing)
+_MODULES = (media, mixing, sketches)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
