@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import media, mixing, secrets, sketches
+from ebbtide.llm import media, mixing, pii, secrets, sketches
 
-_MODULES = (media, mixing, secrets, sketches)
+_MODULES = (media, mixing, pii, secrets, sketches)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
