@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import media, mixing, pii, secrets, sketches, warc
+from ebbtide.llm import bpe, media, mixing, pii, secrets, sketches, warc
 
-_MODULES = (media, mixing, pii, secrets, sketches, warc)
+_MODULES = (bpe, media, mixing, pii, secrets, sketches, warc)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
