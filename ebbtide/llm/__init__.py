@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import bpe, media, mixing, pii, secrets, sketches, toxicity, warc
+from ebbtide.llm import bpe, media, minhash, mixing, pii, secrets, sketches, toxicity, warc
 
-_MODULES = (bpe, media, mixing, pii, secrets, sketches, toxicity, warc)
+_MODULES = (bpe, media, minhash, mixing, pii, secrets, sketches, toxicity, warc)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
