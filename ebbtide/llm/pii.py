@@ -42,7 +42,7 @@ TITLES = {"f": "Mrs|Ms|Frau|Mme|Señora", "m": "Mr|Herr|Monsieur|Señor"}
 
 _NAMES = "|".join(n for names in GIVEN.values() for n in names.split())
 _CAP = r"\p{Lu}[\p{L}'’-]+"
-EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 IPV4 = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)"
 IBAN = r"(?<![A-Z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Z0-9])"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
@@ -50,9 +50,17 @@ CARD = r"(?<![\d.+-])\d(?:[ -]?\d){12,18}(?![\d-])"
 PHONE = r"(?<![\d.])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\d.])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)|(?<![\d.-])(?:\d{3}[ .-])?\d{3}-\d{4}(?![\d-])"
 PERSON = rf"(?<!\p{{L}})(?:(?:{'|'.join(TITLES.values())})\.? {_CAP}(?: {_CAP})?|(?:{_NAMES}) {_CAP})(?!\p{{L}})"
 TYPES = {"email": EMAIL, "ipv4": IPV4, "iban": IBAN, "ssn": SSN, "card": CARD, "phone": PHONE, "person": PERSON}
-PATTERN = "|".join(f"(?:{p})" for p in TYPES.values())
+# Looking ahead at one character first keeps the search from trying every pattern everywhere.
+PATTERN = rf"{EMAIL}|(?=[\d+(])(?:{IPV4}|{SSN}|{CARD}|{PHONE})|(?=\p{{Lu}})(?:{IBAN}|{PERSON})"
+_NAME_WORDS = [*_NAMES.split("|"), *"|".join(TITLES.values()).split("|")]
+_NAMED = "[A-ZΑ-ΩА-Я](?:" + "|".join(f"(?<={c})(?:{'|'.join(w[1:] for w in _NAME_WORDS if w[0] == c)})" for c in sorted({w[0] for w in _NAME_WORDS})) + ")"
 
 
+def maybe(text: Column) -> Column:
+    """A cheap test that every text with an entity passes: a sign, a digit, or a known name or
+    title (a capital first, as most characters are none)."""
+    return text.contains("@") | text.rlike("[0-9]") | text.rlike(_NAMED)
+
 
 def type_of(raw: Column) -> Column:
     out = F.lit("person")
@@ -189,9 +197,9 @@ def with_surrogates(df: DataFrame, column: str = "text", id_column: str = "doc_i
     """Replace entities in a text column; adds ``n_entities`` and ``entities`` (kind:start:end,
     in code points of the text as it was)."""
     docs = df.withColumn(column, text_of(column))
-    has = F.col(column).rlike(PATTERN)
+    has = maybe(F.col(column)) & F.col(column).rlike(PATTERN)
     clean = docs.where(~has).withColumns({"n_entities": F.lit(0).cast("long"), "entities": F.lit("")})
-    hit = docs.where(has)
+    hit = written(docs.where(has))
     keys = {"_id": F.col(id_column), "_tie": F.xxhash64(column)}
     found = hit.select(*[v.alias(k) for k, v in keys.items()], F.posexplode(F.regexp_extract_all(F.col(column), F.lit(PATTERN), F.lit(0))).alias("_at", "raw")).distinct()
     found = found.withColumn("kind", type_of(F.col("raw")))
