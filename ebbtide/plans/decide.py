@@ -1,0 +1,151 @@
+"""From wide rows to routed decisions: clean, recall, risk, and the model stages in between.
+
+The model is any object with ``complete(task, payload) -> str``; it is called inside
+``mapInPandas``, once a row, and only for rows with recall.  A failed call is an error of its
+row, never of the job.  Everything else is native expressions in one narrow stage.
+"""
+
+from __future__ import annotations
+
+import time
+from collections import deque
+from collections.abc import Callable, Iterator
+from typing import Protocol
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from ebbtide.functions import modeljson as mj
+from ebbtide.functions.recall import DEFAULT_LEXICON, recall
+from ebbtide.functions.risk import KEYWORDS, risk
+from ebbtide.functions.text import denoised, flat_calls, flat_chat, none_as_empty
+from ebbtide.functions.times import contradicts, mixed_offsets
+
+
+class Client(Protocol):
+    def complete(self, task: str, payload: str) -> str: ...
+
+
+class FakeClient:
+    """Fixed replies by task, for tests; a reply that is an exception is raised."""
+
+    def __init__(self, replies: dict[str, str | Exception]) -> None:
+        self.replies = replies
+
+    def complete(self, task: str, payload: str) -> str:
+        reply = self.replies[task]
+        if isinstance(reply, Exception):
+            raise reply
+        return reply
+
+
+class Limiter:
+    """At most ``calls`` in any minute, for one task; the job's limit is shared among partitions."""
+
+    def __init__(self, calls: int, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep) -> None:
+        self.calls, self.clock, self.sleep, self.times = max(1, calls), clock, sleep, deque()
+
+    def wait(self) -> None:
+        now = self.clock()
+        while self.times and now - self.times[0] >= 60:
+            self.times.popleft()
+        if len(self.times) >= self.calls:
+            self.sleep(max(0.0, 60 - (now - self.times[0])))
+            self.times.popleft()
+        self.times.append(self.clock())
+
+
+def cleaned(wide: DataFrame) -> DataFrame:
+    """The texts cleaned, the raw row kept beside them; job_detail stays as it is."""
+    raw = F.struct(*[F.col(c) for c in wide.columns]).alias("raw_wide_row")
+    return wide.select("*", raw).withColumns(
+        {"asr_result": flat_calls(F.col("asr_result")), "im_text": flat_chat(none_as_empty(F.col("im_text"))), "complaint_content": denoised(none_as_empty(F.col("complaint_content")))}
+    )
+
+
+def with_recall(df: DataFrame, lexicon: dict = DEFAULT_LEXICON) -> DataFrame:
+    return df.withColumn("snippet_recall", recall({"job_detail": F.col("job_detail"), "im_text": F.col("im_text"), "asr_text": F.col("asr_result")}, lexicon))
+
+
+def with_risk(df: DataFrame, keywords: dict = KEYWORDS) -> DataFrame:
+    parts = [F.nullif(F.coalesce(F.col(c), F.lit("")), F.lit("")) for c in ("complaint_content", "asr_result", "im_text")]
+    return df.withColumn("risk_record", risk(F.concat_ws("\n", *parts), keywords))
+
+
+def asked(df: DataFrame, task: str, payload: Column, client: Callable[[], Client], out: str, calls_a_minute: int | None = None) -> DataFrame:
+    """Add a model's raw reply and the name of its error, row by row, in order, per partition."""
+    kept = df.columns
+    schema = df.select("*").schema.add(out, "string").add(f"{out}_failed", "boolean")
+    inputs = df.withColumn("_payload", payload)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own, limiter = client(), Limiter(calls_a_minute) if calls_a_minute else None
+        for frame in frames:
+            replies, failed = [], []
+            for p in frame["_payload"]:
+                try:
+                    if limiter:
+                        limiter.wait()
+                    replies.append(own.complete(task, p))
+                    failed.append(False)
+                except Exception:  # noqa: BLE001 the row goes to review; the job goes on
+                    replies.append(None)
+                    failed.append(True)
+            yield frame[kept].assign(**{out: replies, f"{out}_failed": failed})
+
+    return inputs.mapInPandas(run, schema)
+
+
+def decided(
+    wide: DataFrame, client: Callable[[], Client], key: str = "info_id", lexicon: dict = DEFAULT_LEXICON, keywords: dict = KEYWORDS, calls_a_minute: int | None = None
+) -> DataFrame:
+    """(key, has_recall, fill_status, validity_type, estimated_expiry, reason, route, error_type) of every wide row."""
+    rows = with_risk(with_recall(cleaned(wide), lexicon), keywords)
+    texts = F.to_json(F.struct("job_detail", "im_text", "asr_result", "publish_time"), {"ignoreNullFields": "false"})
+    base = rows.select(key, "snippet_recall", "risk_record", texts.alias("texts"))
+    silent = base.where(~F.col("snippet_recall.has_recall")).select(
+        key, F.lit(False).alias("has_recall"), F.lit("not_filled").alias("fill_status"), F.lit("no_validity").alias("validity_type"),
+        F.lit(None).cast("string").alias("estimated_expiry"), F.lit("").alias("reason"), F.lit("formal").alias("route"), F.lit(None).cast("string").alias("error_type"),
+    )
+    said = base.where("snippet_recall.has_recall").select(key, "texts", "risk_record")
+    first = asked(said, "signal_detection", F.col("texts"), client, "detection", calls_a_minute)
+    first = first.withColumn("error_type", _error("detection", mj.DETECTION, "unknown_signal_detection_error"))
+    first = first.withColumn("signal", mj.reply_struct(F.col("detection"), mj.DETECTION))
+    has = F.col("error_type").isNull() & F.col("signal.has_temporal_signal")
+    asked_more = asked(first.where(has).drop("detection", "detection_failed"), "time_normalization", F.col("texts"), client, "normal", calls_a_minute)
+    asked_more = asked_more.withColumn("error_type", _error("normal", mj.NORMALISATION, "unknown_time_normalization_error"))
+    asked_more = asked_more.withColumn("normalised", mj.reply_struct(F.col("normal"), mj.NORMALISATION)).drop("normal", "normal_failed")
+    skipped = first.where(~F.coalesce(has, F.lit(False))).drop("detection", "detection_failed")
+    both = asked_more.unionByName(skipped, allowMissingColumns=True)
+    confidence = F.greatest("signal.confidence", "normalised.confidence")
+    payload = F.to_json(F.struct("signal", "normalised", confidence.alias("confidence"), "risk_record"), {"ignoreNullFields": "false"})
+    last = asked(both.where("error_type is null"), "final_decision", payload, client, "final", calls_a_minute)
+    last = last.withColumn("error_type", _error("final", mj.DECISION, "unknown_final_decision_error"))
+    last = last.withColumn("decision", mj.reply_struct(F.col("final"), mj.DECISION)).drop("final", "final_failed")
+    every = last.unionByName(both.where("error_type is not null"), allowMissingColumns=True)
+    filled, expiry = F.col("risk_record.estimated_filled_at"), F.col("decision.estimated_expiry")
+    error = F.coalesce("error_type", F.when(mixed_offsets(filled, expiry), F.lit("unknown_final_decision_error")))
+    every = every.withColumn("error_type", error)
+    return every.select(
+        key, F.lit(True).alias("has_recall"), F.col("risk_record.fill_status").alias("fill_status"), F.col("decision.validity_type").alias("validity_type"),
+        expiry.alias("estimated_expiry"), with_hint(F.col("decision.reason"), filled, expiry).alias("reason"),
+        route(F.col("error_type"), F.col("decision.low_confidence")).alias("route"), "error_type",
+    ).unionByName(silent)
+
+
+def _error(reply: str, shape: dict, unknown: str) -> Column:
+    return F.when(F.col(f"{reply}_failed"), F.lit(unknown)).otherwise(mj.reply_error(F.col(reply), shape))
+
+
+def route(error: Column, low_confidence: Column) -> Column:
+    """An error, no decision or low confidence send a row to review."""
+    return F.when(error.isNotNull() | low_confidence.isNull() | low_confidence, F.lit("fallback")).otherwise(F.lit("formal"))
+
+
+def with_hint(reason: Column, filled_at: Column, expiry: Column) -> Column:
+    """The reason, with one note if the post was filled before the predicted end."""
+    reason = F.trim(F.coalesce(reason, F.lit("")))
+    hint = F.concat(F.lit("注意：投诉已招满时间("), filled_at, F.lit(")早于预测截止时间，存在矛盾"))
+    needed = F.coalesce(contradicts(filled_at, expiry), F.lit(False)) & ~F.contains(reason, hint)
+    return F.when(needed, F.concat_ws("；", F.nullif(reason, F.lit("")), hint)).otherwise(reason)
