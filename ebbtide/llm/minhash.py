@@ -6,9 +6,14 @@ Postings that no other class shares are dropped, and so are classes with fewer t
 ``MATCHES`` postings left: they cannot reach the match threshold.  What remains is joined
 twice.
 
+A count of the shingles of those classes tells how many of a class's shingles any other has,
+in all and in each of ``CELLS`` cells by hash.  The intersection of two classes is, cell by
+cell, no larger than the smaller of those counts, which bounds the likeness of every pair
+from above; classes and pairs whose bound is below the threshold go.
+
 First come star rounds: in each list of more than one component, every class meets only the
-list's most central class (the one whose values most classes share); collisions are counted
-by pair, and each class's best partner is confirmed.  This joins large groups of near copies
+list's hub (at first the class whose values most classes share, then one chosen by hash);
+collisions are counted by pair, and each class's best partner is confirmed.  This joins large groups of near copies
 with a row per class and coordinate, whatever their size.  Then the full join over what is
 still apart: two classes of different components that share at least ``MATCHES``
 coordinates share one in the first ``size - MATCHES + 1`` of their postings, rarest first
@@ -38,7 +43,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.llm.common import table, text_of, written
@@ -47,7 +52,8 @@ WORDS = 5
 PERMUTATIONS = 64
 MATCHES = 28
 SIMILAR = 75  # per cent
-STAR_ROUNDS = 2
+STAR_ROUNDS = 3
+CELLS = 32
 SEED = 99
 
 _rng = np.random.default_rng(SEED)
@@ -70,7 +76,7 @@ def shingle_set(text: str | None) -> set[tuple[bytes, ...]]:
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 300_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
@@ -153,13 +159,47 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
 
+def _tag(set_id: Column) -> Column:
+    """A 60-bit number for a set id."""
+    return F.conv(F.substring(set_id, 1, 15), 16, 10).cast("long")
+
+
+def own_shingles(texts: DataFrame) -> DataFrame:
+    """(tag, own): the cells of the shingles that no other of the texts has; texts: (packed)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _WordHashes()
+        for batch in batches:
+            for i in range(0, batch.num_rows, 256):
+                packed = batch.column("packed").slice(i, 256).to_pylist()
+                sets = [shingle_hashes(zlib.decompress(x).decode("utf-8", "surrogatepass"), hashes) for x in packed]
+                flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
+                tags = np.repeat(np.array([_set_tag(x) for x in sets], np.int64), [len(x) for x in sets])
+                yield pa.RecordBatch.from_arrays([pa.array(flat), pa.array(tags)], names=["h", "tag"])
+
+    rows = texts.select("packed").mapInArrow(run, "h long, tag long")
+    alone = rows.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("tag").alias("tag")).where("n = 1")
+    return alone.groupBy("tag").agg(F.collect_list(F.pmod("h", F.lit(CELLS)).cast("smallint")).alias("own"))
+
+
+def _set_tag(hashes: np.ndarray) -> int:
+    return int(hashlib.blake2b(hashes.tobytes(), digest_size=16).hexdigest()[:15], 16)
+
+
 def _packed(docs: DataFrame, key: str, column: str) -> DataFrame:
+    """(id, tag, cells, packed): the text compressed, and its shingles counted by cell."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = _WordHashes()
         for batch in batches:
-            made = [zlib.compress((t or "").encode("utf-8", "surrogatepass"), 1) for t in batch.column(column).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(key), pa.array(made, pa.binary())], names=["id", "packed"])
+            texts = batch.column(column).to_pylist()
+            sets = [shingle_hashes(t, hashes) for t in texts]
+            cells = [np.bincount((x.view(np.int64) % CELLS), minlength=CELLS) for x in sets]
+            made = [zlib.compress((t or "").encode("utf-8", "surrogatepass"), 1) for t in texts]
+            tags = pa.array([_set_tag(x) for x in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(key), tags, pa.array(cells, pa.list_(pa.int32())), pa.array(made, pa.binary())], names=["id", "tag", "cells", "packed"])
 
-    return docs.select(F.col(key).cast("long").alias(key), column).mapInArrow(run, "id long, packed binary")
+    return docs.select(F.col(key).cast("long").alias(key), column).mapInArrow(run, "id long, tag long, cells array<int>, packed binary")
 
 
 def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
@@ -187,48 +227,78 @@ def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
 def _labelled(posts: DataFrame, links: DataFrame | None) -> DataFrame:
     if links is None:
         return posts.withColumn("label", F.col("id"))
-    labels = components(links, rounds=1)
+    labels = components(links, rounds=2)
     return posts.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
 
 
-def _mixed_lists(lists: DataFrame) -> DataFrame:
+def _mixed_lists(lists: DataFrame, turn: int) -> DataFrame:
     """Of rows (key, id, label, weight) the keys with more than one label, and their hub."""
-    hub = F.max(F.struct("weight", (-F.col("id")).alias("neg"), "label"))
+    first = F.col("weight") if turn == 0 else F.xxhash64(F.lit(turn), "id")
+    hub = F.max(F.struct(first.alias("first"), (-F.col("id")).alias("neg"), "label"))
     keys = lists.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), hub.alias("hub"))
-    return keys.where("low <> high").select("key", (-F.col("hub.neg")).alias("hub"), F.col("hub.label").alias("hub_label"), F.col("hub.weight").alias("hub_weight"))
+    return keys.where("low <> high").select("key", (-F.col("hub.neg")).alias("hub"), F.col("hub.label").alias("hub_label"))
 
 
-def links_of(docs: DataFrame, marks: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
-    """Confirmed links (a, b) between classes, each under its smallest id; marks from ``signed``."""
+def _can_be_alike(x: str, y: str) -> Column:
+    """Whether the bounds of the intersection allow the likeness asked for; x and y: prefixes of
+    the columns n_shingles, shared, wide, and c0 to c3, which have a cell in each byte."""
+    n = F.col(f"{x}n_shingles") + F.col(f"{y}n_shingles")
+    enough = lambda most: (100 + SIMILAR) * most >= SIMILAR * n
+    byte = lambda side, i: F.shiftright(F.col(f"{side}c{i // 8}"), 8 * (i % 8)).bitwiseAND(F.lit(255))
+    by_cell = sum((F.least(byte(x, i), byte(y, i)) for i in range(1, CELLS)), F.least(byte(x, 0), byte(y, 0)))
+    return enough(F.least(f"{x}shared", f"{y}shared")) & ((F.col(f"{x}wide") & F.col(f"{y}wide")) | enough(by_cell))
+
+
+def _packed_cells(cells: Column) -> dict[str, Column]:
+    """c0 to c3: eight cells each, a byte a cell (255 and more as 255); wide: some cell is above 255."""
+    word = lambda k: F.aggregate(F.slice(cells, 8 * k + 1, 8), F.lit(0).cast("long"), lambda acc, v: F.shiftleft(acc, 8).bitwiseOR(F.least(v, F.lit(255)).cast("long")))
+    return {**{f"c{k}": word(k) for k in range(CELLS // 8)}, "wide": F.exists(cells, lambda v: v > 255)}
+
+
+def candidates_of(marks: DataFrame) -> DataFrame:
+    """(id, set_id, n_shingles, posts): classes with enough postings that others share, the
+    rarest posting first."""
     first = marks.where("set_id is not null and doc_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("id"))
-    classes = marks.join(first, "set_id").where("doc_id = id").dropDuplicates(["set_id"]).select("id", "n_shingles", "posts")
-    single = classes.select("id", "n_shingles", F.explode("posts").alias("key"))
+    classes = marks.join(first, "set_id").where("doc_id = id").dropDuplicates(["set_id"]).select("id", "set_id", "n_shingles", "posts")
+    single = classes.select("id", "set_id", "n_shingles", F.explode("posts").alias("key"))
     shared = single.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    left = single.join(shared, "key").groupBy("id", "n_shingles").agg(F.array_sort(F.collect_list(F.struct("n", "key"))).alias("posts"))
+    left = single.join(shared, "key").groupBy("id", "set_id", "n_shingles").agg(F.array_sort(F.collect_list(F.struct("n", "key"))).alias("posts"))
+    return left.where(F.size("posts") >= MATCHES)
+
+
+def links_of(docs: DataFrame, marks: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
+    """Confirmed links (a, b) between classes, each under its smallest id; marks from ``signed``."""
+    found = written(candidates_of(marks))
+    texts = written(_packed(docs.select(key, column).join(found.select(F.col("id").alias(key)).distinct(), key), key, column))
+    counted = texts.select("tag", "cells").dropDuplicates(["tag"]).join(own_shingles(texts), "tag", "left")
+    left = lambda own: F.transform("cells", lambda n, i: n - F.size(F.filter(own, lambda c: c == i)))
+    counted = counted.select("tag", F.when(F.col("own").isNull(), F.col("cells")).otherwise(left(F.col("own"))).alias("cells"))
+    found = found.withColumn("tag", _tag(F.col("set_id"))).join(counted, "tag")
+    total = F.aggregate("cells", F.lit(0), lambda acc, n: acc + n)
     weight = F.aggregate("posts", F.lit(0).cast("long"), lambda acc, p: acc + p["n"])
-    posts = written(left.where(F.size("posts") >= MATCHES).withColumn("weight", weight))
-    texts = written(_packed(docs.select(key, column).join(posts.select(F.col("id").alias(key)).distinct(), key), key, column))
-    fits = lambda x, y: 100 * F.least(x, y) >= SIMILAR * F.greatest(x, y)
+    packed = _packed_cells(F.col("cells"))
+    posts = found.select("id", "n_shingles", total.cast("long").alias("shared"), *[c.alias(k) for k, c in packed.items()], weight.alias("weight"), F.col("posts.key").alias("keys"))
+    posts = written(posts.where(F.col("shared") * 100 >= F.col("n_shingles") * SIMILAR))
 
     links = None
-    sizes = posts.select(F.col("id").alias("b"), F.col("n_shingles").alias("n_b"))
-    for _ in range(STAR_ROUNDS):
-        now = _labelled(posts, links)
-        lists = now.select("id", "n_shingles", "label", "weight", F.explode("posts.key").alias("key"))
-        meets = lists.join(_mixed_lists(lists), "key").where("label <> hub_label")
-        counted = meets.groupBy(F.col("id").alias("a"), F.col("hub").alias("b")).agg(F.count(F.lit(1)).alias("n"), F.first("n_shingles").alias("n_a"))
-        counted = counted.join(sizes, "b").where(fits(F.col("n_a"), F.col("n_b")))
+    one = posts.select("id", F.struct("n_shingles", "shared", *packed).alias("s"))
+    sizes = {c: one.select(F.col("id").alias(c), F.col("s").alias(f"of_{c}")) for c in "ab"}
+    for turn in range(STAR_ROUNDS):
+        lists = _labelled(posts, links).select("id", "label", "weight", F.explode("keys").alias("key"))
+        meets = lists.join(_mixed_lists(lists, turn), "key").where("label <> hub_label")
+        counted = meets.groupBy(F.col("id").alias("a"), F.col("hub").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+        counted = counted.join(sizes["a"], "a").join(sizes["b"], "b").where(_can_be_alike("of_a.", "of_b."))
         best = counted.groupBy("a").agg(F.max_by("b", F.struct("n", (-F.col("b")).alias("neg"))).alias("b"))
-        found = confirmed(best, texts)
-        links = written(found if links is None else links.unionByName(found))
+        new = confirmed(best, texts)
+        links = written(new if links is None else links.unionByName(new))
 
     now = written(_labelled(posts, links))
-    prefix = now.select("id", "n_shingles", "label", "weight", F.explode(F.expr(f"slice(posts.key, 1, size(posts) - {MATCHES - 1})")).alias("key"))
-    apart = prefix.join(_mixed_lists(prefix).select("key"), "key")
+    prefix = now.select("id", "n_shingles", "shared", *packed, "label", "weight", F.explode(F.expr(f"slice(keys, 1, size(keys) - {MATCHES - 1})")).alias("key"))
+    apart = prefix.join(_mixed_lists(prefix, 0).select("key"), "key").drop("weight")
     x, y = apart.alias("x"), apart.alias("y")
-    on = (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label")) & fits(F.col("x.n_shingles"), F.col("y.n_shingles"))
+    on = (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label")) & _can_be_alike("x.", "y.")
     candidates = x.join(y, on).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
-    keys = posts.select("id", F.col("posts.key").alias("keys"))
+    keys = posts.select("id", "keys")
     counted = candidates.join(keys.select(F.col("id").alias("a"), F.col("keys").alias("ka")), "a").join(keys.select(F.col("id").alias("b"), F.col("keys").alias("kb")), "b")
     enough = counted.where(F.size(F.array_intersect("ka", "kb")) >= MATCHES).select("a", "b")
     return written(links.unionByName(confirmed(enough, texts)))
