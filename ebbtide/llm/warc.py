@@ -334,17 +334,24 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(WarcDataSource)
 
 
-def base32_sha1(data: Column) -> Column:
-    """Upper-case base32 of the SHA-1 of a text or binary column."""
+def base32_of_hex(digest: Column) -> Column:
+    """Upper-case base32 of 40 hexadecimal digits, 5 of them making 4 letters."""
     alphabet = F.lit("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
-    digest = F.sha1(data)
 
-    def four(i: Column) -> Column:
-        v = F.conv(F.substring(digest, (i * 5 + 1).cast("int"), F.lit(5)), 16, 10).cast("int")
-        letter = lambda shift: F.substring(alphabet, F.shiftright(v, shift).bitwiseAND(F.lit(31)) + 1, F.lit(1))
-        return F.concat(letter(15), letter(10), letter(5), letter(0))
+    def letters(d: Column) -> Column:
+        out = []
+        for i in range(8):
+            v = F.conv(F.substring(d, 5 * i + 1, 5), 16, 10).cast("int")
+            out += [F.substring(alphabet, F.shiftright(v, shift).bitwiseAND(F.lit(31)) + 1, F.lit(1)) for shift in (15, 10, 5, 0)]
+        return F.concat(*out)
+
+    # an array of one element binds the digest, so that it is computed once
+    return F.element_at(F.transform(F.array(digest), letters), 1)
 
-    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(7)), four), "")
+
+def base32_sha1(data: Column) -> Column:
+    """Upper-case base32 of the SHA-1 of a text or binary column."""
+    return base32_of_hex(F.sha1(data))
 
 
 def deduplicated(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
