@@ -2,9 +2,10 @@
 
 Texts are split into pre-tokens, which are exploded with their positions.  Before anything
 is shuffled, the occurrences of a pre-token are gathered within a block of some megabytes of
-text: a row is (block, word, positions), so the most frequent word has a row per block, not
-per occurrence.  A shuffle by word brings all rows of a word together, in order; each
-distinct word is encoded once and its ids join all its rows.  A shuffle back by block
+text, and the words of a block that belong to one part of all words (by hash) go into one
+compressed row: (block, part, words, positions).  So the most frequent word is sent once a
+block, not once an occurrence.  A shuffle by part brings all blocks' uses of a word together;
+each distinct word is encoded once and its ids join all of them.  A shuffle back by block
 reassembles the ids of every text by position.  Decoding joins ids with the token-byte table
 of the vocabulary, which is broadcast: it has as many rows as the vocabulary, whatever the
 corpus.
@@ -20,21 +21,27 @@ are encoded each; an empty table stays empty; all other columns pass through unc
 from __future__ import annotations
 
 import base64
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import regex
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.llm.common import table
 
-BLOCK_CHARS = 2_000_000
-SHUFFLE_SCHEMA = "block long, word binary, at binary, ids binary"
-_SHUFFLE = pa.schema([("block", pa.int64()), ("word", pa.binary()), ("at", pa.binary()), ("ids", pa.binary())])
+BLOCK_CHARS = 4_000_000
+#: Parts of all words for each shuffle partition; a task keeps the words of one part at a time.
+PARTS_A_PARTITION = 4
+SHUFFLE_SCHEMA = "block long, part int, words binary, at binary"
+_SHUFFLE = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("words", pa.binary()), ("at", pa.binary())])
+LEVEL = 3  # of compression
+META = -1  # the part of the row with a block's other columns
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -138,57 +145,77 @@ def _explode(texts: list[str], find) -> tuple[dict[str, int], np.ndarray, list[i
     return words, np.array(numbers, np.int64), counts
 
 
-def _block_rows(block: int, part: pa.RecordBatch, texts: list[str], find) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
+def _joined(numbers: np.ndarray, data: bytes) -> bytes:
+    """Numbers and bytes in one compressed value."""
+    packed = _pack(numbers)[0].tobytes()
+    return zstandard.compress(len(packed).to_bytes(4, "little") + packed + data, LEVEL)
+
+
+def _split(value: bytes) -> tuple[np.ndarray, bytes]:
+    raw = zstandard.decompress(value)
+    end = 4 + int.from_bytes(raw[:4], "little")
+    return _unpack(np.frombuffer(raw[4:end], np.uint8))[0], raw[end:]
+
+
+def _block_rows(block: int, rest: pa.RecordBatch, texts: list[str], find, parts: int) -> pa.RecordBatch:  # noqa: ANN001
     words, numbers, counts = _explode(texts, find)
-    order = np.argsort(numbers, kind="stable")
-    starts = np.searchsorted(numbers[order], np.arange(len(words)))
+    keys = [w.encode("utf-8", "surrogatepass") for w in words]
+    part = np.array([zlib.crc32(k) % parts for k in keys], np.int64)
+    by_part = np.argsort(part, kind="stable")
+    rank = np.empty(len(keys), np.int64)
+    rank[by_part] = np.arange(len(keys))
+    ranked = rank[numbers] if len(numbers) else numbers
+    order = np.argsort(ranked, kind="stable")
+    uses = np.bincount(ranked, minlength=len(keys)).astype(np.int64)
+    starts = np.cumsum(uses) - uses
     step = np.diff(order, prepend=0)
     step[starts] = order[starts]  # each word's positions: the first, then steps
     packed, length = _pack(step)
     edges = np.concatenate([[0], np.cumsum(length)])
-    cut = np.concatenate([edges[starts], edges[-1:]])
     raw = packed.tobytes()
-    # The row without a word has the block's other columns, and how many pre-tokens each text has.
+    sizes = np.array([len(k) for k in keys], np.int64)[by_part]
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as out:
-        out.write_batch(part)
-    rest = sink.getvalue().to_pybytes()
-    keys = [None, *(w.encode("utf-8", "surrogatepass") for w in words)]
-    ats = [np.array(counts, np.int64).tobytes(), *(raw[a:b] for a, b in zip(cut, cut[1:], strict=False))]
-    for i in range(0, len(keys), 50_000):
-        k = keys[i : i + 50_000]
-        ids = [rest if i == 0 and j == 0 else None for j in range(len(k))]
-        yield pa.RecordBatch.from_arrays([pa.array([block] * len(k), pa.int64()), pa.array(k, pa.binary()), pa.array(ats[i : i + 50_000], pa.binary()), pa.array(ids, pa.binary())], schema=_SHUFFLE)
-
-
-def _reassemble(rows: list[pa.RecordBatch], ids_name: str, count_name: str) -> pa.RecordBatch:
+    with pa.ipc.new_stream(sink, rest.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as out:
+        out.write_batch(rest)
+    rows = [(META, sink.getvalue().to_pybytes(), _joined(np.array(counts, np.int64), b""))]
+    cuts = np.concatenate([np.flatnonzero(np.diff(part[by_part], prepend=-1)), [len(keys)]])
+    for a, b in zip(cuts.tolist(), cuts[1:].tolist(), strict=False):
+        blob = b"".join([keys[i] for i in by_part[a:b]])
+        first, last = starts[a], starts[b - 1] + uses[b - 1]
+        rows.append((int(part[by_part[a]]), _joined(sizes[a:b], blob), _joined(uses[a:b], raw[edges[first] : edges[last]])))
+    columns = [pa.array([block] * len(rows), pa.int64()), *(pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), _SHUFFLE.types[1:], strict=True))]
+    return pa.RecordBatch.from_arrays(columns, schema=_SHUFFLE)
+
+
+def _reassemble(rows: list[pa.RecordBatch], ids_name: str, count_name: str, width: str) -> pa.RecordBatch:
     """The texts of one block, with their ids."""
-    whole = pa.Table.from_batches(rows)
-    word, at, ids = (whole.column(c).combine_chunks() for c in ("word", "at", "ids"))
-    meta = word.is_null().to_numpy(zero_copy_only=False)
-    i = int(np.flatnonzero(meta)[0])
-    with pa.ipc.open_stream(ids[i].as_py()) as stream:
-        part = pa.Table.from_batches(list(stream), schema=stream.schema).combine_chunks().to_batches()[0]
-    counts = np.frombuffer(at[i].as_py(), np.int64)
-    keep = pa.array(~meta)
-    ats, own = at.filter(keep).to_pylist(), ids.filter(keep).to_pylist()
-    numbers, last = _unpack(np.frombuffer(b"".join(ats), np.uint8))
-    ends = np.searchsorted(last, np.cumsum([len(a) for a in ats]) - 1) + 1 if ats else np.zeros(0, np.int64)
-    sizes = np.diff(ends, prepend=0)
-    total = np.cumsum(numbers)
-    base = np.repeat(np.concatenate([[0], total[ends[:-1] - 1]]) if len(ends) else ends, sizes)
-    position = total - base
-    which = np.empty(len(numbers), np.int64)
-    which[position] = np.repeat(np.arange(len(ats)), sizes)
-    flat = np.frombuffer(b"".join(own), "<u4")
-    lengths = np.array([len(x) // 4 for x in own], np.int64)
+    lengths, flat, uses, steps = [], [], [], []
+    for batch in rows:
+        for p, w, at in zip(batch.column("part").to_pylist(), batch.column("words").to_pylist(), batch.column("at").to_pylist(), strict=True):
+            if p == META:
+                with pa.ipc.open_stream(w) as stream:
+                    rest = pa.Table.from_batches(list(stream), schema=stream.schema).combine_chunks().to_batches()[0]
+                counts = _split(at)[0]
+                continue
+            n, ids = _split(w)
+            lengths.append(n)
+            flat.append(np.frombuffer(ids, width))
+            u, packed = _split(at)
+            uses.append(u)
+            steps.append(_unpack(np.frombuffer(packed, np.uint8))[0])
+    lengths, flat, uses, steps = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (lengths, flat, uses, steps))
+    total = np.cumsum(steps)
+    ends = np.cumsum(uses)
+    before = np.concatenate([[0], total[ends[:-1] - 1]]) if len(ends) else ends
+    which = np.empty(len(steps), np.int64)
+    which[total - np.repeat(before, uses)] = np.repeat(np.arange(len(uses)), uses)
     begin = np.cumsum(lengths) - lengths
     n = lengths[which]
     upto = np.cumsum(n)
-    tokens = flat[np.arange(int(upto[-1]) if len(upto) else 0) - np.repeat(upto - n - begin[which], n)]
+    tokens = flat[np.arange(int(upto[-1]) if len(upto) else 0) - np.repeat(upto - n - begin[which], n)].astype("<u4")
     edges = np.concatenate([[0], upto])[np.concatenate([[0], np.cumsum(counts)])]
-    columns = [*part.columns, pa.array([tokens[a:b].astype("<u4").tobytes() for a, b in zip(edges, edges[1:], strict=False)], pa.binary()), pa.array(np.diff(edges), pa.int64())]
-    return pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, ids_name, count_name])
+    made = [tokens[a:b].tobytes() for a, b in zip(edges.tolist(), edges[1:].tolist(), strict=False)]
+    return pa.RecordBatch.from_arrays([*rest.columns, pa.array(made, pa.binary()), pa.array(np.diff(edges), pa.int64())], names=[*rest.schema.names, ids_name, count_name])
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
@@ -215,6 +242,9 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, column: str = "
     slim = df.select(*kept, column)
     schema = slim.select(*kept).schema.add(ids, "binary").add(count, "long")
 
+    parts = PARTS_A_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    width = "<u2" if max(ranks.values(), default=0) < 1 << 16 else "<u4"
+
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = regex.compile(pattern).findall
         block = TaskContext.get().partitionId() << 32
@@ -225,32 +255,39 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, column: str = "
             for i, text in enumerate(texts):
                 chars += len(text)
                 if chars >= block_chars or i + 1 == len(texts):
-                    yield from _block_rows(block, rest.slice(at, i + 1 - at), texts[at : i + 1], find)
+                    yield _block_rows(block, rest.slice(at, i + 1 - at), texts[at : i + 1], find, parts)
                     block, at, chars = block + 1, i + 1, 0
 
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table_ = shared.value
-        word, made = None, b""
+        table_, part, known = shared.value, None, {}
         for batch in batches:
             out = []
-            for w, own in zip(batch.column("word").to_pylist(), batch.column("ids").to_pylist(), strict=True):
-                if w is None:
-                    out.append(own)
+            for p, value in zip(batch.column("part").to_pylist(), batch.column("words").to_pylist(), strict=True):
+                if p == META:
+                    out.append(value)
                     continue
-                if w != word:  # sorted by word: each is encoded when it first comes
-                    word, made = w, np.array(encode_word(w, table_), "<u4").tobytes()
-                out.append(made)
-            # the word itself has done its work; rows without a word keep that mark
-            mark = [None if w is None else b"" for w in batch.column("word").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("block"), pa.array(mark, pa.binary()), batch.column("at"), pa.array(out, pa.binary())], schema=_SHUFFLE)
+                if p != part:  # sorted by part: each word is encoded when it first comes
+                    part, known = p, {}
+                sizes, blob = _split(value)
+                made, at = [], 0
+                for size in sizes.tolist():
+                    word = blob[at : at + size]
+                    at += size
+                    ids = known.get(word)
+                    if ids is None:
+                        ids = known[word] = np.array(encode_word(word, table_), width).tobytes()
+                    made.append(ids)
+                step = int(width[-1])
+                out.append(_joined(np.array([len(x) // step for x in made], np.int64), b"".join(made)))
+            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("part"), pa.array(out, pa.binary()), batch.column("at")], schema=_SHUFFLE)
 
     def reassemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _runs(batches):
-            yield _reassemble(rows, ids, count)
+            yield _reassemble(rows, ids, count, width)
 
     exploded = slim.mapInArrow(explode, SHUFFLE_SCHEMA)
-    by_word = exploded.repartition(F.coalesce(F.xxhash64("word"), F.col("block"))).sortWithinPartitions("word")
-    joined = by_word.mapInArrow(encode_words, SHUFFLE_SCHEMA)
+    key = F.when(F.col("part") == META, F.xxhash64("block")).otherwise(F.col("part").cast("long"))
+    joined = exploded.repartition(key).sortWithinPartitions("part").mapInArrow(encode_words, SHUFFLE_SCHEMA)
     return joined.repartition("block").sortWithinPartitions("block").mapInArrow(reassemble, schema)
 
 
