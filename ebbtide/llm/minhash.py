@@ -312,7 +312,7 @@ def clustered(docs: DataFrame, key: str = "doc_id", column: str = "text") -> Dat
     first = marks.where("set_id is not null and doc_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("id"))
     by_set = first.join(labels, "id", "left").select("set_id", F.coalesce("label", "id").alias("component_id"))
     out = marks.select("doc_id", "n_shingles", "set_id").join(by_set, "set_id", "left")
-    component = F.coalesce("component_id", "doc_id")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
