@@ -76,7 +76,7 @@ def shingle_set(text: str | None) -> set[tuple[bytes, ...]]:
 
 class _WordHashes(dict):
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
+        if len(self) > 100_000:
             self.clear()
         h = self[word] = xxhash.xxh64_intdigest(word)
         return h
@@ -192,12 +192,14 @@ def _packed(docs: DataFrame, key: str, column: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
         for batch in batches:
-            texts = batch.column(column).to_pylist()
-            sets = [shingle_hashes(t, hashes) for t in texts]
-            cells = [np.bincount((x.view(np.int64) % CELLS), minlength=CELLS) for x in sets]
-            made = [zlib.compress((t or "").encode("utf-8", "surrogatepass"), 1) for t in texts]
-            tags = pa.array([_set_tag(x) for x in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(key), tags, pa.array(cells, pa.list_(pa.int32())), pa.array(made, pa.binary())], names=["id", "tag", "cells", "packed"])
+            for i in range(0, batch.num_rows, 256):
+                part = batch.slice(i, 256)
+                texts = part.column(column).to_pylist()
+                sets = [shingle_hashes(t, hashes) for t in texts]
+                cells = [np.bincount((x.view(np.int64) % CELLS), minlength=CELLS) for x in sets]
+                made = [zlib.compress((t or "").encode("utf-8", "surrogatepass"), 1) for t in texts]
+                tags = pa.array([_set_tag(x) for x in sets], pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column(key), tags, pa.array(cells, pa.list_(pa.int32())), pa.array(made, pa.binary())], names=["id", "tag", "cells", "packed"])
 
     return docs.select(F.col(key).cast("long").alias(key), column).mapInArrow(run, "id long, tag long, cells array<int>, packed binary")
 
