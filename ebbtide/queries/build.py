@@ -40,9 +40,9 @@ def wide_candidates(spark: SparkSession, d: str) -> DataFrame:
     posts = _posts(spark, d).join(_users(spark, d).select("user_id"), "user_id", "left_semi")
     base = posts.select("user_id", F.col("id").alias("info_id"), F.col("o_orderpriority").alias("job_detail"), F.lit("").alias("occupation_id"), F.date_format("o_orderdate", STAMP).alias("publish_time"))
     merged, counts = c.calls_of(_user_calls(spark, d), s)
-    none = spark.createDataFrame([], "info_id long, im_merged string")
-    no_count = spark.createDataFrame([], "info_id long, im_message_count long")
-    no_complaint = spark.createDataFrame([], "info_id long, complaint_content string, complaint_count long, first_complaint_time string")
+    none = spark.sql("SELECT 0L AS info_id, '' AS im_merged WHERE false")
+    no_count = spark.sql("SELECT 0L AS info_id, 0L AS im_message_count WHERE false")
+    no_complaint = spark.sql("SELECT 0L AS info_id, '' AS complaint_content, 0L AS complaint_count, '' AS first_complaint_time WHERE false")
     return c.assembled(base, merged, counts, none, no_count, no_complaint)
 
 
