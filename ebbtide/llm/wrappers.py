@@ -4,19 +4,22 @@ Pages of one host are made by one program.  Their DOM trees are aligned with a r
 tree of the host by simple tree matching (the largest set of matched nodes that keeps
 parents, order and labels); runs of alike siblings (paragraphs, list items) are folded into
 one repeated node first, so trees are small and pages of any length align with each other.
-Nodes of the reference whose text is the same on every page are template, the others are
-slots that vary.  A page's main text are the blocks in varying slots of its article region,
+A text that one node of the reference holds on most of the host's distinct pages is template,
+if these pages differ in the rest of their text; on pages where that node holds another text it
+varies.  A page's main text are the blocks in varying slots of its article region,
 without the parts that markup itself names as menus, headers, footers, sidebars, notices,
 adverts, forms or comments.
 
-What travels between pages is small: per host the most frequent folded tree, and per host
-and node three numbers and two hashes, summed before they are shuffled, so a host with a
-third of all pages is no hot spot.  Both become one table with a row per host, which is
-broadcast only after its size has been checked and joined by host beyond that.  Pages stay
-where they are; each is parsed again in every pass.
+What travels between pages is small: per host the most frequent folded tree, and per distinct
+page the hashes of its nodes' texts with their min-hash sketches, keyed by page or text, so a
+host with a third of all pages is no hot spot.  The outcome is one table with a row per host,
+which is broadcast only after its size has been checked and joined by host beyond that.  Pages
+stay where they are; each is parsed again in every pass.
 
-A host teaches nothing unless at least ``MIN_PAGES`` of its pages differ in some slot; pages
-without host, or of such hosts, are read by their markup alone.
+Copies of a page count once.  Near copies teach nothing either: of the pages that hold a text,
+``MIN_PAGES`` and a part of ``MIN_DIFFERENT`` must have sketches of their own over the texts that
+are not shared (the median of the coordinates; HyperLogLog counts).  Pages without host, or of
+hosts that teach nothing, are read by their markup alone.
 
 Edge cases: null or empty html gives the empty text; broken markup is read as browsers would
 roughly do (paragraphs and list items close themselves, unknown end tags are ignored, what is
@@ -29,9 +32,11 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +44,12 @@ from pyspark.sql import functions as F
 from ebbtide.llm.common import table, written
 
 MIN_PAGES = 3
+#: A text is template on more than this part of a host's distinct pages ...
+MIN_SHARE = 0.5
+#: ... of which at least this part differ elsewhere.
+MIN_DIFFERENT = 1 / 3
+#: Coordinates of a sketch of 3-word shingles.
+SKETCH = 5
 MAX_BROADCAST_BYTES = 16 << 20
 #: Above this many pairs of children simple tree matching aligns equal labels in order instead.
 MAX_CELLS = 4096
@@ -260,16 +271,31 @@ def _own_text(node: Node) -> str:
     return "".join(parts)
 
 
-def _slot_hash(f: Fold) -> int:
-    text = "\x00".join(t for n in f.nodes if n.tag not in RAW and (t := _SPACE.sub(" ", _own_text(n)).strip()))
-    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=7).digest(), "big") if text else 0
+def _slot_text(f: Fold) -> str:
+    return "\x00".join(t for n in f.nodes if n.tag not in RAW and (t := _SPACE.sub(" ", _own_text(n)).strip()))
 
 
-def slots(folds: list[Fold]) -> Iterator[tuple[int, int]]:
-    """(number in the reference, hash of the own text) of matched nodes that have text."""
+def hash_of(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=7).digest(), "big")
+
+
+_SEEDS = np.random.default_rng(1).integers(1, 1 << 63, (2, SKETCH, 1), dtype=np.uint64) | np.uint64(1)
+
+
+def sketch_of(text: str) -> np.ndarray:
+    """The smallest hash of the 3-word shingles of a text, by coordinate."""
+    words = np.array([zlib.crc32(w.encode("utf-8", "surrogatepass")) for w in text.replace("\x00", " ").split()], np.uint64)
+    words = np.pad(words, (0, max(0, 3 - len(words))))
+    shingles = (words[:-2] * np.uint64(0x9E3779B97F4A7C15) + words[1:-1]) * np.uint64(0xC2B2AE3D27D4EB4F) + words[2:]
+    shingles ^= shingles >> np.uint64(29)
+    return (((shingles ^ _SEEDS[0]) * _SEEDS[1]) >> np.uint64(33)).min(axis=1)
+
+
+def slots(folds: list[Fold]) -> Iterator[tuple[int, str]]:
+    """(number in the reference, own text) of matched nodes that have text."""
     for f in folds:
-        if f.number >= 0 and (h := _slot_hash(f)):
-            yield f.number, h
+        if f.number >= 0 and (t := _slot_text(f)):
+            yield f.number, t
         yield from slots(f.children)
 
 
@@ -290,13 +316,14 @@ def _named_otherwise(node: Node, inside: bool) -> bool:
     return bool(NOT_MAIN.search(OWN.sub(" ", names) if inside and node.tag in ("h1", "h2", "h3", "header", "hgroup") else names))
 
 
-def main_text(root: Node, folds: list[Fold], template: frozenset[int]) -> str:
-    """The page's main text; template: numbers of reference nodes that never vary."""
+def main_text(root: Node, folds: list[Fold], template: frozenset[tuple[int, int]]) -> str:
+    """The page's main text; template: (number in the reference, hash of the text) of nodes that do not vary."""
     constant = set()
+    numbers = {n for n, _ in template}
 
     def mark(fs: list[Fold]) -> None:
         for f in fs:
-            if f.number in template:
+            if f.number in numbers and (f.number, hash_of(_slot_text(f))) in template:
                 constant.update(map(id, f.nodes))
             mark(f.children)
 
@@ -358,41 +385,63 @@ def host_of(column: str = "url") -> Column:
     return F.lower(F.regexp_extract(F.coalesce(F.col(column).cast("string"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
 
 
+_SLOT = pa.struct([("number", pa.int64()), ("text", pa.int64()), ("sketch", pa.list_(pa.int64()))])
+
+
 def induced(pages: DataFrame, html_column: str = "html") -> DataFrame:
-    """(host, outline, template): each host's reference tree and the numbers of its nodes whose
-    text never varies.  pages: (host, html)."""
+    """(host, outline, template): each host's reference tree, and the numbers of its nodes with
+    the hashes of their texts that do not vary.  pages: (host, html)."""
 
     def outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [outline(fold(_elements([parse(h or "")]))) for h in batch.column(html_column).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(made, pa.string())], names=["host", "outline"])
+            texts = [h or "" for h in batch.column(html_column).to_pylist()]
+            made = [outline(fold(_elements([parse(h)]))) for h in texts]
+            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(made, pa.string()), pa.array(map(hash_of, texts), pa.int64())], names=["host", "outline", "page"])
 
     slim = pages.where("host <> ''").select("host", html_column)
-    trees = slim.mapInArrow(outlines, "host string, outline string").groupBy("host", "outline").agg(F.count(F.lit(1)).alias("n"))
+    trees = slim.mapInArrow(outlines, "host string, outline string, page long").groupBy("host", "outline")
+    trees = trees.agg(F.approx_count_distinct("page").alias("n"), F.count(F.lit(1)).alias("rows"))
     # the most frequent tree; of equally frequent ones the first as text
-    references = trees.groupBy("host").agg(F.min(F.struct((-F.col("n")).alias("neg"), "outline")).alias("best"), F.sum("n").alias("pages"))
+    references = trees.groupBy("host").agg(F.min(F.struct((-F.col("n")).alias("neg"), "outline")).alias("best"), F.sum("rows").alias("pages"))
     references = written(references.where(F.col("pages") >= MIN_PAGES).select("host", F.col("best.outline").alias("outline")))
 
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, list[Fold]] = {}
         for batch in batches:
-            hosts, numbers, hashes = [], [], []
-            for host, h, o in zip(*(batch.column(c).to_pylist() for c in ("host", html_column, "outline")), strict=True):
+            ids, ends, numbers, texts, sketches = [], [0], [], [], []
+            for h, o in zip(*(batch.column(c).to_pylist() for c in (html_column, "outline")), strict=True):
                 folds = fold(_elements([parse(h or "")]))
                 match(folds, _reference(o, known))
                 for number, text in slots(folds):
-                    hosts.append(host)
                     numbers.append(number)
-                    hashes.append(text)
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(numbers, pa.int64()), pa.array(hashes, pa.int64())], names=["host", "number", "text"])
-
-    joined = slim.join(_small(references), "host")
-    seen = joined.mapInArrow(aligned, "host string, number long, text long").groupBy("host", "number")
-    stats = seen.agg(F.count(F.lit(1)).alias("pages"), F.min("text").alias("low"), F.max("text").alias("high"))
-    never = F.collect_list(F.when((F.col("low") == F.col("high")) & (F.col("pages") >= MIN_PAGES), F.col("number")))
-    templates = stats.groupBy("host").agg(F.array_sort(never).alias("template"), F.max(F.col("low") != F.col("high")).alias("varies"))
-    template = F.when(F.col("varies"), F.col("template")).otherwise(F.array().cast("array<bigint>"))
-    return written(references.join(templates, "host", "left").select("host", "outline", F.coalesce(template, F.array().cast("array<bigint>")).alias("template")))
+                    texts.append(hash_of(text))
+                    sketches.append(sketch_of(text).astype(np.int64))
+                ids.append(hash_of(h or ""))
+                ends.append(len(numbers))
+            flat = pa.ListArray.from_arrays(pa.array(range(0, SKETCH * len(numbers) + 1, SKETCH), pa.int32()), pa.array(np.concatenate(sketches) if sketches else [], pa.int64()))
+            made = pa.StructArray.from_arrays([pa.array(numbers, pa.int64()), pa.array(texts, pa.int64()), flat], fields=list(_SLOT))
+            yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), made)], names=["host", "page", "slots"])
+
+    joined = slim.join(_small(references, F.char_length("outline")), "host")
+    seen = joined.mapInArrow(aligned, "host string, page long, slots array<struct<number: long, text: long, sketch: array<long>>>")
+    seen = written(seen.dropDuplicates(["host", "page"]))
+
+    # texts that most of a host's distinct pages hold
+    total = seen.groupBy("host").agg(F.count(F.lit(1)).alias("pages")).where(F.col("pages") >= MIN_PAGES)
+    held = seen.select("host", F.explode("slots").alias("s")).groupBy("host", "s.number", "s.text").agg(F.count(F.lit(1)).alias("n"))
+    held = held.where(F.col("n") >= MIN_PAGES).join(total, "host").where(F.col("n") > MIN_SHARE * F.col("pages"))
+    common = written(held.groupBy("host").agg(F.collect_list(F.struct("number", "text")).alias("common")))
+
+    # of these, the ones whose pages differ in the rest of their text
+    is_common = lambda s: F.array_contains("common", F.struct(s["number"].alias("number"), s["text"].alias("text")))
+    rest = F.filter("slots", lambda s: ~is_common(s))
+    own = [F.array_min(F.transform("rest", lambda s, i=i: s["sketch"][i])).alias(f"own{i}") for i in range(SKETCH)]
+    marked = seen.join(_small(common, 16 * F.size("common")), "host").select("host", F.filter("slots", is_common).alias("shared"), rest.alias("rest"))
+    marked = marked.select("host", F.explode("shared").alias("s"), *own).groupBy("host", "s.number", "s.text")
+    marked = marked.agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.array(*(F.approx_count_distinct(f"own{i}") for i in range(SKETCH))))[SKETCH // 2].alias("different"))
+    marked = marked.where((F.col("different") >= MIN_PAGES) & (F.col("different") >= MIN_DIFFERENT * F.col("n")))
+    templates = marked.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("number", "text"))).alias("template"))
+    return written(references.join(templates, "host", "left").select("host", "outline", "template"))
 
 
 def _reference(text: str | None, known: dict[str, list[Fold]]) -> list[Fold]:
@@ -403,9 +452,9 @@ def _reference(text: str | None, known: dict[str, list[Fold]]) -> list[Fold]:
     return known[text]
 
 
-def _small(hosts: DataFrame) -> DataFrame:
-    """The table of hosts, for broadcast if the sum of its texts is small; else joined by host."""
-    size = hosts.agg(F.sum(F.char_length("outline") + 200)).first()[0] or 0
+def _small(hosts: DataFrame, bytes_each: Column) -> DataFrame:
+    """The table of hosts, for broadcast if the sum of its rows is small; else joined by host."""
+    size = hosts.agg(F.sum(bytes_each + 200)).first()[0] or 0
     return F.broadcast(hosts) if size <= MAX_BROADCAST_BYTES else hosts
 
 
@@ -426,10 +475,10 @@ def with_main_text(pages: DataFrame, html_column: str = "html", url_column: str
                 if t:
                     folds = fold(_elements([root]))
                     match(folds, _reference(o, known))
-                made.append(main_text(root, folds, frozenset(t or ())))
+                made.append(main_text(root, folds, frozenset((x["number"], x["text"]) for x in t or ())))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(made, pa.string())], names=[*kept, out])
 
-    joined = hosted.select(*kept, html_column, *([] if "host" in kept else ["host"])).join(_small(wrappers), "host", "left")
+    joined = hosted.select(*kept, html_column, *([] if "host" in kept else ["host"])).join(_small(wrappers, F.char_length("outline") + 16 * F.size(F.coalesce("template", F.array()))), "host", "left")
     return joined.select(*kept, html_column, "outline", "template").mapInArrow(extract, schema)
 
 

@@ -45,6 +45,29 @@ def test_constant_nodes_become_template(spark):
     assert wrappers.with_main_text(df.limit(0)).count() == 0
 
 
+def main_texts(spark, pages):
+    df = spark.createDataFrame([(i, f"http://h.example/{i}", h) for i, h in enumerate(pages)], "page_id long, url string, html string")
+    return [r.text for r in wrappers.with_main_text(df).orderBy("page_id").collect()]
+
+
+def test_copies_are_no_template(spark):
+    others = [page(i, f"<p>Article number {i}</p><p>More {i}</p>") for i in range(4)]
+    copied = page(9, "<p>Nine has</p><h2>Its own part</h2><p>And an end</p>")
+    made = main_texts(spark, others + [copied] * 5)
+    assert made == [f"Article number {i} More {i}" for i in range(4)] + ["Nine has Its own part And an end"] * 5
+
+
+def test_near_copies_are_no_template(spark):
+    words = " ".join(f"w{i}" for i in range(200))
+    near = [f"<body><h1>The title</h1><p>{words} {i}</p></body>" for i in range(3)]
+    assert main_texts(spark, near) == [f"The title {words} {i}" for i in range(3)]
+
+
+def test_an_outlier_keeps_the_template(spark):
+    pages = [page(i, f"<p>Article number {i}</p>", "Home About" if i else "Moved home") for i in range(20)]
+    assert main_texts(spark, pages) == [("" if i else "Moved home ") + f"Article number {i}" for i in range(20)]
+
+
 def test_water_filling(spark):
     rows = [(i, s, "w " * n) for i, (s, n) in enumerate([("a", 5)] * 20 + [("b", 50)] * 40 + [("c", 30)] * 60 + [(None, 10)] * 30 + [("d", 0)] * 3)]
     docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
