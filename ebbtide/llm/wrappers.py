@@ -6,9 +6,14 @@ parents, order and labels); runs of alike siblings (paragraphs, list items) are
 one repeated node first, so trees are small and pages of any length align with each other.
 A text that one node of the reference holds on most of the host's distinct pages is template,
 if these pages differ in the rest of their text; on pages where that node holds another text it
-varies.  A page's main text are the blocks in varying slots of its article region,
-without the parts that markup itself names as menus, headers, footers, sidebars, notices,
-adverts, forms or comments.
+varies.  A page's main text are the blocks in varying slots of its content region, without
+the parts that markup itself names as menus, headers, footers, sidebars, notices, adverts,
+forms or comments.
+
+The region is the smallest subtree of the host's reference that holds ``REGION_SHARE`` of the
+varying text outside such parts and does not leave out the heading; article and main elements
+are not looked into.  Where a host has none, or a page has less of its text there, the page's
+own text chooses among its article elements, its main element and the whole page.
 
 What travels between pages is small: per host the most frequent folded tree, and per distinct
 page the hashes of its nodes' texts with their min-hash sketches, keyed by page or text, so a
@@ -48,6 +53,10 @@ MIN_PAGES = 3
 MIN_SHARE = 0.5
 #: ... of which at least this part differ elsewhere.
 MIN_DIFFERENT = 1 / 3
+#: A subtree with this part of a host's varying text may be its content region, for pages with this part there.
+REGION_SHARE = 0.9
+#: Article or main elements with this part of a page's text may be its content region.
+PAGE_SHARE = 0.5
 #: Coordinates of a sketch of 3-word shingles.
 SKETCH = 5
 MAX_BROADCAST_BYTES = 16 << 20
@@ -75,8 +84,13 @@ NOT_MAIN = re.compile(
 )
 #: Within an article these names are its own headings, asides and figures of speech.
 OWN = re.compile(r"(?:^|[\s_-])(?:headers?|masthead|side|search|forms?|alerts?|notices?|hidden)(?:$|[\s_-])", re.IGNORECASE)
+#: So do blocks of these names that hold a heading.
+OWN_HEADER = re.compile(r"(?:^|[\s_-])(?:headers?|masthead)(?=$|[\s_-])", re.IGNORECASE)
 NOT_MAIN_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 MAIN = frozenset(("article", "main"))
+HEADINGS = frozenset(("h1", "h2", "h3"))
+#: Blocks that hold other blocks, so that one of them can be a content region.
+CONTAINERS = frozenset("html body main article section div center table tbody tr td".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[a-zA-Z/][^>]*$|[^<]+|<", re.DOTALL)
 _ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
@@ -313,11 +327,53 @@ def _named_otherwise(node: Node, inside: bool) -> bool:
         return False
     # twice the gaps, as names share them
     names = re.sub(r"[\s_-]+", "  ", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", names))
-    return bool(NOT_MAIN.search(OWN.sub(" ", names) if inside and node.tag in ("h1", "h2", "h3", "header", "hgroup") else names))
+    if inside and (node.tag in HEADINGS or node.tag in ("header", "hgroup")):
+        names = OWN.sub(" ", names)
+    elif inside and OWN_HEADER.search(names) and _has_heading(node):
+        names = OWN_HEADER.sub(" ", names)
+    return bool(NOT_MAIN.search(names))
+
+
+def _has_heading(node: Node) -> bool:
+    return any(isinstance(c, Node) and (c.tag in HEADINGS or _has_heading(c)) for c in node.children)
+
 
+def region_of(reference: list[Fold], mass: dict[int, int]) -> int:
+    """The number of the reference's node that is the content region, -1 for none; mass: the
+    characters of varying text by number."""
+    below: dict[int, tuple[int, int]] = {}
 
-def main_text(root: Node, folds: list[Fold], template: frozenset[tuple[int, int]]) -> str:
-    """The page's main text; template: (number in the reference, hash of the text) of nodes that do not vary."""
+    def node_of(f: Fold) -> Node:
+        tag, *kind = f.label.split(".")
+        return Node(tag, {"class": " ".join(kind)}, [node_of(c) for c in f.children])
+
+    def weigh(f: Fold, inside: bool) -> tuple[int, int]:
+        """Varying characters outside parts that markup names otherwise, and the rank of the highest varying heading (9: none)."""
+        tag = f.label.split(".")[0]
+        if _named_otherwise(node_of(f), inside or tag != "header"):
+            below[f.number] = 0, 9
+        else:
+            own = mass.get(f.number, 0)
+            parts = [weigh(c, inside or tag in MAIN) for c in f.children]
+            rank = min([int(tag[1]) if own and tag in HEADINGS else 9, *(r for _, r in parts)])
+            below[f.number] = own + sum(n for n, _ in parts), rank
+        return below[f.number]
+
+    at, found = Fold("#root", reference), -1
+    total = sum(weigh(f, False)[0] for f in reference)
+    while total and at.label.split(".")[0] not in MAIN:
+        best = max(at.children, key=lambda f: below[f.number][0], default=None)
+        if best is None or best.label.split(".")[0] not in CONTAINERS or below[best.number][0] < REGION_SHARE * total:
+            break
+        if min((below[f.number][1] for f in at.children if f is not best), default=9) < min(4, below[best.number][1]):
+            break  # the heading is outside
+        at, found = best, best.number
+    return found
+
+
+def main_text(root: Node, folds: list[Fold], template: frozenset[tuple[int, int]], region_number: int = -1) -> str:
+    """The page's main text; template: (number in the reference, hash of the text) of nodes that do not vary;
+    region_number: the number of the content region."""
     constant = set()
     numbers = {n for n, _ in template}
 
@@ -329,7 +385,7 @@ def main_text(root: Node, folds: list[Fold], template: frozenset[tuple[int, int]
 
     if template:
         mark(folds)
-    regions = _regions(root)
+    regions = _regions(root, constant, _numbered(folds, region_number) if region_number >= 0 else [])
     blocks: list[str] = []
     for region, inside in regions:
         current: list[str] = []
@@ -340,30 +396,53 @@ def main_text(root: Node, folds: list[Fold], template: frozenset[tuple[int, int]
                 blocks.append(text)
             current.clear()  # noqa: B023
 
-        def walk(node: Node, keep: bool) -> None:
+        def walk(node: Node, keep: bool, inside: bool) -> None:
             for c in node.children:
                 if isinstance(c, str):
                     if keep:
                         current.append(c)  # noqa: B023
                 elif c.tag == "br":
                     current.append(" ")  # noqa: B023
-                elif c.tag in RAW or _named_otherwise(c, inside):  # noqa: B023
+                elif c.tag in RAW or _named_otherwise(c, inside):
                     if c.tag not in INLINE:
                         flush()  # noqa: B023
                 elif c.tag in INLINE:
-                    walk(c, keep)
+                    walk(c, keep, inside)
                 else:
                     flush()  # noqa: B023
-                    walk(c, id(c) not in constant)
+                    walk(c, id(c) not in constant, inside or c.tag in MAIN)
                     flush()  # noqa: B023
 
-        walk(region, id(region) not in constant)
+        walk(region, id(region) not in constant, inside)
         flush()
     return " ".join(blocks)
 
 
-def _regions(root: Node) -> list[tuple[Node, bool]]:
-    """The outermost article or main elements outside what is not main text; else the whole page."""
+def _numbered(folds: list[Fold], number: int) -> list[Node]:
+    for f in folds:
+        if f.number == number:
+            return f.nodes
+        if found := _numbered(f.children, number):
+            return found
+    return []
+
+
+def _regions(root: Node, constant: set[int], aligned: list[Node]) -> list[tuple[Node, bool]]:
+    """The region by alignment; else the outermost article or main elements outside what is not
+    main text; else the whole page.  Each must hold its part of the page's text."""
+
+    def size(node: Node, inside: bool, own: bool) -> int:
+        n = 0
+        for c in node.children:
+            if isinstance(c, str):
+                n += len(c.strip()) if own else 0
+            elif c.tag not in RAW and not _named_otherwise(c, inside):
+                n += size(c, inside or c.tag in MAIN, own if c.tag in INLINE else id(c) not in constant)
+        return n
+
+    def enough(share: float) -> bool:
+        return sum(size(n, i, id(n) not in constant) for n, i in found) >= share * whole
+
     found: list[tuple[Node, bool]] = []
 
     def look(node: Node, tags: frozenset[str]) -> None:
@@ -374,10 +453,17 @@ def _regions(root: Node) -> list[tuple[Node, bool]]:
                 else:
                     look(c, tags)
 
+    whole = size(root, False, True)
+    if aligned:
+        found.extend((n, n.tag not in ("html", "body")) for n in aligned)
+        if enough(REGION_SHARE):
+            return found
+        found.clear()
     for tags in (frozenset(("article",)), frozenset(("main",))):
         look(root, tags)
-        if found:
+        if found and enough(PAGE_SHARE):
             return found
+        found.clear()
     return [(root, False)]
 
 
@@ -385,12 +471,13 @@ def host_of(column: str = "url") -> Column:
     return F.lower(F.regexp_extract(F.coalesce(F.col(column).cast("string"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
 
 
-_SLOT = pa.struct([("number", pa.int64()), ("text", pa.int64()), ("sketch", pa.list_(pa.int64()))])
+_SLOT = pa.struct([("number", pa.int64()), ("text", pa.int64()), ("chars", pa.int64()), ("sketch", pa.list_(pa.int64()))])
 
 
 def induced(pages: DataFrame, html_column: str = "html") -> DataFrame:
-    """(host, outline, template): each host's reference tree, and the numbers of its nodes with
-    the hashes of their texts that do not vary.  pages: (host, html)."""
+    """(host, outline, template, mass): each host's reference tree, the numbers of its nodes with
+    the hashes of their texts that do not vary, and with the characters of those that do.
+    pages: (host, html)."""
 
     def outlines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -408,22 +495,23 @@ def induced(pages: DataFrame, html_column: str = "html") -> DataFrame:
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, list[Fold]] = {}
         for batch in batches:
-            ids, ends, numbers, texts, sketches = [], [0], [], [], []
+            ids, ends, numbers, texts, chars, sketches = [], [0], [], [], [], []
             for h, o in zip(*(batch.column(c).to_pylist() for c in (html_column, "outline")), strict=True):
                 folds = fold(_elements([parse(h or "")]))
                 match(folds, _reference(o, known))
                 for number, text in slots(folds):
                     numbers.append(number)
                     texts.append(hash_of(text))
+                    chars.append(len(text))
                     sketches.append(sketch_of(text).astype(np.int64))
                 ids.append(hash_of(h or ""))
                 ends.append(len(numbers))
             flat = pa.ListArray.from_arrays(pa.array(range(0, SKETCH * len(numbers) + 1, SKETCH), pa.int32()), pa.array(np.concatenate(sketches) if sketches else [], pa.int64()))
-            made = pa.StructArray.from_arrays([pa.array(numbers, pa.int64()), pa.array(texts, pa.int64()), flat], fields=list(_SLOT))
+            made = pa.StructArray.from_arrays([pa.array(numbers, pa.int64()), pa.array(texts, pa.int64()), pa.array(chars, pa.int64()), flat], fields=list(_SLOT))
             yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), made)], names=["host", "page", "slots"])
 
     joined = slim.join(_small(references, F.char_length("outline")), "host")
-    seen = joined.mapInArrow(aligned, "host string, page long, slots array<struct<number: long, text: long, sketch: array<long>>>")
+    seen = joined.mapInArrow(aligned, "host string, page long, slots array<struct<number: long, text: long, chars: long, sketch: array<long>>>")
     seen = written(seen.dropDuplicates(["host", "page"]))
 
     # texts that most of a host's distinct pages hold
@@ -440,8 +528,14 @@ def induced(pages: DataFrame, html_column: str = "html") -> DataFrame:
     marked = marked.select("host", F.explode("shared").alias("s"), *own).groupBy("host", "s.number", "s.text")
     marked = marked.agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.array(*(F.approx_count_distinct(f"own{i}") for i in range(SKETCH))))[SKETCH // 2].alias("different"))
     marked = marked.where((F.col("different") >= MIN_PAGES) & (F.col("different") >= MIN_DIFFERENT * F.col("n")))
-    templates = marked.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("number", "text"))).alias("template"))
-    return written(references.join(templates, "host", "left").select("host", "outline", "template"))
+    templates = written(marked.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("number", "text"))).alias("template")))
+
+    # how much text varies, by node
+    varying = F.filter("slots", lambda s: ~F.coalesce(F.array_contains("template", F.struct(s["number"].alias("number"), s["text"].alias("text"))), F.lit(False)))
+    mass = seen.join(_small(templates, 16 * F.size("template")), "host", "left")
+    mass = mass.select("host", F.explode(varying).alias("s")).groupBy("host", "s.number").agg(F.sum("s.chars").alias("chars")).join(total.select("host"), "host", "left_semi")
+    mass = mass.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("number", "chars"))).alias("mass"))
+    return written(references.join(templates, "host", "left").join(mass, "host", "left").select("host", "outline", "template", "mass"))
 
 
 def _reference(text: str | None, known: dict[str, list[Fold]]) -> list[Fold]:
@@ -467,19 +561,28 @@ def with_main_text(pages: DataFrame, html_column: str = "html", url_column: str
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, list[Fold]] = {}
+        regions: dict[tuple, int] = {}
         for batch in batches:
             made = []
-            for h, o, t in zip(*(batch.column(c).to_pylist() for c in (html_column, "outline", "template")), strict=True):
+            for h, o, t, m in zip(*(batch.column(c).to_pylist() for c in (html_column, "outline", "template", "mass")), strict=True):
                 root = parse(h or "")
                 folds: list[Fold] = []
-                if t:
+                region = -1
+                if m:
+                    key = o, tuple((x["number"], x["chars"]) for x in m)
+                    if key not in regions:
+                        if len(regions) > 1000:
+                            regions.clear()
+                        regions[key] = region_of(_reference(o, known), dict(key[1]))
+                    region = regions[key]
+                if t or region >= 0:
                     folds = fold(_elements([root]))
                     match(folds, _reference(o, known))
-                made.append(main_text(root, folds, frozenset((x["number"], x["text"]) for x in t or ())))
+                made.append(main_text(root, folds, frozenset((x["number"], x["text"]) for x in t or ()), region))
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(made, pa.string())], names=[*kept, out])
 
-    joined = hosted.select(*kept, html_column, *([] if "host" in kept else ["host"])).join(_small(wrappers, F.char_length("outline") + 16 * F.size(F.coalesce("template", F.array()))), "host", "left")
-    return joined.select(*kept, html_column, "outline", "template").mapInArrow(extract, schema)
+    joined = hosted.select(*kept, html_column, *([] if "host" in kept else ["host"])).join(_small(wrappers, F.char_length("outline") + 16 * (F.greatest(F.size("template"), F.lit(0)) + F.greatest(F.size("mass"), F.lit(0)))), "host", "left")
+    return joined.select(*kept, html_column, "outline", "template", "mass").mapInArrow(extract, schema)
 
 
 def op1_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:

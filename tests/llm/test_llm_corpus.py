@@ -68,6 +68,16 @@ def test_an_outlier_keeps_the_template(spark):
     assert main_texts(spark, pages) == [("" if i else "Moved home ") + f"Article number {i}" for i in range(20)]
 
 
+def test_region_holds_the_text_and_not_the_teaser(spark):
+    teaser = "<article><h3>Teaser</h3><p>See also</p></article>"
+    body = "<div><p>" + "A long body of the page. " * 5 + "</p></div>"
+    for tag in ("main", "div"):
+        assert "A long body" in text_of(f"<body><{tag}><h1>Title</h1>{body}{teaser}</{tag}></body>")
+    assert text_of("<article><div class='post-header'><h1>Title</h1></div><p>Body</p><div class='header'>By us</div></article>") == "Title Body"
+    pages = [f"<body><div><i>Day {i}</i></div><div class=c><h1>Title {i}</h1><div><p>{'word ' * 60}{i} is said</p></div></div><article><p>See {i}</p></article></body>" for i in range(5)]
+    assert main_texts(spark, pages) == [f"Title {i} {'word ' * 60}{i} is said" for i in range(5)]
+
+
 def test_water_filling(spark):
     rows = [(i, s, "w " * n) for i, (s, n) in enumerate([("a", 5)] * 20 + [("b", 50)] * 40 + [("c", 30)] * 60 + [(None, 10)] * 30 + [("d", 0)] * 3)]
     docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
