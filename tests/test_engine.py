@@ -93,6 +93,27 @@ def test_markdown():
     assert docs.normalised(made) == made and docs.fixed_characters("⼀") == "一"
 
 
+def test_markdown_rules_of_the_extraction(spark):
+    cases = {
+        "⻥泡 / ⻛险 / 首⻚": "鱼泡 / 风险 / 首页",
+        "**----- Start of picture text -----**<br>\n2.1 过期提醒<br>\n**----- End of picture text -----**<br>\n": "## 2.1 过期提醒",
+        "x\n**==> picture [1 x 3] intentionally omitted <==**\n[罗 ](javascript:void(0)) &amp; y\x01": "x\n罗  & y",
+        "**----- Start of picture text -----**<br>\n需求负责人 罗 需求提出方 李 预计上线时间 4月<br>\n关联项目流程链接 某<br>\n**----- End of picture text -----**<br>\n": "- 需求负责人: 罗\n- 需求提出方: 李\n- 预计上线时间: 4月\n- 关联项目流程链接: 某",
+        "需求负责人\n罗\n\n需求提出方\n李\n\n预计上线时间\n4月\n\n关联项目流程链接\n某\n\n## 一": "- 需求负责人: 罗\n- 需求提出方: 李\n- 预计上线时间: 4月\n- 关联项目流程链接: 某\n\n## 一",
+        "## • 有效期\n## a. 来源:": "- 有效期\n- a. 来源:",
+        "## 1. 零工\n\n2. 标签": "1. 零工\n\n2. 标签",
+        "说明结束; 2.2 流量分发优化 \n后续正文": "说明结束;\n\n## 2.2 流量分发优化 \n后续正文",
+        "投诉中,'已招满' 的 \"电话\"": "投诉中,“已招满”的 “电话”",
+        "- 阶段二:说明 ▪ 若已招满 ◦ 阶段三:处理": "- 阶段二:说明\n  - 若已招满\n- 阶段三:处理",
+        "- “ ”\n- 具体内容\n- 正常": "- 正常",
+        "|风险与应对|\n|风险||应对方案|\n|不足||扩大|": "|风险|应对方案|\n|---|---|\n|不足|扩大|",
+        "|•<br>甲|•<br>甲|\n|---|---|\n|•<br>乙|| ": "|甲|\n|---|\n|乙|",
+        "one line of Latin text\nand its end: \nnext": "one line of Latin textand its end:next",
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "text string")
+    assert {r.text for r in docs.normalised_markdown(df, "text").collect()} == {v + "\n" for v in cases.values()}
+
+
 def test_stream(spark, tmp_path):
     rows = spark.createDataFrame([("A", "明天开工", "", "", "")], "info_id string, job_detail string, asr_result string, im_text string, complaint_content string")
     rows.write.parquet(f"{tmp_path}/in")
