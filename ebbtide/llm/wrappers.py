@@ -38,6 +38,7 @@ import hashlib
 import html
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -60,7 +61,7 @@ PAGE_SHARE = 0.5
 #: Coordinates of a sketch of 3-word shingles.
 SKETCH = 5
 MAX_BROADCAST_BYTES = 16 << 20
-#: Above this many pairs of children simple tree matching aligns equal labels in order instead.
+#: Above this many pairs of children the rows of simple tree matching are arrays, kept in part.
 MAX_CELLS = 4096
 MAX_DEPTH = 200
 
@@ -108,6 +109,7 @@ def parse(page: str) -> Node:
     """The DOM tree of a page."""
     root = Node("#root")
     stack = [root]
+    opened: Counter[str] = Counter()
     at = 0
     while at < len(page):
         m = _TOKEN.match(page, at)
@@ -116,48 +118,56 @@ def parse(page: str) -> Node:
         if name is None:
             text = m[0]
             if text[0] != "<" or text == "<":
-                stack[-1].children.append(html.unescape(text))
+                stack[min(len(stack), MAX_DEPTH) - 1].children.append(html.unescape(text))
             continue
         name = name.lower()
         if m[1]:
+            if not opened[name]:
+                continue
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == name:
-                    del stack[i:]
+                    _close(stack, i, opened)
                     break
                 if name in INLINE and stack[i].tag not in INLINE:
                     break  # a stray end tag of an inline element closes no block
             continue
-        _make_room(stack, name)
+        _make_room(stack, name, opened)
         raw = m[3]
         attributes = {a.lower(): html.unescape(x or y or z) for a, x, y, z in _ATTRIBUTE.findall(raw)} if raw.strip(" /") else {}
         node = Node(name, attributes)
-        stack[-1].children.append(node)
+        # what is nested deeper becomes a list of siblings, but its end tags still find it
+        stack[min(len(stack), MAX_DEPTH) - 1].children.append(node)
         if name in VOID or raw.endswith("/"):
             continue
-        if len(stack) >= MAX_DEPTH and name not in RAW:
-            continue  # what is nested deeper becomes a list of siblings
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(page, at)
             node.children.append(page[at : end.start() if end else len(page)])
             at = end.end() if end else len(page)
             continue
         stack.append(node)
+        opened[name] += 1
     return root
 
 
-def _make_room(stack: list[Node], name: str) -> None:
+def _close(stack: list[Node], at: int, opened: Counter[str]) -> None:
+    for node in stack[at:]:
+        opened[node.tag] -= 1
+    del stack[at:]
+
+
+def _make_room(stack: list[Node], name: str, opened: Counter[str]) -> None:
     """Close what an element of this name closes: a paragraph, or its own kind."""
     if name in CLOSES_P:
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag == "p":
-                del stack[i:]
+                _close(stack, i, opened)
                 break
             if stack[i].tag not in INLINE:
                 break
     if name in CLOSES:
         for i in range(len(stack) - 1, 0, -1):
             if stack[i].tag in CLOSES[name]:
-                del stack[i:]
+                _close(stack, i, opened)
                 continue
             if stack[i].tag in SCOPE:
                 break
@@ -228,14 +238,7 @@ def match(page: list[Fold], reference: list[Fold]) -> int:
     if not page or not reference:
         return 0
     if len(page) * len(reference) > MAX_CELLS:
-        at, total = 0, 0
-        for f in page:
-            for j in range(at, len(reference)):
-                if reference[j].label == f.label:
-                    f.number, at = reference[j].number, j + 1
-                    total += 1 + match(f.children, reference[j].children)
-                    break
-        return total
+        return _match_long(page, reference)
     gain = [[1 + _count(f.children, r.children) if f.label == r.label else 0 for r in reference] for f in page]
     best = [[0] * (len(reference) + 1) for _ in range(len(page) + 1)]
     for i in range(len(page) - 1, -1, -1):
@@ -262,7 +265,11 @@ def _count(page: list[Fold], reference: list[Fold]) -> int:
     if len(page) == len(reference) == 1:
         return 1 + _count(page[0].children, reference[0].children) if page[0].label == reference[0].label else 0
     if len(page) * len(reference) > MAX_CELLS:
-        return len({f.label for f in page} & {r.label for r in reference})
+        gains = _gains(page, reference)
+        row = np.zeros(len(reference) + 1, np.int64)
+        for gain in reversed(gains):
+            row = _row(gain, row)
+        return int(row[0])
     below = [0] * (len(reference) + 1)
     for f in reversed(page):
         row = [0] * (len(reference) + 1)
@@ -274,6 +281,62 @@ def _count(page: list[Fold], reference: list[Fold]) -> int:
     return below[0]
 
 
+def _gains(page: list[Fold], reference: list[Fold]) -> list[np.ndarray]:
+    """By node of the page, the size of its match with each node of the reference; alike nodes share one array."""
+    kinds: dict[str, list[int]] = {}
+    for j, r in enumerate(reference):
+        kinds.setdefault(outline([r]), []).append(j)
+    known: dict[str, np.ndarray] = {}
+    out = []
+    for f in page:
+        key = outline([f])
+        if key not in known:
+            known[key] = np.zeros(len(reference), np.int64)
+            for at in kinds.values():
+                r = reference[at[0]]
+                if r.label == f.label:
+                    known[key][at] = 1 + _count(f.children, r.children)
+        out.append(known[key])
+    return out
+
+
+def _row(gain: np.ndarray, below: np.ndarray) -> np.ndarray:
+    """The sizes of the matches of a page's node and those after it, from those without it."""
+    row = below.copy()
+    np.maximum(row[:-1], np.where(gain > 0, gain + below[1:], 0), out=row[:-1])
+    return np.maximum.accumulate(row[::-1])[::-1]
+
+
+def _match_long(page: list[Fold], reference: list[Fold]) -> int:
+    """``match`` with every so many rows kept; the rows between are made again on the way back."""
+    gains = _gains(page, reference)
+    n, m = len(page), len(reference)
+    step = max(1, int(n**0.5))
+    row = np.zeros(m + 1, np.int64)
+    kept = {n: row}
+    for i in range(n - 1, -1, -1):
+        row = _row(gains[i], row)
+        if i % step == 0:
+            kept[i] = row
+    i = j = 0
+    rows: dict[int, np.ndarray] = {}
+    while i < n and j < m:
+        if i + 1 not in rows or i not in rows:
+            end = min(n, i - i % step + step)
+            rows = {end: kept[end]}
+            for k in range(end - 1, i - 1, -1):
+                rows[k] = _row(gains[k], rows[k + 1])
+        if gains[i][j] and rows[i][j] == gains[i][j] + rows[i + 1][j + 1]:
+            page[i].number = reference[j].number
+            match(page[i].children, reference[j].children)
+            i, j = i + 1, j + 1
+        elif rows[i][j] == rows[i + 1][j]:
+            i += 1
+        else:
+            j += 1
+    return int(kept[0][0])
+
+
 def _own_text(node: Node) -> str:
     """A node's text outside its block children."""
     parts = []

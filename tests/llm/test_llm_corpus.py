@@ -45,6 +45,26 @@ def test_constant_nodes_become_template(spark):
     assert wrappers.with_main_text(df.limit(0)).count() == 0
 
 
+def test_long_lists_match_as_short_ones_do(monkeypatch):
+    def folds(seed, n):
+        rng = random.Random(seed)
+        return wrappers.fold(wrappers._elements([wrappers.parse("".join(rng.choice(["<h2>t</h2>", "<p>x</p>", "<ul><li>a</ul>", "<div><h3>q</h3></div>", "<div><p>q</p></div>", "<h4>u</h4>"]) for _ in range(n)))]))
+
+    def numbers(fs):
+        return [(f.number, numbers(f.children)) for f in fs]
+
+    found = []
+    for cells in (10**9, 20, 4096):
+        monkeypatch.setattr(wrappers, "MAX_CELLS", cells)
+        a, b = folds(1, 200), wrappers.from_outline(wrappers.outline(folds(2, 220)))
+        found.append((wrappers._count(a, b), wrappers.match(a, b), numbers(a)))
+    assert found[0] == found[1] == found[2] and found[0][0] == found[0][1]
+
+
+def test_end_tags_of_deep_elements_close_nothing_else():
+    assert text_of("<div><article><p>a" + "<div>" * 300 + "deep" + "</div>" * 300 + "<p>after</article></div>") == "a deep after"
+
+
 def main_texts(spark, pages):
     df = spark.createDataFrame([(i, f"http://h.example/{i}", h) for i, h in enumerate(pages)], "page_id long, url string, html string")
     return [r.text for r in wrappers.with_main_text(df).orderBy("page_id").collect()]
