@@ -176,6 +176,15 @@ def first_delta(spark: SparkSession, d: str) -> DataFrame:
     return _first_delta(spark, d).select("user_id", "hours")
 
 
+def all_delta(spark: SparkSession, d: str) -> DataFrame:
+    """From the first sign-up to every error, by error; a user without either has no row."""
+    e = read(spark, d, "events")
+    signup = e.where("event_type = 'signup'").groupBy("user_id").agg(F.min("ts").alias("published"))
+    whole = lambda c: F.date_trunc("second", c)
+    both = e.where("event_type = 'error'").select("event_id", "user_id", "ts").join(signup, "user_id")
+    return both.select("event_id", "user_id", F.round(times.hours_between(whole("published"), whole("ts")), 6).alias("hours"))
+
+
 def filled_split(spark: SparkSession, d: str) -> DataFrame:
     return _first_delta(spark, d).groupBy("is_filled").agg(F.count(F.lit(1)).alias("n"), F.min("hours").alias("low"), F.max("hours").alias("high"))
 
@@ -222,7 +231,7 @@ def batch_run_ids(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     point_lookup, online_not_found, search_ilike_top50, runs_page, latest_run_ties, annotated_docs, unannotated_docs, incremental_skip, route_stats, validity_distribution,
     range_stats, daily_summary, distribution_share, list_partitions, latest_partition, last_event_per_user, annotation_cap, keyed_merge, keyed_last, keyed_delete, cache_key,
-    upper_median_stats, hour_bucket_hist, bucket_table_with_total, fixed_bins, complaint_count_distribution, first_delta, filled_split, rate_by_count, share_below,
+    upper_median_stats, hour_bucket_hist, bucket_table_with_total, fixed_bins, complaint_count_distribution, first_delta, all_delta, filled_split, rate_by_count, share_below,
     label_source, matrix_overlap, matrix_exclusive, batch_run_ids,
 )}
 
@@ -261,6 +270,7 @@ ORACLE_SQL = {
     "fixed_bins": f"WITH {DELAYS} SELECT floor((h + 5) / 2.5)::BIGINT AS bin, count(*)::BIGINT AS n FROM h WHERE h BETWEEN -5 AND 150 GROUP BY 1",
     "complaint_count_distribution": "SELECT n_per_key, count(*)::BIGINT AS n_keys FROM (SELECT count(*)::BIGINT AS n_per_key FROM events WHERE event_type = 'error' GROUP BY user_id) GROUP BY 1",
     "first_delta": f"WITH {FIRST} SELECT user_id, hours FROM delta",
+    "all_delta": f"WITH {FIRST} SELECT event_id, user_id, round((epoch(date_trunc('second', ts)) - epoch(date_trunc('second', p))) / 3600.0, 6) AS hours FROM events JOIN s USING (user_id) WHERE event_type = 'error'",
     "filled_split": f"WITH {FIRST} SELECT is_filled, count(*)::BIGINT AS n, min(hours) AS low, max(hours) AS high FROM delta GROUP BY 1",
     "rate_by_count": f"WITH {FIRST} SELECT n_errors, count(*)::BIGINT AS n, round(avg(is_filled::INT) * 100, 6) AS rate FROM delta GROUP BY 1",
     "share_below": f"WITH {DELAYS} SELECT round(avg((h < 6)::INT), 9) AS share FROM h",

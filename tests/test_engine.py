@@ -114,6 +114,14 @@ def test_markdown_rules_of_the_extraction(spark):
     assert {r.text for r in docs.normalised_markdown(df, "text").collect()} == {v + "\n" for v in cases.values()}
 
 
+def test_all_delta_holds_every_complaint(spark, tmp_path):
+    rows = [(1, 1, "signup", "2024-01-01 00:00:00"), (2, 1, "signup", "2024-01-02 00:00:00"), (3, 1, "error", "2024-01-01 03:00:00"), (4, 1, "error", "2024-01-01 01:30:00"), (5, 2, "error", "2024-01-01 01:00:00"), (6, 1, "click", "2024-01-01 01:00:00")]
+    df = spark.createDataFrame(rows, "event_id long, user_id long, event_type string, ts string")
+    df.withColumn("ts", df.ts.cast("timestamp")).write.parquet(f"{tmp_path}/events.parquet")
+    made = catalog.QUERIES["all_delta"](spark, str(tmp_path))
+    assert sorted(map(tuple, made.collect())) == [(3, 1, 3.0), (4, 1, 1.5)] and "all_delta" in catalog.ORACLE_SQL
+
+
 def test_stream(spark, tmp_path):
     rows = spark.createDataFrame([("A", "明天开工", "", "", "")], "info_id string, job_detail string, asr_result string, im_text string, complaint_content string")
     rows.write.parquet(f"{tmp_path}/in")
