@@ -1,21 +1,27 @@
 """Byte-level BPE encoding and decoding by a global shuffle of distinct words.
 
 Texts are split into pre-tokens, which are exploded with their positions.  Before anything
-is shuffled, the occurrences of a pre-token are gathered within a block of some megabytes of
-text, and the words of a block that belong to one part of all words (by hash) go into one
-compressed row: (block, part, words, positions).  So the most frequent word is sent once a
-block, not once an occurrence.  A shuffle by part brings all blocks' uses of a word together;
-each distinct word is encoded once and its ids join all of them.  A shuffle back by block
-reassembles the ids of every text by position.  Decoding joins ids with the token-byte table
-of the vocabulary, which is broadcast: it has as many rows as the vocabulary, whatever the
-corpus.
+is shuffled, the texts of some megabytes form a block, and the distinct words of a block that
+belong to one part of all words (by hash) go into one compressed row: (block, part, words).
+So the most frequent word is sent once a block, not once an occurrence.  A shuffle by part
+brings all blocks' uses of a word together; each distinct word is encoded once and its ids
+join all of them.  The ids go back by block, where they meet the block's sequence of word
+numbers, and every text is reassembled by position.  Decoding joins ids with the token-byte
+table of the vocabulary, which is broadcast: it has as many rows as the vocabulary, whatever
+the corpus.
+
+Positions cross one shuffle only, straight to their block: texts are split twice, once for
+the words and once for the positions, as that costs less than writing or moving positions
+again.  So the rows of ``df`` must come in the same order both times, as they do from a
+table or files, but not after a shuffle (``written`` makes a table).  Each block checks the
+number and a digest of its words, and a block that differs is an error, never a wrong result.
 
 Blocks hold whole texts, one at least; a text longer than a block is a block of its own, so a
 task holds one block or one text.  Vocabulary and pattern are parameters.
 
 Edge cases: null is the empty text, with no ids; repeated rows and rows of equal or null key
 are encoded each; an empty table stays empty; all other columns pass through unchanged
-(``ids`` and ``n_tokens`` replace columns of those names).
+(``ids`` and ``n_tokens`` replace columns of those names), ``block`` and ``part`` among them.
 """
 
 from __future__ import annotations
@@ -29,7 +35,6 @@ import public_tokenizers
 import pyarrow as pa
 import regex
 import zstandard
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,10 +43,12 @@ from ebbtide.llm.common import table
 BLOCK_CHARS = 4_000_000
 #: Parts of all words for each shuffle partition; a task keeps the words of one part at a time.
 PARTS_A_PARTITION = 4
-SHUFFLE_SCHEMA = "block long, part int, words binary, at binary"
-_SHUFFLE = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("words", pa.binary()), ("at", pa.binary())])
+#: Rows of a block: its other columns and positions (part META), or the words of a part, later their ids.
+SHUFFLE_SCHEMA = "block long, part int, data binary"
+_SHUFFLE = pa.schema([("block", pa.int64()), ("part", pa.int32()), ("data", pa.binary())])
 LEVEL = 3  # of compression
-META = -1  # the part of the row with a block's other columns
+META = -1
+SLICE = 256  # texts made Python strings at a time
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -132,17 +139,54 @@ def _unpack(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, last
 
 
-def _explode(texts: list[str], find) -> tuple[dict[str, int], np.ndarray, list[int]]:  # noqa: ANN001
-    """Distinct pre-tokens with numbers in order of first use, the numbers by position, and
-    the count of pre-tokens of each text."""
-    words: dict[str, int] = {}
-    numbers: list[int] = []
-    counts: list[int] = []
-    for text in texts:
+class _Block:
+    """Texts split so far: the distinct pre-tokens with numbers in order of first use, the
+    numbers by position, and the count of pre-tokens of each text."""
+
+    def __init__(self) -> None:
+        self.words: dict[str, int] = {}
+        self.numbers: list[np.ndarray] = []
+        self.counts: list[int] = []
+        self.rest: list[pa.RecordBatch] = []
+        self.chars = 0
+
+    def add(self, text: str, find) -> None:  # noqa: ANN001
+        words = self.words
         found = find(text)
-        counts.append(len(found))
-        numbers += [words.setdefault(w, len(words)) for w in found]
-    return words, np.array(numbers, np.int64), counts
+        self.counts.append(len(found))
+        self.numbers.append(np.array([words.setdefault(w, len(words)) for w in found], np.int32))
+        self.chars += len(text)
+
+    def keys(self) -> list[bytes]:
+        return [w.encode("utf-8", "surrogatepass") for w in self.words]
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], kept: list[str], pattern: str, block_chars: int) -> Iterator[tuple[int, _Block]]:
+    """The blocks of a partition, each with its number; where they end depends on the texts
+    alone.  The last column of the batches is the partition's own number (a task's would count
+    the partitions of a union)."""
+    find = regex.compile(pattern).findall
+    number, block = None, _Block()
+    for batch in batches:
+        if number is None and batch.num_rows:
+            number = batch.column(batch.num_columns - 1)[0].as_py() << 32
+        for i in range(0, batch.num_rows, SLICE):
+            part = batch.slice(i, SLICE)
+            at = 0
+            for j, text in enumerate(part.column(batch.num_columns - 2).to_pylist()):
+                block.add(text or "", find)
+                if block.chars >= block_chars:
+                    block.rest.append(part.slice(at, j + 1 - at).select(kept))
+                    yield number, block
+                    number, block, at = number + 1, _Block(), j + 1
+            if at < part.num_rows:
+                block.rest.append(part.slice(at).select(kept))
+    if block.counts:
+        yield number, block
+
+
+def _parts(keys: list[bytes], parts: int) -> np.ndarray:
+    return np.fromiter((zlib.crc32(k) % parts for k in keys), np.int32, len(keys))
 
 
 def _joined(numbers: np.ndarray, data: bytes) -> bytes:
@@ -157,65 +201,75 @@ def _split(value: bytes) -> tuple[np.ndarray, bytes]:
     return _unpack(np.frombuffer(raw[4:end], np.uint8))[0], raw[end:]
 
 
-def _block_rows(block: int, rest: pa.RecordBatch, texts: list[str], find, parts: int) -> pa.RecordBatch:  # noqa: ANN001
-    words, numbers, counts = _explode(texts, find)
-    keys = [w.encode("utf-8", "surrogatepass") for w in words]
-    part = np.array([zlib.crc32(k) % parts for k in keys], np.int64)
-    by_part = np.argsort(part, kind="stable")
-    rank = np.empty(len(keys), np.int64)
-    rank[by_part] = np.arange(len(keys))
-    ranked = rank[numbers] if len(numbers) else numbers
-    order = np.argsort(ranked, kind="stable")
-    uses = np.bincount(ranked, minlength=len(keys)).astype(np.int64)
-    starts = np.cumsum(uses) - uses
-    step = np.diff(order, prepend=0)
-    step[starts] = order[starts]  # each word's positions: the first, then steps
-    packed, length = _pack(step)
-    edges = np.concatenate([[0], np.cumsum(length)])
-    raw = packed.tobytes()
-    sizes = np.array([len(k) for k in keys], np.int64)[by_part]
+def _word_rows(number: int, block: _Block, parts: int) -> pa.RecordBatch:
+    """A row for each part of a block: its words, in order of first use."""
+    keys = block.keys()
+    part = _parts(keys, parts)
+    order = np.argsort(part, kind="stable")
+    sizes = np.fromiter(map(len, keys), np.int64, len(keys))[order]
+    cuts = [*np.flatnonzero(np.diff(part[order], prepend=-1)).tolist(), len(keys)]
+    made = [_joined(sizes[a:b], b"".join([keys[i] for i in order[a:b].tolist()])) for a, b in zip(cuts, cuts[1:], strict=False)]
+    return pa.RecordBatch.from_arrays([pa.array([number] * len(made), pa.int64()), pa.array(part[order][cuts[:-1]], pa.int32()), pa.array(made, pa.binary())], schema=_SHUFFLE)
+
+
+def _position_row(number: int, block: _Block, parts: int) -> pa.RecordBatch:
+    """One row for a block: its other columns, counts, the part of each word, and the numbers of words by position."""
+    keys = block.keys()
     sink = pa.BufferOutputStream()
+    rest = pa.Table.from_batches(block.rest)
     with pa.ipc.new_stream(sink, rest.schema, options=pa.ipc.IpcWriteOptions(compression="lz4")) as out:
-        out.write_batch(rest)
-    rows = [(META, sink.getvalue().to_pybytes(), _joined(np.array(counts, np.int64), b""))]
-    cuts = np.concatenate([np.flatnonzero(np.diff(part[by_part], prepend=-1)), [len(keys)]])
-    for a, b in zip(cuts.tolist(), cuts[1:].tolist(), strict=False):
-        blob = b"".join([keys[i] for i in by_part[a:b]])
-        first, last = starts[a], starts[b - 1] + uses[b - 1]
-        rows.append((int(part[by_part[a]]), _joined(sizes[a:b], blob), _joined(uses[a:b], raw[edges[first] : edges[last]])))
-    columns = [pa.array([block] * len(rows), pa.int64()), *(pa.array(list(c), t) for c, t in zip(zip(*rows, strict=True), _SHUFFLE.types[1:], strict=True))]
-    return pa.RecordBatch.from_arrays(columns, schema=_SHUFFLE)
+        out.write_table(rest.combine_chunks())
+    digest = zlib.crc32(b"\0".join(keys)).to_bytes(4, "little")
+    numbers = np.concatenate(block.numbers).astype(np.int64)
+    pieces = [sink.getvalue().to_pybytes(), _joined(np.array(block.counts, np.int64), digest), _joined(_parts(keys, parts).astype(np.int64), b""), _joined(numbers, b"")]
+    data = b"".join(len(x).to_bytes(8, "little") + x for x in pieces)
+    return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([META], pa.int32()), pa.array([data], pa.binary())], schema=_SHUFFLE)
+
+
+def _pieces(data: bytes) -> Iterator[bytes]:
+    at = 0
+    while at < len(data):
+        n = int.from_bytes(data[at : at + 8], "little")
+        yield data[at + 8 : at + 8 + n]
+        at += 8 + n
 
 
 def _reassemble(rows: list[pa.RecordBatch], ids_name: str, count_name: str, width: str) -> pa.RecordBatch:
-    """The texts of one block, with their ids."""
-    lengths, flat, uses, steps = [], [], [], []
+    """The texts of one block, with their ids; the row of positions comes first."""
+    lengths, flat, found, which = [], [], [], None
     for batch in rows:
-        for p, w, at in zip(batch.column("part").to_pylist(), batch.column("words").to_pylist(), batch.column("at").to_pylist(), strict=True):
-            if p == META:
-                with pa.ipc.open_stream(w) as stream:
-                    rest = pa.Table.from_batches(list(stream), schema=stream.schema).combine_chunks().to_batches()[0]
-                counts = _split(at)[0]
+        for part, data in zip(batch.column("part").to_pylist(), batch.column("data"), strict=True):
+            if part == META:
+                rest, counts, parts, numbers = _pieces(data.as_py())
+                with pa.ipc.open_stream(rest) as stream:
+                    table_ = pa.Table.from_batches(list(stream), schema=stream.schema).combine_chunks()
+                counts, digest = _split(counts)
+                parts, which = _split(parts)[0], _split(numbers)[0]
                 continue
-            n, ids = _split(w)
+            n, ids = _split(data.as_py())
+            found += [part] * len(n)
             lengths.append(n)
-            flat.append(np.frombuffer(ids, width))
-            u, packed = _split(at)
-            uses.append(u)
-            steps.append(_unpack(np.frombuffer(packed, np.uint8))[0])
-    lengths, flat, uses, steps = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (lengths, flat, uses, steps))
-    total = np.cumsum(steps)
-    ends = np.cumsum(uses)
-    before = np.concatenate([[0], total[ends[:-1] - 1]]) if len(ends) else ends
-    which = np.empty(len(steps), np.int64)
-    which[total - np.repeat(before, uses)] = np.repeat(np.arange(len(uses)), uses)
-    begin = np.cumsum(lengths) - lengths
-    n = lengths[which]
-    upto = np.cumsum(n)
-    tokens = flat[np.arange(int(upto[-1]) if len(upto) else 0) - np.repeat(upto - n - begin[which], n)].astype("<u4")
+            flat.append(np.frombuffer(ids[:-4], width))
+            if which is None or ids[-4:] != digest:
+                raise ValueError("the rows came in another order the second time: give encode a table")
+    if which is None:
+        raise ValueError("words without their positions: give encode a table")
+    lengths = np.concatenate(lengths) if lengths else np.zeros(0, np.int64)
+    flat = np.concatenate(flat) if flat else np.zeros(0, width)
+    order = np.argsort(parts, kind="stable")  # the words' numbers as their parts have come
+    if found != parts[order].tolist():
+        raise ValueError("some words of a block have not come back")
+    ends = np.empty(len(lengths), np.int64)
+    ends[order] = np.cumsum(lengths)
+    n = np.empty(len(lengths), np.int64)
+    n[order] = lengths
+    each = n[which]
+    upto = np.cumsum(each)
+    tokens = flat[np.arange(int(upto[-1]) if len(upto) else 0) + np.repeat(ends[which] - upto, each)].astype("<u4")
     edges = np.concatenate([[0], upto])[np.concatenate([[0], np.cumsum(counts)])]
     made = [tokens[a:b].tobytes() for a, b in zip(edges.tolist(), edges[1:].tolist(), strict=False)]
-    return pa.RecordBatch.from_arrays([*rest.columns, pa.array(made, pa.binary()), pa.array(np.diff(edges), pa.int64())], names=[*rest.schema.names, ids_name, count_name])
+    columns = [c.combine_chunks() for c in table_.columns] if table_.num_columns else []
+    return pa.RecordBatch.from_arrays([*columns, pa.array(made, pa.binary()), pa.array(np.diff(edges), pa.int64())], names=[*table_.schema.names, ids_name, count_name])
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
@@ -245,50 +299,48 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, column: str = "
     parts = PARTS_A_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     width = "<u2" if max(ranks.values(), default=0) < 1 << 16 else "<u4"
 
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = regex.compile(pattern).findall
-        block = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            texts = [t or "" for t in batch.column(column).to_pylist()]
-            rest = batch.select(kept)
-            at, chars = 0, 0
-            for i, text in enumerate(texts):
-                chars += len(text)
-                if chars >= block_chars or i + 1 == len(texts):
-                    yield _block_rows(block, rest.slice(at, i + 1 - at), texts[at : i + 1], find, parts)
-                    block, at, chars = block + 1, i + 1, 0
+    def words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, block in _blocks(batches, [], pattern, block_chars):
+            digest = zlib.crc32(b"\0".join(block.keys())).to_bytes(4, "little")
+            rows = _word_rows(number, block, parts)
+            yield rows.set_column(2, "data", pa.array([digest + x.as_py() for x in rows.column("data")], pa.binary()))
+
+    def positions_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, block in _blocks(batches, kept, pattern, block_chars):
+            yield _position_row(number, block, parts)
 
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table_, part, known = shared.value, None, {}
+        step = int(width[-1])
         for batch in batches:
-            out = []
-            for p, value in zip(batch.column("part").to_pylist(), batch.column("words").to_pylist(), strict=True):
-                if p == META:
-                    out.append(value)
-                    continue
-                if p != part:  # sorted by part: each word is encoded when it first comes
-                    part, known = p, {}
-                sizes, blob = _split(value)
-                made, at = [], 0
-                for size in sizes.tolist():
-                    word = blob[at : at + size]
-                    at += size
-                    ids = known.get(word)
-                    if ids is None:
-                        ids = known[word] = np.array(encode_word(word, table_), width).tobytes()
-                    made.append(ids)
-                step = int(width[-1])
-                out.append(_joined(np.array([len(x) // step for x in made], np.int64), b"".join(made)))
-            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("part"), pa.array(out, pa.binary()), batch.column("at")], schema=_SHUFFLE)
+            for i in range(0, batch.num_rows, SLICE):
+                rows = batch.slice(i, SLICE)
+                out = []
+                for p, value in zip(rows.column("part").to_pylist(), rows.column("data"), strict=True):
+                    if p != part:  # sorted by part: each word is encoded when it first comes
+                        part, known = p, {}
+                    raw = value.as_py()
+                    sizes, blob = _split(raw[4:])
+                    made, at = [], 0
+                    for size in sizes.tolist():
+                        word = blob[at : at + size]
+                        at += size
+                        own = known.get(word)
+                        if own is None:
+                            own = known[word] = np.array(encode_word(word, table_), width).tobytes()
+                        made.append(own)
+                    out.append(_joined(np.fromiter((len(x) // step for x in made), np.int64, len(made)), b"".join(made) + raw[:4]))
+                yield pa.RecordBatch.from_arrays([rows.column("block"), rows.column("part"), pa.array(out, pa.binary())], schema=_SHUFFLE)
 
     def reassemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _runs(batches):
             yield _reassemble(rows, ids, count, width)
 
-    exploded = slim.mapInArrow(explode, SHUFFLE_SCHEMA)
-    key = F.when(F.col("part") == META, F.xxhash64("block")).otherwise(F.col("part").cast("long"))
-    joined = exploded.repartition(key).sortWithinPartitions("part").mapInArrow(encode_words, SHUFFLE_SCHEMA)
-    return joined.repartition("block").sortWithinPartitions("block").mapInArrow(reassemble, schema)
+    own = "_partition" + "_" * max(map(len, df.columns))
+    slim = slim.withColumn(own, F.spark_partition_id())
+    words = slim.select(column, own).mapInArrow(words_of, SHUFFLE_SCHEMA).repartition("part").sortWithinPartitions("part")
+    both = words.mapInArrow(encode_words, SHUFFLE_SCHEMA).unionByName(slim.mapInArrow(positions_of, SHUFFLE_SCHEMA))
+    return both.repartition("block").sortWithinPartitions("block", "part").mapInArrow(reassemble, schema)
 
 
 def decode(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids", decoded: str = "decoded") -> DataFrame:
