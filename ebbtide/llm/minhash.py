@@ -13,13 +13,15 @@ from above; classes and pairs whose bound is below the threshold go.
 
 First come star rounds: in each list of more than one component, every class meets only the
 list's hub (at first the class whose values most classes share, then one chosen by hash);
-collisions are counted by pair, and each class's best partner is confirmed.  This joins large groups of near copies
-with a row per class and coordinate, whatever their size.  Then the full join over what is
-still apart: two classes of different components that share at least ``MATCHES``
-coordinates share one in the first ``size - MATCHES + 1`` of their postings, rarest first
-(prefix filter); those candidates' collisions are counted, pairs below the threshold are
-skipped, and the others are confirmed.  So every pair of classes that reaches the match
-threshold is either confirmed itself or lies within one component already.
+collisions are counted by pair, and each class's best partner is confirmed.  This joins large
+groups of near copies with a row per class and coordinate, whatever their size.  Then the
+prefix join over what is still apart: two classes of different components that share at least
+``MATCHES`` coordinates share one in the first ``size - MATCHES + 1`` of their postings,
+rarest first (prefix filter).  Lists of more than ``LIST`` classes are dealt out as pairs of
+blocks, so no task holds a whole list.  Only pairs within the bound leave that join; their
+collisions are counted, pairs below the threshold are skipped, and the others are confirmed.
+So every pair of classes that reaches the match threshold is either confirmed itself or lies
+within one component already.
 
 Confirming compares the full sets of shingles of both texts: 100 * intersection >= 75 *
 union.  Two sets of likeness 0.75 agree in fewer than 28 of 64 coordinates with a probability
@@ -46,14 +48,17 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm.common import table, text_of, written
+from ebbtide.llm.common import if_small, table, text_of, written
 
 WORDS = 5
 PERMUTATIONS = 64
 MATCHES = 28
 SIMILAR = 75  # per cent
 STAR_ROUNDS = 3
-CELLS = 32
+CELLS = 64
+LIST = 1024
+#: Rows of ids, or bytes of texts, that a broadcast may have; beyond that Spark shuffles both sides.
+SMALL_IDS, SMALL_BYTES = 500_000, 32 << 20
 SEED = 99
 
 _rng = np.random.default_rng(SEED)
@@ -119,42 +124,65 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def signed(docs: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, set_id, posts): posts are coordinate << 32 | value; null for empty sets."""
+    """(doc_id, n_shingles, set_id, posts): the values by coordinate; empty for empty sets."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
-        coordinate = np.arange(PERMUTATIONS, dtype=np.int64) << 32
         for batch in batches:
             for i in range(0, batch.num_rows, 512):
                 part = batch.slice(i, 512)
                 sets = [shingle_hashes(t, hashes) for t in part.column(column).to_pylist()]
                 full = [s for s in sets if len(s)]
-                posts = (signatures(full) | coordinate).ravel() if full else np.zeros(0, np.int64)
+                posts = signatures(full).astype(np.uint32).view(np.int32).ravel() if full else np.zeros(0, np.int32)
                 lengths = np.array([PERMUTATIONS if len(s) else 0 for s in sets])
                 offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32())
-                lists = pa.ListArray.from_arrays(offsets, pa.array(posts, pa.int64()))
+                lists = pa.ListArray.from_arrays(offsets, pa.array(posts, pa.int32()))
                 ids = [hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays([part.column(key), pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.string()), lists], names=["doc_id", "n_shingles", "set_id", "posts"])
 
-    return docs.select(F.col(key).cast("long").alias(key), column).mapInArrow(run, "doc_id long, n_shingles long, set_id string, posts array<bigint>")
+    return docs.select(F.col(key).cast("long").alias(key), column).mapInArrow(run, "doc_id long, n_shingles long, set_id string, posts array<int>")
+
+
+class _Sets(dict):
+    """The shingles of the texts seen last, a bounded number of them in all."""
+
+    size = 0
+
+    def of(self, ident: int, packed: bytes) -> set[tuple[bytes, ...]]:
+        found = self.get((ident, len(packed)))
+        if found is None or found[0] != packed:
+            found = packed, _unpacked(packed)
+            if self.size > 200_000:
+                self.clear()
+                self.size = 0
+            self[ident, len(packed)] = found
+            self.size += len(found[1])
+        return found[1]
+
+
+def _unpacked(packed: bytes) -> set[tuple[bytes, ...]]:
+    return shingle_set(zlib.decompress(packed).decode("utf-8", "surrogatepass"))
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Of pairs (a, b), those whose full sets of shingles are alike; texts: (id, packed)."""
-    both = pairs.join(texts.select(F.col("id").alias("a"), F.col("packed").alias("text_a")), "a").join(texts.select(F.col("id").alias("b"), F.col("packed").alias("text_b")), "b")
+    pairs = written(pairs)
+    hubs = texts.select(F.col("id").alias("b"), F.col("packed").alias("text_b")).join(if_small(pairs.select("b").distinct(), SMALL_IDS), "b", "left_semi")
+    size = hubs.agg(F.sum(F.octet_length("text_b") + 64)).first()[0] or 0
+    own = texts.select(F.col("id").alias("a"), F.col("packed").alias("text_a"))
+    both = own.join(if_small(pairs, SMALL_IDS), "a").join(F.broadcast(hubs) if size <= SMALL_BYTES else hubs, "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpacked = lambda raw: shingle_set(zlib.decompress(raw).decode("utf-8", "surrogatepass"))
-        last, last_set = None, set()
+        known = _Sets()
         for batch in batches:
-            keep = []
-            for b, x, y in zip(*(batch.column(c).to_pylist() for c in ("b", "text_a", "text_b")), strict=True):
-                if (b, y) != last:
-                    last, last_set = (b, y), unpacked(y)
-                own = unpacked(x)
-                common = len(own & last_set)
-                keep.append(100 * common >= SIMILAR * (len(own) + len(last_set) - common))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            for i in range(0, batch.num_rows, 64):
+                part = batch.slice(i, 64)
+                keep = []
+                for b, x, y in zip(*(part.column(c).to_pylist() for c in ("b", "text_a", "text_b")), strict=True):
+                    of_b, of_a = known.of(b, y), _unpacked(x)
+                    common = len(of_a & of_b)
+                    keep.append(100 * common >= SIMILAR * (len(of_a) + len(of_b) - common))
+                yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long")
 
@@ -165,7 +193,7 @@ def _tag(set_id: Column) -> Column:
 
 
 def own_shingles(texts: DataFrame) -> DataFrame:
-    """(tag, own): the cells of the shingles that no other of the texts has; texts: (packed)."""
+    """(tag, own): how many shingles of each cell no other of the texts has; texts: (packed)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
@@ -179,7 +207,9 @@ def own_shingles(texts: DataFrame) -> DataFrame:
 
     rows = texts.select("packed").mapInArrow(run, "h long, tag long")
     alone = rows.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.min("tag").alias("tag")).where("n = 1")
-    return alone.groupBy("tag").agg(F.collect_list(F.pmod("h", F.lit(CELLS)).cast("smallint")).alias("own"))
+    cell = F.pmod("h", F.lit(CELLS))
+    counts = alone.groupBy("tag").agg(*[F.count_if(cell == i).alias(f"n{i}") for i in range(CELLS)])
+    return counts.select("tag", F.array(*[F.col(f"n{i}").cast("int") for i in range(CELLS)]).alias("own"))
 
 
 def _set_tag(hashes: np.ndarray) -> int:
@@ -234,16 +264,16 @@ def _labelled(posts: DataFrame, links: DataFrame | None) -> DataFrame:
 
 
 def _mixed_lists(lists: DataFrame, turn: int) -> DataFrame:
-    """Of rows (key, id, label, weight) the keys with more than one label, and their hub."""
+    """Of rows (key, id, label, weight) the keys with more than one label, their hub and their rows."""
     first = F.col("weight") if turn == 0 else F.xxhash64(F.lit(turn), "id")
     hub = F.max(F.struct(first.alias("first"), (-F.col("id")).alias("neg"), "label"))
-    keys = lists.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), hub.alias("hub"))
-    return keys.where("low <> high").select("key", (-F.col("hub.neg")).alias("hub"), F.col("hub.label").alias("hub_label"))
+    keys = lists.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), hub.alias("hub"), F.count(F.lit(1)).alias("rows"))
+    return keys.where("low <> high").select("key", (-F.col("hub.neg")).alias("hub"), F.col("hub.label").alias("hub_label"), "rows")
 
 
 def _can_be_alike(x: str, y: str) -> Column:
     """Whether the bounds of the intersection allow the likeness asked for; x and y: prefixes of
-    the columns n_shingles, shared, wide, and c0 to c3, which have a cell in each byte."""
+    the columns n_shingles, shared, wide, and c0 onwards, which have a cell in each byte."""
     n = F.col(f"{x}n_shingles") + F.col(f"{y}n_shingles")
     enough = lambda most: (100 + SIMILAR) * most >= SIMILAR * n
     byte = lambda side, i: F.shiftright(F.col(f"{side}c{i // 8}"), 8 * (i % 8)).bitwiseAND(F.lit(255))
@@ -252,30 +282,41 @@ def _can_be_alike(x: str, y: str) -> Column:
 
 
 def _packed_cells(cells: Column) -> dict[str, Column]:
-    """c0 to c3: eight cells each, a byte a cell (255 and more as 255); wide: some cell is above 255."""
+    """c0 onwards: eight cells each, a byte a cell (255 and more as 255); wide: some cell is above 255."""
     word = lambda k: F.aggregate(F.slice(cells, 8 * k + 1, 8), F.lit(0).cast("long"), lambda acc, v: F.shiftleft(acc, 8).bitwiseOR(F.least(v, F.lit(255)).cast("long")))
     return {**{f"c{k}": word(k) for k in range(CELLS // 8)}, "wide": F.exists(cells, lambda v: v > 255)}
 
 
 def candidates_of(marks: DataFrame) -> DataFrame:
-    """(id, set_id, n_shingles, posts): classes with enough postings that others share, the
-    rarest posting first."""
-    first = marks.where("set_id is not null and doc_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("id"))
-    classes = marks.join(first, "set_id").where("doc_id = id").dropDuplicates(["set_id"]).select("id", "set_id", "n_shingles", "posts")
-    single = classes.select("id", "set_id", "n_shingles", F.explode("posts").alias("key"))
+    """(id, tag, n_shingles, posts): classes with enough postings that others share, the
+    rarest posting first; a posting's key is coordinate << 32 | value."""
+    one = F.min_by(F.struct("n_shingles", "posts"), "doc_id")
+    classes = marks.where("set_id is not null and doc_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("id"), one.alias("of"))
+    key = F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("value").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
+    single = classes.select("id", F.posexplode("of.posts").alias("at", "value")).select("id", key.alias("key"))
     shared = single.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    left = single.join(shared, "key").groupBy("id", "set_id", "n_shingles").agg(F.array_sort(F.collect_list(F.struct("n", "key"))).alias("posts"))
-    return left.where(F.size("posts") >= MATCHES)
+    left = single.join(shared, "key").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("n", "key"))).alias("posts"))
+    left = left.where(F.size("posts") >= MATCHES)
+    sizes = classes.select("id", _tag(F.col("set_id")).alias("tag"), F.col("of.n_shingles").alias("n_shingles"))
+    return left.join(sizes, "id")
+
+
+def _in_blocks(lists: DataFrame) -> DataFrame:
+    """Each row of lists (key, id, rows) once for each pair (low, high) of blocks of its list
+    that its own block belongs to; lists of up to LIST rows are one block."""
+    blocks = F.ceil(F.col("rows") / LIST).cast("int")
+    own = lists.withColumn("block", F.pmod(F.xxhash64("id"), blocks).cast("int"))
+    met = own.withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    return met.withColumns({"low": F.least("block", "_other"), "high": F.greatest("block", "_other")}).drop("_other", "rows")
 
 
 def links_of(docs: DataFrame, marks: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
     """Confirmed links (a, b) between classes, each under its smallest id; marks from ``signed``."""
     found = written(candidates_of(marks))
-    texts = written(_packed(docs.select(key, column).join(found.select(F.col("id").alias(key)).distinct(), key), key, column))
+    texts = written(_packed(docs.select(key, column).join(if_small(found.select(F.col("id").alias(key)).distinct(), SMALL_IDS), key, "left_semi"), key, column))
     counted = texts.select("tag", "cells").dropDuplicates(["tag"]).join(own_shingles(texts), "tag", "left")
-    left = lambda own: F.transform("cells", lambda n, i: n - F.size(F.filter(own, lambda c: c == i)))
-    counted = counted.select("tag", F.when(F.col("own").isNull(), F.col("cells")).otherwise(left(F.col("own"))).alias("cells"))
-    found = found.withColumn("tag", _tag(F.col("set_id"))).join(counted, "tag")
+    counted = counted.select("tag", F.when(F.col("own").isNull(), F.col("cells")).otherwise(F.zip_with("cells", "own", lambda n, own: n - own)).alias("cells"))
+    found = found.join(counted, "tag")
     total = F.aggregate("cells", F.lit(0), lambda acc, n: acc + n)
     weight = F.aggregate("posts", F.lit(0).cast("long"), lambda acc, p: acc + p["n"])
     packed = _packed_cells(F.col("cells"))
@@ -296,10 +337,12 @@ def links_of(docs: DataFrame, marks: DataFrame, key: str = "doc_id", column: str
 
     now = written(_labelled(posts, links))
     prefix = now.select("id", "n_shingles", "shared", *packed, "label", "weight", F.explode(F.expr(f"slice(keys, 1, size(keys) - {MATCHES - 1})")).alias("key"))
-    apart = prefix.join(_mixed_lists(prefix, 0).select("key"), "key").drop("weight")
+    apart = _in_blocks(prefix.join(_mixed_lists(prefix, 0).select("key", "rows"), "key").drop("weight"))
     x, y = apart.alias("x"), apart.alias("y")
-    on = (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id")) & (F.col("x.label") != F.col("y.label")) & _can_be_alike("x.", "y.")
-    candidates = x.join(y, on).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct()
+    meet = (F.col("x.key") == F.col("y.key")) & (F.col("x.low") == F.col("y.low")) & (F.col("x.high") == F.col("y.high"))
+    once = (F.col("x.id") < F.col("y.id")) & ((F.col("x.low") == F.col("x.high")) | (F.col("x.block") != F.col("y.block")))
+    on = meet & once & (F.col("x.label") != F.col("y.label")) & _can_be_alike("x.", "y.")
+    candidates = written(x.join(y, on).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
     keys = posts.select("id", "keys")
     counted = candidates.join(keys.select(F.col("id").alias("a"), F.col("keys").alias("ka")), "a").join(keys.select(F.col("id").alias("b"), F.col("keys").alias("kb")), "b")
     enough = counted.where(F.size(F.array_intersect("ka", "kb")) >= MATCHES).select("a", "b")
@@ -311,17 +354,18 @@ def clustered(docs: DataFrame, key: str = "doc_id", column: str = "text") -> Dat
     marks = written(signed(docs, key, column))
     links = links_of(docs, marks, key, column)
     labels = components(links)
-    first = marks.where("set_id is not null and doc_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("id"))
-    by_set = first.join(labels, "id", "left").select("set_id", F.coalesce("label", "id").alias("component_id"))
-    out = marks.select("doc_id", "n_shingles", "set_id").join(by_set, "set_id", "left")
+    first = marks.where("set_id is not null and doc_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("id"), F.max("doc_id").alias("last"))
+    by_set = first.join(labels, "id", "left").select("set_id", F.coalesce("label", "id").alias("component_id"), "last")
+    by_set = written(by_set.where(F.col("last") != F.col("component_id")).drop("last"))  # all others are alone
+    out = marks.select("doc_id", "n_shingles", "set_id").join(if_small(by_set, 100_000), "set_id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
     """The rows of docs that are the first of their component, columns unchanged."""
-    gone = clustered(docs, key, column).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col(key) == F.col("_gone"), "left_anti")
+    gone = written(clustered(docs, key, column).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct())
+    return docs.join(if_small(gone, SMALL_IDS), F.col(key) == F.col("_gone"), "left_anti")
 
 
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
