@@ -128,6 +128,29 @@ def test_water_filling(spark):
     assert single["copies"] in (1, 2)
 
 
+def test_equal_rows_are_sampled_each(spark):
+    rows = [(7, "same", "w " * 13, "en")] * 200 + [(i, f"s{i:02d}", "w " * (20 + i), "en") for i in range(1, 28)] + [(1, "s01", "w " * 21, "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string, copies string")
+    plan = mixing.plan(docs).toPandas()
+    assert len(plan) == len(rows)
+    for _, g in plan.groupby("source"):
+        assert abs((g["copies"] * g["size"]).sum() - g.target.iloc[0]) <= g["size"].min() / 2 + 1e-9 and g["copies"].max() <= 2
+    mixed = mixing.mix(docs)
+    assert mixed.columns == docs.columns and mixed.count() == plan["copies"].sum()
+    assert mixed.where("source = 'same'").count() == plan[plan.source == "same"]["copies"].sum()
+
+
+def test_many_sources_are_lined_up(spark):
+    docs = spark.range(600).select(F.col("id").alias("doc_id"), F.format_string("s%04d", F.col("id")).alias("source"), F.repeat(F.lit("w "), (F.col("id") % 50).cast("int")).alias("text"))
+    plan = mixing.plan(docs).toPandas().sort_values("source")
+    sizes, weights = plan["size"].to_numpy(float), np.resize([5.0, 2.0, 1.0], len(plan))
+    low, high = 0.0, 1e6
+    for _ in range(200):
+        middle = (low + high) / 2
+        low, high = (middle, high) if np.minimum(2 * sizes, weights * middle).sum() < 1.5 * sizes.sum() else (low, middle)
+    assert np.allclose(plan.target, np.minimum(2 * sizes, weights * high))
+
+
 def brute(docs):
     sets = {}
     for i, t in docs:
