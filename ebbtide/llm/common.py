@@ -43,6 +43,14 @@ def written(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """The name, or a longer one if the table has a column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def if_small(df: DataFrame, rows: int = 50_000) -> DataFrame:
     """The table, marked for broadcast only if counting finds it small; else Spark shuffles it.
 

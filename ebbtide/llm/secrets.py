@@ -3,16 +3,21 @@
 Two first-order Markov models over an alphabet of 66 symbols are counted from labelled
 samples: random strings (keys, digests, tokens) and ordinary identifiers.  A run of 20 or
 more such symbols is a secret if the log-likelihood ratio of the two models, per pair of
-characters, is above a threshold that at most one in a thousand ordinary samples exceeds.
-The model is a table of 66 x 66 numbers, whatever the samples' size; scans are DataFrame
-expressions on each text alone, without any shuffle.
+characters, is above a limit.  The limit is set on samples that the models have not seen: at
+most one in a thousand of their ordinary ones exceeds it, and where the random ones lie
+further up it is the middle between the two.  The model is a table of 66 x 66 numbers,
+whatever the samples' size; scans are DataFrame expressions on each text alone, without any
+shuffle.
 
 ``samples`` may be any table (text, label); by default they are made from a seed and from
 the words below.
 
 Edge cases: null is the empty text, without spans; spans count code points, end exclusive;
-equal texts have equal spans; other columns pass through ``with_spans``; an empty table stays
-empty.
+spans of a pattern never overlap, those of different kinds may, and all are listed; equal
+texts have equal spans; a text with many thousands of spans is handled in blocks of them; an
+empty table stays empty; other columns pass through ``with_spans``, where columns named as
+its outputs (parameters ``base`` and ``spans``) are replaced; without samples no run is a
+secret.
 """
 
 from __future__ import annotations
@@ -22,7 +27,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm.common import table, text_of
+from ebbtide.llm.common import fresh, table, text_of
 
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 # The same matches as AKIA[A-Z0-9]+ of 16 and [0-9a-f]+ of 32 or more: both take whole runs.
@@ -36,6 +41,10 @@ CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
 SEED = "ebbtide"
 SAMPLES = 6000
 FALSE_RATE = 0.001
+#: One in so many samples sets the limit and trains nothing.
+ASIDE = 4
+#: Spans of a text are found in blocks of so many.
+BLOCK = 256
 SCALE = 1000
 
 #: Words that ordinary identifiers are made of, in the default samples.
@@ -88,10 +97,12 @@ def default_samples(spark: SparkSession, n: int = SAMPLES, seed: str = SEED) ->
     return ids.select(random.alias("text"), F.lit(1).alias("label")).unionByName(ids.select(ordinary.alias("text"), F.lit(0).alias("label")))
 
 
-def _pair(text: Column, i: Column) -> Column:
-    """The index of the pair of symbols at i (1-based) of a candidate."""
-    symbol = lambda j: F.position(F.substring(text, j, F.lit(1)), F.lit(SYMBOLS)) - 1
-    return symbol(i) * N + symbol(i + 1)
+def _pairs(run: Column) -> Column:
+    """The indexes of the pairs of symbols of a run, in order."""
+    symbols = F.transform(F.filter(F.split(run, ""), lambda c: c != ""), lambda c: F.position(c, F.lit(SYMBOLS)) - 1)
+    pairs = lambda at: F.zip_with(F.slice(at, F.lit(1), F.size(at) - 1), F.slice(at, F.lit(2), F.size(at) - 1), lambda a, b: a * N + b)
+    # transform over a one-element array binds the symbols once
+    return F.element_at(F.transform(F.array(symbols), pairs), 1)
 
 
 def fit(samples: DataFrame) -> list[int]:
@@ -99,7 +110,7 @@ def fit(samples: DataFrame) -> list[int]:
 
     Pairs are counted by Spark; what reaches the driver has at most 2 x 66 x 66 rows."""
     runs = samples.select("label", F.explode(F.regexp_extract_all(text_of(), F.lit(r"[A-Za-z0-9+/_-]{2,}"), F.lit(0))).alias("run"))
-    pairs = runs.select("label", F.explode(F.transform(F.sequence(F.lit(1), F.char_length("run") - 1), lambda i: _pair(F.col("run"), i))).alias("pair"))
+    pairs = runs.select("label", F.explode(_pairs(F.col("run"))).alias("pair"))
     counts = {(r["label"], r["pair"]): r["n"] for r in pairs.groupBy("label", "pair").agg(F.count(F.lit(1)).alias("n")).collect()}
 
     def model(label: int) -> list[float]:
@@ -115,19 +126,20 @@ def fit(samples: DataFrame) -> list[int]:
 def ratio(run: Column, model: list[int]) -> Column:
     """Mean log-likelihood ratio of a run's pairs, in thousandths."""
     numbers = F.split(F.lit(",".join(map(str, model))), ",").cast("array<int>")  # folded to a constant
-    total = F.aggregate(
-        F.sequence(F.lit(1), F.char_length(run) - 1),
-        F.lit(0).cast("long"),
-        lambda acc, i: acc + F.element_at(numbers, (_pair(run, i) + 1).cast("int")),
-    )
+    total = F.aggregate(_pairs(run), F.lit(0).cast("long"), lambda acc, p: acc + F.element_at(numbers, p + 1))
     return total / (F.char_length(run) - 1)
 
 
 def threshold(samples: DataFrame, model: list[int], false_rate: float = FALSE_RATE) -> float:
-    """The ratio that at most ``false_rate`` of the ordinary samples exceed, 0 at least."""
-    scored = samples.where((F.col("label") == 0) & F.col("text").rlike(f"^{CANDIDATE}$")).select(ratio(F.col("text"), model).alias("r"))
-    row = scored.agg(F.percentile("r", 1.0 - false_rate).alias("t")).first()
-    return max(0.0, row["t"] or 0.0)
+    """The ratio that at most ``false_rate`` of the ordinary samples exceed, or the middle
+    between it and the ratio that all but a hundredth of the random ones exceed, if that is more."""
+    scored = samples.where(F.col("text").rlike(f"^{CANDIDATE}$")).select("label", ratio(F.col("text"), model).alias("r"))
+    high = F.percentile(F.when(F.col("label") == 0, F.col("r")), 1.0 - false_rate)
+    low = F.percentile(F.when(F.col("label") == 1, F.col("r")), 0.01)
+    row = scored.agg(high.alias("high"), low.alias("low")).first()
+    if row["high"] is None:
+        return math.inf
+    return max(row["high"], (row["high"] + row["low"]) / 2 if row["low"] is not None else row["high"])
 
 
 def _spans(text: Column, pattern: str, rank: int, keep) -> Column:
@@ -137,31 +149,36 @@ def _spans(text: Column, pattern: str, rank: int, keep) -> Column:
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     gaps = F.transform(F.split(text, pattern), lambda x: F.char_length(x))
     kind = "array<struct<start:int,kind:int,end:int>>"
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
-
     def step(acc: Column, pair: Column) -> Column:
         start = acc["at"] + pair["gap"]
         end = start + F.char_length(pair["match"])
         span = F.struct(start.alias("start"), F.lit(rank).alias("kind"), end.alias("end"))
         return F.struct(end.alias("at"), F.when(keep(pair["match"]), F.concat(acc["out"], F.array(span))).otherwise(acc["out"]).alias("out"))
 
+    def of_block(pairs: Column, i: Column) -> Column:
+        before = F.aggregate(F.slice(pairs, F.lit(1), i * BLOCK), F.lit(0), lambda acc, p: acc + p["gap"] + F.char_length(p["match"]))
+        zero = F.struct(before.alias("at"), F.array().cast(kind).alias("out"))
+        return F.aggregate(F.slice(pairs, i * BLOCK + 1, F.lit(BLOCK)), zero, step, lambda acc: acc["out"])
+
     zipped = F.zip_with(found, F.slice(gaps, F.lit(1), F.size(found)), lambda m, g: F.struct(m.alias("match"), g.alias("gap")))
-    return F.when(text.rlike(pattern), F.aggregate(zipped, zero, step, lambda acc: acc["out"])).otherwise(F.array().cast(kind))
+    blocks = lambda pairs: F.flatten(F.transform(F.sequence(F.lit(0), F.floor((F.size(pairs) - 1) / BLOCK).cast("int")), lambda i: of_block(pairs, i)))
+    # transform over a one-element array binds the matches once
+    return F.when(text.rlike(pattern), F.element_at(F.transform(F.array(zipped), blocks), 1)).otherwise(F.array().cast(kind))
 
 
-def with_spans(df: DataFrame, model: list[int], limit: float, column: str = "text") -> DataFrame:
-    """Add ``base`` and ``spans``: sorted arrays of (start, kind, end), kind by place in KINDS."""
+def with_spans(df: DataFrame, model: list[int], limit: float, column: str = "text", base: str = "base", spans: str = "spans") -> DataFrame:
+    """Add ``base`` (the fixed patterns') and ``spans`` (all): sorted arrays of (start, kind, end), kind by place in KINDS."""
     text = text_of(column)
     always = lambda m: F.lit(True)
-    base = F.concat(
+    fixed = F.concat(
         _spans(text, ASSIGN, 0, lambda m: F.char_length(F.regexp_extract(m, ASSIGN, 2)) >= 8),
         _spans(text, ACCESS, 1, always),
         _spans(text, HEX, 2, always),
     )
-    markov = _spans(text, CANDIDATE, 3, lambda m: ratio(m, model) > limit)
-    found = df.withColumn("base", F.array_sort(base)).withColumn("_markov", markov)
-    apart = F.filter("_markov", lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    return found.withColumn("spans", F.array_sort(F.concat("base", apart))).drop("_markov")
+    markov = _spans(text, CANDIDATE, 3, lambda m: ratio(m, model) > F.lit(limit))
+    own = fresh(df, "_markov")
+    found = df.withColumns({own: markov, base: F.array_sort(fixed)})
+    return found.withColumn(spans, F.array_sort(F.concat(base, own))).drop(own)
 
 
 def rendered(spans: Column) -> Column:
@@ -183,15 +200,18 @@ def masked(text: Column, spans: Column, mask: str = "[SECRET]") -> Column:
 
 
 def trained(spark: SparkSession, samples: DataFrame | None = None) -> tuple[list[int], float]:
+    """The model, from most of the samples, and its limit, from the others."""
     samples = default_samples(spark) if samples is None else samples
-    model = fit(samples)
-    return model, threshold(samples, model)
+    aside = F.pmod(F.xxhash64(F.lit(SEED), "text"), F.lit(ASIDE)) == 0
+    model = fit(samples.where(~F.coalesce(aside, F.lit(False))))
+    return model, threshold(samples.where(aside), model)
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = with_spans(docs, *trained(spark))
-    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    apart = F.filter("spans", lambda s: (s["kind"] == 3) & ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
     return found.select(
         "doc_id",
         count(0).alias("n_assign"),
@@ -199,6 +219,8 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         count(2).alias("n_hex"),
         F.sha2(rendered(F.col("base")), 256).alias("base_sha256"),
         rendered(F.col("spans")).alias("spans"),
+        count(3).alias("n_markov"),
+        F.size(apart).cast("long").alias("n_markov_apart"),
     )
 
 

@@ -56,7 +56,7 @@ SECRET = 'key: password = "abcdefgh1"; Token:short TOKEN=abcdefghij AKIAABCDEFGH
 
 
 def test_secret_spans(spark):
-    df = spark.createDataFrame([(1, SECRET, "b"), (2, None, "b"), (3, "", "b"), (4, "é" + SECRET * 3, "b")], "doc_id long, text string, base string").drop("base")
+    df = spark.createDataFrame([(1, SECRET, "b"), (2, None, "b"), (3, "", "b"), (4, "é" + SECRET * 300, "b"), (4, "é" + SECRET * 300, "b")], "doc_id long, text string, base string")
     model, limit = secrets.trained(spark)
     rows = secrets.with_spans(df, model, limit).select("doc_id", "text", secrets.rendered(F.col("base")).alias("base"), secrets.masked(common.text_of(), F.col("spans")).alias("m")).collect()
     pattern = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -81,6 +81,35 @@ def test_markov_models_tell_random_from_ordinary(spark):
     assert spans == "markov:4:28"
 
 
+def brute_markov(text, model, limit):
+    found = []
+    for m in re.finditer(secrets.CANDIDATE, text):
+        at = [secrets.SYMBOLS.index(c) for c in m[0]]
+        if sum(model[a * secrets.N + b] for a, b in zip(at, at[1:], strict=False)) / (len(at) - 1) > limit:
+            found.append((m.start(), 3, m.end()))
+    return found
+
+
+def test_markov_spans_equal_brute_force(spark):
+    model, limit = secrets.trained(spark)
+    rng = np.random.default_rng(8)
+    alphabet = list("ABCDEFGHJKMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789")
+    planted = ["".join(rng.choice(alphabet, 28)) for _ in range(40)]
+    texts = [f"the deploy key is {p}, administration_of_the_gesellschaft é and internationalisation_of_everything {SECRET}" for p in planted]
+    texts += [" ".join(planted * 20), "a" * 100_000, None, ""]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    rows = secrets.with_spans(df, model, limit, spans="all").orderBy("doc_id").collect()
+    caught = 0
+    for r, t in zip(rows, texts, strict=True):
+        assert [tuple(s) for s in r["all"] if s["kind"] == 3] == brute_markov(t or "", model, limit)
+        assert [s for s in r["all"] if s["kind"] < 3] == r.base
+        caught += any(s["start"] == 18 and s["end"] == 46 for s in r["all"])
+    assert caught >= 38 and not rows[-1]["all"] and not rows[-2]["all"]
+    none = spark.createDataFrame([], "text string, label int")
+    empty, without = secrets.trained(spark, none)
+    assert without == float("inf") and not [s for s in secrets.with_spans(df.limit(1), empty, without).first().spans if s["kind"] == 3]
+
+
 def test_surrogates(spark):
     text = "Mail Bob.1@mail.example.com or bob.1@MAIL.example.com, call +1 (415) 555-7123 or 1 415 555 7123, card 4111111111111111, IP 10.20.30.40. Anna Schmidt met Анна Иванова."
     df = spark.createDataFrame([(1, text, 5), (2, "nothing here", 6), (3, None, 7), (None, "x@y.org", 8), (2, "x@y.org again 10.20.30.40", 9)], "doc_id long, text string, extra int")
