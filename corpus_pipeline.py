@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.llm import bpe, minhash, mixing, secrets, toxicity
-from ebbtide.llm.common import table, text_of, written
+from ebbtide.llm.common import fresh, table, text_of, written
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is at or above their language's threshold go."""
     model = toxicity.fitted(docs, table(spark, sf_dir, "labels"))
-    return toxicity.with_scores(docs, model).where(~F.col("flagged")).select(*docs.columns)
+    names = {n: fresh(docs, n) for n in ("score", "lang_threshold", "flagged")}
+    return toxicity.with_scores(docs, model, **names).where(~F.col(names["flagged"])).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,10 +29,11 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked in the text; all documents stay, and n_chars follows the text."""
-    found = secrets.with_spans(docs, *secrets.trained(spark))
-    found = found.withColumn("text", F.when(F.size("spans") > 0, secrets.masked(text_of(), F.col("spans"))).otherwise(F.col("text")))
+    base, spans = fresh(docs, "base"), fresh(docs, "spans")
+    found = secrets.with_spans(docs, *secrets.trained(spark), base=base, spans=spans)
+    found = found.withColumn("text", F.when(F.size(spans) > 0, secrets.masked(text_of(), F.col(spans))).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        found = found.withColumn("n_chars", F.when(F.size("spans") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
+        found = found.withColumn("n_chars", F.when(F.size(spans) > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")))
     return found.select(*docs.columns)
 
 
