@@ -18,8 +18,9 @@ groups of near copies with a row per class and coordinate, whatever their size.
 prefix join over what is still apart: two classes of different components that share at least
 ``MATCHES`` coordinates share one in the first ``size - MATCHES + 1`` of their postings,
 rarest first (prefix filter).  Lists of more than ``LIST`` classes are dealt out as pairs of
-blocks, so no task holds a whole list.  Only pairs within the bound leave that join; their
-collisions are counted, pairs below the threshold are skipped, and the others are confirmed.
+blocks, so no task holds a whole list.  Within a list, pairs beyond the bound or below the
+match threshold are skipped, and each other pair leaves the first list that both are in and
+is confirmed.
 So every pair of classes that reaches the match threshold is either confirmed itself or lies
 within one component already.
 
@@ -27,8 +28,10 @@ Confirming compares the full sets of shingles of both texts: 100 * intersection
 union.  Two sets of likeness 0.75 agree in fewer than 28 of 64 coordinates with a probability
 below 1e-7, so in practice no link is lost; tests compare with brute force.
 
-Components come from rounds of taking the smallest label of the neighbours and of the label's
-own label; links, labels and signatures stay in tables in the shared folder.
+After each star round the classes take the label of the smallest component they are linked
+with.  In the end, components of the few links that are left between labels come from rounds
+of taking the smallest label of the neighbours and of the label's own label; links, labels and
+signatures stay in tables in the shared folder.
 
 Edge cases: null, empty and blank texts have an empty set and are linked with nothing; texts
 below 5 words have one shingle, the whole sequence; rows of equal id are one document; rows
@@ -56,9 +59,10 @@ MATCHES = 28
 SIMILAR = 75  # per cent
 STAR_ROUNDS = 3
 CELLS = 64
+MOST = 32_767  # shingles that a cell counts
 LIST = 1024
 #: Rows of ids, or bytes of texts, that a broadcast may have; beyond that Spark shuffles both sides.
-SMALL_IDS, SMALL_BYTES = 500_000, 32 << 20
+SMALL_IDS, SMALL_BYTES = 200_000, 32 << 20
 SEED = 99
 
 _rng = np.random.default_rng(SEED)
@@ -234,33 +238,39 @@ def _packed(docs: DataFrame, key: str, column: str) -> DataFrame:
     return docs.select(F.col(key).cast("long").alias(key), column).mapInArrow(run, "id long, tag long, cells array<int>, packed binary")
 
 
-def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
-    """(id, label) for every id in links (a, b).  After enough rounds (None: until nothing
-    changes) the label is the component's smallest id; before, equal labels still mean one
-    component."""
+def components(links: DataFrame) -> DataFrame:
+    """(id, label) for every id in links (a, b); the label is the component's smallest id."""
     ways = written(links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     state = ways.groupBy("a").agg(F.min("b").alias("near")).select(F.col("a").alias("id"), F.least("a", "near").alias("label"))
-    done = 0
     while True:
         state = written(state)
-        if rounds is not None and done >= rounds:
-            return state
-        of = state.select(F.col("id").alias("b"), F.col("label").alias("seen"))
+        of = if_small(state.select(F.col("id").alias("b"), F.col("label").alias("seen")), SMALL_IDS)
         near = ways.join(of, "b").groupBy("a").agg(F.min("seen").alias("seen"))
         low = near.join(state, near["a"] == state["id"]).select("id", "label", F.least("label", "seen").alias("low"))
-        up = state.select(F.col("id").alias("low"), F.col("label").alias("up"))
+        up = if_small(state.select(F.col("id").alias("low"), F.col("label").alias("up")), SMALL_IDS)
         moved = written(low.join(up, "low", "left").select("id", "label", F.least("low", F.coalesce("up", "low")).alias("new")))
-        done += 1
-        if rounds is None and not moved.where("new < label").limit(1).count():
+        if not moved.where("new < label").limit(1).count():
             return moved.select("id", F.col("new").alias("label"))
         state = moved.select("id", F.col("new").alias("label"))
 
 
-def _labelled(posts: DataFrame, links: DataFrame | None) -> DataFrame:
-    if links is None:
-        return posts.withColumn("label", F.col("id"))
-    labels = components(links, rounds=2)
-    return posts.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+def _between(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """(a, b) of the labels that links join, where they differ; labels: (id, label) of every class."""
+    small = if_small(labels, SMALL_IDS)
+    of_a, of_b = (small.select(F.col("id").alias(c), F.col("label").alias(f"of_{c}")) for c in "ab")
+    return links.join(of_a, "a").join(of_b, "b").where("of_a <> of_b").select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
+
+
+def _relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after two steps to the smallest label that links lead to: equal ones still mean
+    one component, and the classes that were linked with one hub get one label."""
+    pairs = _between(links, labels)
+    ways = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    up = written(ways.groupBy("a").agg(F.min("b").alias("up")).where("up < a"))
+    up = if_small(up, SMALL_IDS)
+    for _ in range(2):
+        labels = labels.join(up, F.col("label") == F.col("a"), "left").select("id", F.coalesce("up", "label").alias("label"))
+    return written(labels)
 
 
 def _mixed_lists(lists: DataFrame, turn: int) -> DataFrame:
@@ -271,25 +281,14 @@ def _mixed_lists(lists: DataFrame, turn: int) -> DataFrame:
     return keys.where("low <> high").select("key", (-F.col("hub.neg")).alias("hub"), F.col("hub.label").alias("hub_label"), "rows")
 
 
-def _can_be_alike(x: str, y: str) -> Column:
-    """Whether the bounds of the intersection allow the likeness asked for; x and y: prefixes of
-    the columns n_shingles, shared, wide, and c0 onwards, which have a cell in each byte."""
-    n = F.col(f"{x}n_shingles") + F.col(f"{y}n_shingles")
-    enough = lambda most: (100 + SIMILAR) * most >= SIMILAR * n
-    byte = lambda side, i: F.shiftright(F.col(f"{side}c{i // 8}"), 8 * (i % 8)).bitwiseAND(F.lit(255))
-    by_cell = sum((F.least(byte(x, i), byte(y, i)) for i in range(1, CELLS)), F.least(byte(x, 0), byte(y, 0)))
-    return enough(F.least(f"{x}shared", f"{y}shared")) & ((F.col(f"{x}wide") & F.col(f"{y}wide")) | enough(by_cell))
-
-
-def _packed_cells(cells: Column) -> dict[str, Column]:
-    """c0 onwards: eight cells each, a byte a cell (255 and more as 255); wide: some cell is above 255."""
-    word = lambda k: F.aggregate(F.slice(cells, 8 * k + 1, 8), F.lit(0).cast("long"), lambda acc, v: F.shiftleft(acc, 8).bitwiseOR(F.least(v, F.lit(255)).cast("long")))
-    return {**{f"c{k}": word(k) for k in range(CELLS // 8)}, "wide": F.exists(cells, lambda v: v > 255)}
+def _enough(most: Column | np.ndarray, n: Column | np.ndarray) -> Column | np.ndarray:
+    """Whether sets of n shingles together that share ``most`` at best can be alike."""
+    return (100 + SIMILAR) * most >= SIMILAR * n
 
 
 def candidates_of(marks: DataFrame) -> DataFrame:
-    """(id, tag, n_shingles, posts): classes with enough postings that others share, the
-    rarest posting first; a posting's key is coordinate << 32 | value."""
+    """(id, tag, n_shingles, posts, signature): classes with enough postings that others share,
+    the rarest posting first; a posting's key is coordinate << 32 | value."""
     one = F.min_by(F.struct("n_shingles", "posts"), "doc_id")
     classes = marks.where("set_id is not null and doc_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("id"), one.alias("of"))
     key = F.shiftleft(F.col("at").cast("long"), 32).bitwiseOR(F.col("value").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
@@ -297,7 +296,7 @@ def candidates_of(marks: DataFrame) -> DataFrame:
     shared = single.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     left = single.join(shared, "key").groupBy("id").agg(F.array_sort(F.collect_list(F.struct("n", "key"))).alias("posts"))
     left = left.where(F.size("posts") >= MATCHES)
-    sizes = classes.select("id", _tag(F.col("set_id")).alias("tag"), F.col("of.n_shingles").alias("n_shingles"))
+    sizes = classes.select("id", _tag(F.col("set_id")).alias("tag"), F.col("of.n_shingles").alias("n_shingles"), F.col("of.posts").alias("signature"))
     return left.join(sizes, "id")
 
 
@@ -310,8 +309,59 @@ def _in_blocks(lists: DataFrame) -> DataFrame:
     return met.withColumns({"low": F.least("block", "_other"), "high": F.greatest("block", "_other")}).drop("_other", "rows")
 
 
-def links_of(docs: DataFrame, marks: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
-    """Confirmed links (a, b) between classes, each under its smallest id; marks from ``signed``."""
+def _alike_in_lists(lists: DataFrame) -> DataFrame:
+    """(a, b): pairs of different labels in one list (key, low, high) that share MATCHES
+    coordinates, the list's the first of both masks, and are within the bound."""
+    names = ["key", "low", "high", "block", "id", "label", "n_shingles", "shared", "mask"]
+
+    def pairs(c: dict[str, np.ndarray], s: int, e: int) -> tuple[np.ndarray, np.ndarray]:
+        i, j = np.triu_indices(e - s, 1)
+        apart = (c["label"][s:e][i] != c["label"][s:e][j]) & _enough(np.minimum(c["shared"][s:e][i], c["shared"][s:e][j]), c["n_shingles"][s:e][i] + c["n_shingles"][s:e][j])
+        if c["low"][s] != c["high"][s]:
+            apart &= c["block"][s:e][i] != c["block"][s:e][j]
+        i, j = i[apart] + s, j[apart] + s
+        bits = (c["mask"][s:e, None] >> np.arange(PERMUTATIONS)) & 1 == 1
+        keep = np.zeros(len(i), bool)
+        for at in range(0, len(i), 20_000):
+            x, y = i[at : at + 20_000], j[at : at + 20_000]
+            same = c["signature"][x] == c["signature"][y]
+            found = np.flatnonzero((same.sum(1) >= MATCHES) & ((same & bits[x - s] & bits[y - s]).argmax(1) == c["key"][s] >> 32))
+            x, y = x[found], y[found]
+            least = np.minimum(c["cells"][x], c["cells"][y])
+            keep[at + found] = _enough(least.sum(1, dtype=np.int64), c["n_shingles"][x] + c["n_shingles"][y]) | (least == MOST).any(1)
+        a, b = c["id"][i[keep]], c["id"][j[keep]]
+        return np.minimum(a, b), np.maximum(a, b)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, np.ndarray] | None = None
+        for batch in _and_end(batches):
+            if batch is not None:
+                c = {n: batch.column(n).to_numpy() for n in names}
+                for n in ("cells", "signature"):
+                    c[n] = batch.column(n).flatten().to_numpy().reshape(batch.num_rows, -1)
+                held = c if held is None else {n: np.concatenate([held[n], c[n]]) for n in c}
+            if held is None:
+                continue
+            new = np.diff(held["key"]) | np.diff(held["low"]) | np.diff(held["high"])
+            cuts = [0, *(np.flatnonzero(new) + 1).tolist()] + ([len(held["key"])] if batch is None else [])
+            made = [pairs(held, s, e) for s, e in zip(cuts, cuts[1:], strict=False) if e - s > 1]
+            if made:
+                a, b = (np.concatenate(x) for x in zip(*made, strict=True))
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            held = {n: v[cuts[-1] :] for n, v in held.items()}
+
+    longs = [F.col(n).cast("long").alias(n) for n in names]
+    return lists.select(*longs, "cells", "signature").repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(run, "a long, b long")
+
+
+def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    yield from (b for b in batches if b.num_rows)
+    yield None
+
+
+def labels_of(docs: DataFrame, marks: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
+    """(id, label) of classes that confirmed links join, each under its smallest id, the label
+    being its component's smallest id; marks from ``signed``."""
     found = written(candidates_of(marks))
     texts = written(_packed(docs.select(key, column).join(if_small(found.select(F.col("id").alias(key)).distinct(), SMALL_IDS), key, "left_semi"), key, column))
     counted = texts.select("tag", "cells").dropDuplicates(["tag"]).join(own_shingles(texts), "tag", "left")
@@ -319,41 +369,43 @@ def links_of(docs: DataFrame, marks: DataFrame, key: str = "doc_id", column: str
     found = found.join(counted, "tag")
     total = F.aggregate("cells", F.lit(0), lambda acc, n: acc + n)
     weight = F.aggregate("posts", F.lit(0).cast("long"), lambda acc, p: acc + p["n"])
-    packed = _packed_cells(F.col("cells"))
-    posts = found.select("id", "n_shingles", total.cast("long").alias("shared"), *[c.alias(k) for k, c in packed.items()], weight.alias("weight"), F.col("posts.key").alias("keys"))
+    cells = F.transform("cells", lambda n: F.least(n, F.lit(MOST)).cast("smallint"))
+    posts = found.select("id", "n_shingles", total.cast("long").alias("shared"), cells.alias("cells"), "signature", weight.alias("weight"), F.col("posts.key").alias("keys"))
     posts = written(posts.where(F.col("shared") * 100 >= F.col("n_shingles") * SIMILAR))
 
     links = None
-    one = posts.select("id", F.struct("n_shingles", "shared", *packed).alias("s"))
+    labels = written(posts.select("id", F.col("id").alias("label")))
+    one = posts.select("id", F.struct("n_shingles", "shared").alias("s"))
+    one = if_small(one, SMALL_IDS)
     sizes = {c: one.select(F.col("id").alias(c), F.col("s").alias(f"of_{c}")) for c in "ab"}
     for turn in range(STAR_ROUNDS):
-        lists = _labelled(posts, links).select("id", "label", "weight", F.explode("keys").alias("key"))
+        lists = posts.join(if_small(labels, SMALL_IDS), "id").select("id", "label", "weight", F.explode("keys").alias("key"))
         meets = lists.join(_mixed_lists(lists, turn), "key").where("label <> hub_label")
         counted = meets.groupBy(F.col("id").alias("a"), F.col("hub").alias("b")).agg(F.count(F.lit(1)).alias("n"))
-        counted = counted.join(sizes["a"], "a").join(sizes["b"], "b").where(_can_be_alike("of_a.", "of_b."))
+        counted = counted.join(sizes["a"], "a").join(sizes["b"], "b")
+        counted = counted.where(_enough(F.least("of_a.shared", "of_b.shared"), F.col("of_a.n_shingles") + F.col("of_b.n_shingles")))
         best = counted.groupBy("a").agg(F.max_by("b", F.struct("n", (-F.col("b")).alias("neg"))).alias("b"))
-        new = confirmed(best, texts)
-        links = written(new if links is None else links.unionByName(new))
-
-    now = written(_labelled(posts, links))
-    prefix = now.select("id", "n_shingles", "shared", *packed, "label", "weight", F.explode(F.expr(f"slice(keys, 1, size(keys) - {MATCHES - 1})")).alias("key"))
-    apart = _in_blocks(prefix.join(_mixed_lists(prefix, 0).select("key", "rows"), "key").drop("weight"))
-    x, y = apart.alias("x"), apart.alias("y")
-    meet = (F.col("x.key") == F.col("y.key")) & (F.col("x.low") == F.col("y.low")) & (F.col("x.high") == F.col("y.high"))
-    once = (F.col("x.id") < F.col("y.id")) & ((F.col("x.low") == F.col("x.high")) | (F.col("x.block") != F.col("y.block")))
-    on = meet & once & (F.col("x.label") != F.col("y.label")) & _can_be_alike("x.", "y.")
-    candidates = written(x.join(y, on).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct())
-    keys = posts.select("id", "keys")
-    counted = candidates.join(keys.select(F.col("id").alias("a"), F.col("keys").alias("ka")), "a").join(keys.select(F.col("id").alias("b"), F.col("keys").alias("kb")), "b")
-    enough = counted.where(F.size(F.array_intersect("ka", "kb")) >= MATCHES).select("a", "b")
-    return written(links.unionByName(confirmed(enough, texts)))
+        new = written(confirmed(best, texts))
+        links = new if links is None else links.unionByName(new)
+        labels = _relabelled(labels, new)
+
+    first = f"slice(keys, 1, size(keys) - {MATCHES - 1})"
+    mask = F.expr(f"aggregate({first}, 0L, (acc, k) -> acc | shiftleft(1L, cast(shiftright(k, 32) as int)))")
+    labelled = posts.join(if_small(labels, SMALL_IDS), "id")
+    prefix = labelled.select("id", "n_shingles", "shared", "cells", "signature", mask.alias("mask"), "label", F.explode(F.expr(first)).alias("key"))
+    keys = labelled.select("id", "label", "weight", F.explode(F.expr(first)).alias("key"))
+    apart = _in_blocks(prefix.join(_mixed_lists(keys, 0).select("key", "rows"), "key"))
+    enough = _alike_in_lists(apart).distinct()
+    new = written(confirmed(enough, texts))
+    joined = components(_between(links.unionByName(new), labels))
+    joined = if_small(written(joined.select(F.col("id").alias("label"), F.col("label").alias("low"))), SMALL_IDS)
+    return written(labels.join(joined, "label", "left").select("id", F.coalesce("low", "label").alias("label")))
 
 
 def clustered(docs: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of docs."""
     marks = written(signed(docs, key, column))
-    links = links_of(docs, marks, key, column)
-    labels = components(links)
+    labels = labels_of(docs, marks, key, column)
     first = marks.where("set_id is not null and doc_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("id"), F.max("doc_id").alias("last"))
     by_set = first.join(labels, "id", "left").select("set_id", F.coalesce("label", "id").alias("component_id"), "last")
     by_set = written(by_set.where(F.col("last") != F.col("component_id")).drop("last"))  # all others are alone
