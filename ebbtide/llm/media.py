@@ -11,7 +11,9 @@ plus one file.
 
 Edge cases: null is the empty payload, which still gets one unit of 64 zero bytes; equal
 payloads give equal files (no dates, no random ids); a broken file gives the packets before
-the break and ``broken`` = true; extra columns pass through ``packet_table``.
+the break and ``broken`` = true, and elements may be nested to any depth; extra columns pass
+through ``with_media``, ``packet_table`` and ``with_features``, where columns named as their
+outputs are replaced; very long texts are muxed and read whole; repeated rows give equal files.
 """
 
 from __future__ import annotations
@@ -202,53 +204,69 @@ def parse(data: bytes) -> Media:
             at += n
         state["block"] += 1
 
-    def walk(at: int, end: int, parent: dict[str, object], inside: int) -> int:
-        while at < end:
+    def opened(ident: int, at: int, end: int, unknown: bool, parent: dict[str, object]) -> tuple:
+        """A master element on the stack: what it is, where it ends, whether its size is unknown, its values."""
+        if ident == SEGMENT:
+            state["segment"] = at
+        elif ident == CLUSTER:
+            state["cluster"] += 1
+            state["time"] = 0
+        return ident, end, unknown, {} if ident in (TRACK_ENTRY, CUE_POINT, BLOCK_GROUP) else parent
+
+    def closed(ident: int, own: dict[str, object]) -> None:
+        if ident == TRACK_ENTRY and "number" in own:
+            tracks[own["number"]] = own
+        elif ident == CUE_POINT:
+            cues.append((own.get("time", 0), own.get("track", 0), state["segment"] + own.get("position", 0)))
+        elif ident == BLOCK_GROUP and "block" in own:
+            block(*own["block"], False, "reference" not in own)
+
+    def value(ident: int, at: int, stop: int, parent: dict[str, object]) -> None:
+        number = lambda: int.from_bytes(data[at:stop], "big")
+        if ident == SIMPLE_BLOCK:
+            block(at, stop, True, False)
+        elif ident == BLOCK:
+            parent["block"] = (at, stop)
+        elif ident == CLUSTER_TIMESTAMP:
+            state["time"] = number()
+        elif ident == TIMESTAMP_SCALE:
+            state["scale"] = number() or 1_000_000
+        elif ident == SAMPLING_FREQUENCY:
+            parent["rate"] = struct.unpack(">f" if stop - at == 4 else ">d", data[at:stop])[0]
+        elif ident == CODEC_ID:
+            parent["codec"] = data[at:stop].decode("latin-1")
+        elif name := _NUMBERS.get(ident):
+            parent[name] = number()
+
+    def walk() -> None:
+        """Elements in order; those that hold others wait on a stack, so any depth is read."""
+        at, stack = 0, [(0, len(data), False, {})]
+        while stack:
+            inside, end, unknown, own = stack[-1]
+            if at >= end:
+                stack.pop()
+                closed(inside, own)
+                continue
             begin = at
             ident, at, _ = _vint(data, at, True)
-            if inside == CLUSTER and ident in TOP:
-                return begin  # a cluster of unknown size ends where the next top element begins
-            n, at, unknown = _vint(data, at, False)
-            stop = end if unknown else at + n
+            if inside == CLUSTER and ident in TOP:  # a cluster of unknown size ends where the next top element begins
+                stack.pop()
+                at = begin if unknown else end
+                continue
+            n, at, boundless = _vint(data, at, False)
+            stop = end if boundless else at + n
             if stop > end and ident not in MASTERS:
                 raise _Broken
             stop = min(stop, end)
-            body = lambda: data[at:stop]  # noqa: B023, E731
-            number = lambda: int.from_bytes(body(), "big")  # noqa: B023, E731
-            if ident == SEGMENT:
-                state["segment"] = at
-            elif ident == CLUSTER:
-                state["cluster"] += 1
-                state["time"] = 0
             if ident in MASTERS:
-                own: dict[str, object] = {} if ident in (TRACK_ENTRY, CUE_POINT, BLOCK_GROUP) else parent
-                stop = max(walk(at, stop, own, ident), at) if unknown else (walk(at, stop, own, ident), stop)[1]
-                if ident == TRACK_ENTRY and "number" in own:
-                    tracks[own["number"]] = own
-                elif ident == CUE_POINT:
-                    cues.append((own.get("time", 0), own.get("track", 0), state["segment"] + own.get("position", 0)))
-                elif ident == BLOCK_GROUP and "block" in own:
-                    block(*own["block"], False, "reference" not in own)
-            elif ident == SIMPLE_BLOCK:
-                block(at, stop, True, False)
-            elif ident == BLOCK:
-                parent["block"] = (at, stop)
-            elif ident == CLUSTER_TIMESTAMP:
-                state["time"] = number()
-            elif ident == TIMESTAMP_SCALE:
-                state["scale"] = number() or 1_000_000
-            elif ident == SAMPLING_FREQUENCY:
-                parent["rate"] = struct.unpack(">f" if stop - at == 4 else ">d", body())[0]
-            elif ident == CODEC_ID:
-                parent["codec"] = body().decode("latin-1")
-            elif name := _NUMBERS.get(ident):
-                parent[name] = number()
-            at = stop
-        return at
+                stack.append(opened(ident, at, stop, boundless, own))
+            else:
+                value(ident, at, stop, own)
+                at = stop
 
     broken = False
     try:
-        walk(0, len(data), {}, 0)
+        walk()
     except (_Broken, struct.error):
         broken = True
     return Media(packets, tracks, cues, state["scale"], broken)
@@ -276,13 +294,14 @@ def feature(samples: bytes) -> str:
 
 def with_media(df: DataFrame, column: str = "text", media: str = "media", n_bytes: str = "n_bytes") -> DataFrame:
     """Replace a text or binary column by its Matroska file and the length before padding."""
-    kept = [c for c in df.columns if c != column]
+    kept = [c for c in df.columns if c not in (column, n_bytes, media)]
     schema = df.select(*kept).schema.add(n_bytes, "long").add(media, "binary")
+    df = df.select(*kept, column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
                 raw = [v if isinstance(v, bytes) else (v or "").encode() for v in part.column(column).to_pylist()]
                 columns = [part.column(c) for c in kept] + [pa.array([len(v) for v in raw], pa.int64()), pa.array([mux(padded(v)) for v in raw], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=[*kept, n_bytes, media])
@@ -293,10 +312,11 @@ def with_media(df: DataFrame, column: str = "text", media: str = "media", n_byte
 def packet_table(df: DataFrame, media: str = "media") -> DataFrame:
     """One row a packet: the other columns, then track, codec, cluster, block, lace, time in ns,
     byte range, key flag, and whether the file has a cue to the packet's cluster time."""
-    kept = [c for c in df.columns if c != media]
     own = "track long, codec string, cluster long, block long, lace long, time_ns long, byte_start long, byte_size long, key_frame boolean, cued boolean"
-    schema = df.select(*kept).schema
     names = [x.split()[0] for x in own.split(", ")]
+    kept = [c for c in df.columns if c not in (media, *names)]
+    schema = df.select(*kept).schema
+    df = df.select(*kept, media)
     for x in own.split(", "):
         schema = schema.add(*x.split())
 
@@ -319,10 +339,11 @@ def packet_table(df: DataFrame, media: str = "media") -> DataFrame:
 
 def with_features(df: DataFrame, media: str = "media") -> DataFrame:
     """Replace the media column by digests of the payload read back from it, and its features."""
-    kept = [c for c in df.columns if c != media]
     own = "payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, n_packets long, n_cues long, duration_ms long, feature string"
-    schema = df.select(*kept).schema
     names = [x.split()[0] for x in own.split(", ")]
+    kept = [c for c in df.columns if c not in (media, *names)]
+    schema = df.select(*kept).schema
+    df = df.select(*kept, media)
     for x in own.split(", "):
         schema = schema.add(*x.split())
     types = [pa.string() if x.endswith("string") else pa.int64() for x in own.split(", ")]

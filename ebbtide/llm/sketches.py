@@ -8,8 +8,9 @@ below k shingles all three are exact.  Everything is DataFrame expressions.
 
 Edge cases: null or blank texts have the empty sketch, two empty sketches resemble each
 other fully (1.0), an empty and a non-empty one not at all; equal texts have equal sketches;
-``with_next`` orders rows of equal ids by text and rows without id last, the only row
-follows itself, and an empty table stays empty; other columns pass through.
+``with_next`` orders rows of equal ids by text (of an id of very many rows by a hash of the
+text first) and rows without id last, the only row follows itself, and an empty table stays
+empty; other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -17,14 +18,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ebbtide.llm.common import GAP, table, text_of
+from ebbtide.llm.common import GAP, fresh, table, text_of, written
 
 K = 128
 WORDS = 5
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 HASH_SPAN = 2.0**64
-#: Ids per bucket when rows are lined up by id; buckets of buckets are as wide squared.
-BUCKET = 256
+#: Rows per bucket when rows are lined up by id, and parts that the ids are cut in first.
+BUCKET, QUANTILES = 256, 128
 
 
 def shingle_hashes(text: Column, words: int = WORDS) -> Column:
@@ -95,28 +96,60 @@ def with_next(docs: DataFrame, key: str = "doc_id", text: str = "text", out: str
 
     Rows meet in buckets of neighbouring ids, so texts are shuffled once and no task orders
     the table.  Only the last row of a bucket looks further: for the first row of the next
-    bucket in use, found from a table with one row a bucket."""
-    bucket = F.coalesce(F.floor(F.col(key) / BUCKET).cast("long"), F.lit(2**62))
-    chain = _next_bucket(docs.select(bucket.alias("_b")).distinct())
-    order = Window.partitionBy("_b").orderBy(F.col(key).asc_nulls_last(), F.col(text))
-    lined = docs.withColumn("_b", bucket).withColumn("_row", F.row_number().over(order)).withColumn(out, F.lead(text).over(order))
-    lined = lined.withColumn("_more", F.lead(F.lit(True), 1, False).over(order))
-    heads = lined.where("_row = 1").select(F.col("_b").alias("_next"), F.col(text).alias("_head"))
-    inner = lined.where("_more")
-    last = lined.where("not _more").drop(out).join(chain, "_b").join(heads, "_next").withColumnRenamed("_head", out)
-    return inner.select(*docs.columns, out).unionByName(last.select(*docs.columns, out))
+    bucket in use, found from a table with one row a bucket.  Buckets follow the quantiles of
+    the ids, so ids may be dense, sparse or hashed; ids that many rows have, and rows without
+    an id, are dealt out by their texts."""
+    b, r, more, after, head = (fresh(docs, n) for n in ("_b", "_row", "_more", "_next", "_head"))
+    bucket = bucket_of(docs, key, text)
+    chain = _next_bucket(docs.select(bucket.alias("b")).distinct())
+    order = Window.partitionBy(b).orderBy(F.col(key).asc_nulls_last(), F.col(text))
+    lined = docs.withColumn(b, bucket).withColumn(r, F.row_number().over(order)).withColumn(out, F.lead(text).over(order))
+    lined = lined.withColumn(more, F.lead(F.lit(True), 1, False).over(order))
+    heads = lined.where(F.col(r) == 1).select(F.col(b).alias(after), F.col(text).alias(head))
+    inner = lined.where(more)
+    last = lined.where(~F.col(more)).drop(out).join(chain.select(F.col("b").alias(b), F.col("after").alias(after)), b).join(heads, after).withColumnRenamed(head, out)
+    columns = [c for c in docs.columns if c != out]
+    return inner.select(*columns, out).unionByName(last.select(*columns, out))
+
+
+def bucket_of(docs: DataFrame, key: str, text: str) -> Column:
+    """(part, width, share): the bucket of a row, in the order of the ids; some BUCKET rows each.
+
+    The ids are cut at QUANTILES quantiles, and each part in even widths.  A cut that comes
+    more than once is an id of many rows; such rows, and those without an id, are dealt out by a
+    hash of their texts.  What reaches the driver are the cuts and two counts."""
+    ids = F.col(key).cast("long")
+    cuts = F.percentile_approx(ids, [i / QUANTILES for i in range(QUANTILES + 1)], 100 * QUANTILES)
+    row = docs.agg(cuts.alias("cuts"), F.count(ids).alias("n"), F.count(F.lit(1)).alias("rows")).first()
+    each = max(1, row["n"] // (QUANTILES * BUCKET))  # buckets a part
+    found = sorted(set(row["cuts"] or []))
+    often = {c: (row["cuts"] or []).count(c) for c in found}
+    zero = F.lit(0).cast("long")
+    share = lambda n: F.pmod(F.xxhash64(text), F.lit(max(1, n)))
+    bucket = F.struct(F.lit(len(found)).alias("part"), zero.alias("width"), share((row["rows"] - row["n"]) // BUCKET).alias("share"))
+    if found:
+        bounds = F.array(*[F.lit(c).cast("long") for c in found])
+        wide = F.array(*[F.lit(max(1, -(-(b - a) // each))).cast("long") for a, b in zip(found, [*found[1:], found[-1] + 1], strict=True)])
+        part = F.greatest(F.size(F.filter(bounds, lambda c: c <= ids)) - 1, F.lit(0))
+        of_part = lambda p: F.struct(p.alias("part"), F.floor((ids - F.element_at(bounds, p + 1)) / F.element_at(wide, p + 1)).cast("long").alias("width"), zero.alias("share"))
+        for c, n in often.items():
+            if n > 1:
+                bucket = F.when(ids == c, F.struct(F.lit(found.index(c)).alias("part"), (zero - 1).alias("width"), share(n * each).alias("share"))).otherwise(bucket)
+        plain = ids.isNotNull() & ~ids.isin([c for c, n in often.items() if n > 1])
+        # transform over a one-element array binds the part once
+        bucket = F.when(plain, F.element_at(F.transform(F.array(part), of_part), 1)).otherwise(bucket)
+    return bucket
 
 
 def _next_bucket(buckets: DataFrame) -> DataFrame:
-    """(_b, _next) for each bucket in use; the last one's next is the first.  Two levels, so
-    that the single ordered list has one row for BUCKET ** 3 ids."""
-    wide = buckets.withColumn("_w", F.floor(F.col("_b") / BUCKET**2))
-    order = Window.partitionBy("_w").orderBy("_b")
-    near = wide.withColumn("_next", F.lead("_b").over(order))
-    firsts = wide.groupBy("_w").agg(F.min("_b").alias("_first"))
-    every = Window.orderBy("_w")
-    around = firsts.withColumn("_after", F.coalesce(F.lead("_first").over(every), F.first("_first").over(every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
-    return near.join(around, "_w").select("_b", F.coalesce("_next", "_after").alias("_next"))
+    """(b, after) for each bucket in use; the last one's next is the first.  Buckets are lined up
+    by ranges; only the first of each range meets those of the others."""
+    ranges = written(buckets.repartitionByRange("b").withColumn("range", F.spark_partition_id()))
+    near = ranges.withColumn("after", F.lead("b").over(Window.partitionBy("range").orderBy("b")))
+    firsts = ranges.groupBy("range").agg(F.min("b").alias("first"))
+    every = Window.orderBy("range")  # one row a range, of which there are as many as shuffle partitions
+    around = firsts.withColumn("first_after", F.coalesce(F.lead("first").over(every), F.first("first").over(every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))))
+    return near.join(F.broadcast(around), "range").select("b", F.coalesce("after", "first_after").alias("after"))
 
 
 def edited(text: Column, following: Column) -> Column:

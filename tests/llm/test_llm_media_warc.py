@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import struct
+import zlib
 
 import pytest
 
@@ -52,6 +53,28 @@ def test_broken_files():
         m = media.parse(whole[:cut])
         assert m.broken or not m.packets or cut
     assert media.parse(b"\x00garbage").broken
+    assert media.parse(bytes([0xA0, 0xFF]) * 20_000).packets == []  # nested groups of unknown size
+    assert media.parse(whole + media._element(media.CLUSTER, b"\xff")).broken
+
+
+def test_clashing_names_are_replaced(spark):
+    df = spark.createDataFrame([(1, "x" * 70_000, "f", 5, "kept")], "doc_id long, text string, feature string, track long, block_ string")
+    made = media.with_features(media.with_media(df.withColumn("media", df.text)))
+    assert made.columns[:3] == ["doc_id", "track", "block_"] and made.columns.count("feature") == 1
+    row = made.first()
+    assert row.feature != "f" and row.payload_sha256 == hashlib.sha256(media.padded(b"x" * 70_000)).hexdigest()
+    packets = media.packet_table(media.with_media(df))
+    assert packets.columns.count("track") == 1 and packets.count() == 137 and packets.first().block_ == "kept"
+
+
+def test_op5_query(spark, tmp_path):
+    texts = ["añb", None, "", "y" * 5000, "añb"]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = media.op5_matroska(spark, str(tmp_path)).orderBy("doc_id").collect()
+    for r, t in zip(rows, texts, strict=True):
+        data = media.padded((t or "").encode())
+        assert (r.n_bytes, r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len((t or "").encode()), len(data), hashlib.sha256(data).hexdigest(), zlib.crc32(data[-64:]))
+        assert (r.media_bytes, r.media_sha256) == (len(media.mux(data)), hashlib.sha256(media.mux(data)).hexdigest())
 
 
 def test_media_columns(spark):
