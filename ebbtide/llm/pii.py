@@ -1,33 +1,44 @@
 """PII: surrogates for detected entities, keyed and type-consistent.
 
 Detection is one alternation of patterns per text: e-mail and IPv4 addresses, IBANs, social
-security, telephone and card numbers, and persons' names (a given name of the lexicon or a
-title, before capitalised words).  An entity is a type and a normal form (lower case for
-e-mail, digits for numbers, lower-cased words for names), so different spellings of one
-entity stay one.
+security, telephone and card numbers, and persons' names (a given name of the lexicon, alone
+or before a capitalised word, or titles before one or two capitalised words).  An entity is a
+type and a normal form: lower case for e-mail, digits for numbers (the last ten of a telephone
+number, so that its country code makes no other number).  A name is its words: each given name
+and each surname is an entity of its own, so "Peter Brown" and "Mr Brown" keep their surname
+in common.
 
 Surrogates are drawn from a keyed digest of type, normal form and attempt: digits become
 digits (a valid card number stays valid, an octet an octet, a country code stays), letters
-letters of the same script and case, given names given names of the same gender and script.
-Distinct entities get distinct surrogates, none of which is an entity of the corpus: in
-rounds, all but the first of those that collide move to their next attempt until none is
-left.  The table of entities is all that is shuffled, with a row per occurrence joined to it
-by entity; texts move only if they have an entity.
+letters of the same script, case and kind (vowel or consonant).  Given names are permuted by the
+key among those of their gender and script.  Of all other types distinct entities get distinct
+surrogates, none of which is an entity of the corpus: in rounds, all but the first of those
+that collide move to their next attempt, words growing longer now and then.  Numbers that
+still collide after ``ROUNDS`` are of a type and length whose values are nearly used up; all
+entities of that type and length are then permuted in an order by the key, so they stay
+distinct though their surrogates are other entities' values.  The table of entities is all
+that is shuffled, with a row per word of an occurrence joined to it; texts move only if they
+have an entity.
 
 Edge cases: null is the empty text; texts without entities stay as they are; repeated rows
 get equal results; rows of equal or null id are told apart by their text; an empty table stays
-empty; other columns pass through.
+empty; other columns pass through, whatever their names, but for ``n_entities`` and
+``entities``, which are replaced.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ebbtide.llm.common import table, text_of, written
+from ebbtide.llm.common import if_small, table, text_of, written
+from ebbtide.llm.sketches import _next_bucket
 
-KEY = "ebbtide-surrogates"
-MAX_ROUNDS = 64
+ROUNDS = 24
+#: Words grow by a letter after so many attempts.
+GROWS = 4
 
 #: Given names by (script, gender); the lexicon finds names and supplies their surrogates.
 GIVEN = {
@@ -38,21 +49,22 @@ GIVEN = {
     ("greek", "f"): "Μαρία Ελένη Κατερίνα Σοφία",
     ("greek", "m"): "Γιώργος Νίκος Δημήτρης Κώστας",
 }
-TITLES = {"f": "Mrs|Ms|Frau|Mme|Señora", "m": "Mr|Herr|Monsieur|Señor"}
+TITLES = "Mrs|Ms|Miss|Frau|Mme|Señora|Mr|Herr|Monsieur|Señor|Dr|Prof"
 
 _NAMES = "|".join(n for names in GIVEN.values() for n in names.split())
-_CAP = r"\p{Lu}[\p{L}'’-]+"
+_CAP = r"(?:\p{Lu}\p{L}+|\p{Lu}['’]\p{Lu}\p{L}+)(?:-\p{Lu}\p{L}+)*"
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 IPV4 = r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)"
 IBAN = r"(?<![A-Z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Z0-9])"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 CARD = r"(?<![\d.+-])\d(?:[ -]?\d){12,18}(?![\d-])"
 PHONE = r"(?<![\d.])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\d.])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)|(?<![\d.-])(?:\d{3}[ .-])?\d{3}-\d{4}(?![\d-])"
-PERSON = rf"(?<!\p{{L}})(?:(?:{'|'.join(TITLES.values())})\.? {_CAP}(?: {_CAP})?|(?:{_NAMES}) {_CAP})(?!\p{{L}})"
+_LAST = rf"(?: (?!(?:{TITLES})\b){_CAP})?"
+PERSON = rf"(?<!\p{{L}})(?:(?:(?:{TITLES})\.? ){{1,2}}{_CAP}{_LAST}|(?:{_NAMES}){_LAST})(?!\p{{L}})"
 TYPES = {"email": EMAIL, "ipv4": IPV4, "iban": IBAN, "ssn": SSN, "card": CARD, "phone": PHONE, "person": PERSON}
 # Looking ahead at one character first keeps the search from trying every pattern everywhere.
 PATTERN = rf"{EMAIL}|(?=[\d+(])(?:{IPV4}|{SSN}|{CARD}|{PHONE})|(?=\p{{Lu}})(?:{IBAN}|{PERSON})"
-_NAME_WORDS = [*_NAMES.split("|"), *"|".join(TITLES.values()).split("|")]
+_NAME_WORDS = [*_NAMES.split("|"), *TITLES.split("|")]
 _NAMED = "[A-ZΑ-ΩА-Я](?:" + "|".join(f"(?<={c})(?:{'|'.join(w[1:] for w in _NAME_WORDS if w[0] == c)})" for c in sorted({w[0] for w in _NAME_WORDS})) + ")"
 
 
@@ -72,7 +84,8 @@ def type_of(raw: Column) -> Column:
 def normal_form(kind: Column, raw: Column) -> Column:
     digits = F.regexp_replace(raw, r"\D", "")
     return (
-        F.when(kind.isin("phone", "card", "ssn"), digits)
+        F.when(kind == "phone", F.right(digits, F.lit(10)))
+        .when(kind.isin("card", "ssn"), digits)
         .when(kind == "iban", F.regexp_replace(raw, " ", ""))
         .when(kind == "ipv4", raw)
         .otherwise(F.lower(raw))
@@ -90,13 +103,25 @@ def _byte(stream: Column, i: Column | int) -> Column:
     return F.conv(F.substring(stream, at, F.lit(2)), 16, 10).cast("int")
 
 
+#: Letters by script, case and kind; the last three of each script also stand for its letters with marks.
+_ALPHABETS = (
+    ("bcdfghjklmnpqrstvwxz", "aeiouy", "à", "ÿ"),
+    ("бвгджзйклмнпрстфхцчшщьъ", "аеиоуыэюя", "ѐ", "џ"),
+    ("βγδζθκλμνξπρστφχψ", "αεηιουω", "ά", "ώ"),
+)
+
+
 def _alike(char: Column, n: Column) -> Column:
     """A character of the same class as char, chosen by n."""
-    out = char
-    for first, last in (("а", "я"), ("А", "Я"), ("α", "ω"), ("Α", "Ω"), ("a", "z"), ("A", "Z"), ("0", "9")):
-        letters = "".join(c for c in map(chr, range(ord(first), ord(last) + 1)) if c.isalnum() and c != "ς")
-        out = F.when(char.between(first, last), F.substring(F.lit(letters), F.pmod(n, F.lit(len(letters))) + 1, F.lit(1))).otherwise(out)
-    return F.when(char.rlike(r"^[\p{Ll}]$") & ~char.rlike(r"^[a-zа-яα-ω]$"), F.substring(F.lit("aeiou"), F.pmod(n, F.lit(5)) + 1, F.lit(1))).otherwise(out)
+    draw = lambda letters: F.substring(F.lit(letters), F.pmod(n, F.lit(len(letters))) + 1, F.lit(1))
+    out = F.when(char.between("0", "9"), draw("0123456789"))
+    for consonants, vowels, first, last in _ALPHABETS:
+        marked = (char >= first) & (char <= last) & ~F.lit(consonants + vowels).contains(char)
+        for change in (str.lower, str.upper):
+            out = out.when(F.lit(change(consonants)).contains(char), draw(change(consonants)))
+            out = out.when(F.lit(change(vowels)).contains(char), draw(change(vowels)))
+        out = out.when(marked, draw(vowels))
+    return out.otherwise(char)
 
 
 def _letters_alike(text: Column, stream: Column) -> Column:
@@ -125,36 +150,39 @@ def _ipv4(stream: Column) -> Column:
     return F.concat_ws(".", 1 + F.pmod(_byte(stream, 0), F.lit(223)), _byte(stream, 1), _byte(stream, 2), 1 + F.pmod(_byte(stream, 3), F.lit(254)))
 
 
-def _email(norm: Column, stream: Column) -> Column:
+def _email(norm: Column, stream: Column, attempt: Column) -> Column:
     """Letters and digits change, up to the top-level domain, which stays."""
     head, tail = F.regexp_extract(norm, r"^(.*)(\.[a-z]+)$", 1), F.regexp_extract(norm, r"^(.*)(\.[a-z]+)$", 2)
-    return F.concat(_letters_alike(head, stream), tail)
+    return F.concat(_word(head, stream, attempt), tail)
+
 
+def _given(key: str, norm: Column) -> Column:
+    """Another given name of the same gender and script: the list turned by a step that the key gives."""
+    out = norm
+    for kind, names in GIVEN.items():
+        own = [n.lower() for n in names.split()]
+        step = 1 + int(hashlib.sha256(f"{key}\1{kind}".encode()).hexdigest(), 16) % (len(own) - 1)
+        turned = F.element_at(F.array(*[F.lit(n) for n in own[step:] + own[:step]]), F.greatest(F.array_position(F.array(*[F.lit(n) for n in own]), norm), F.lit(1)).cast("int"))
+        out = F.when(norm.isin(own), turned).otherwise(out)
+    return out
 
-def _person(norm: Column, stream: Column) -> Column:
-    """Word by word: titles stay, given names become others of their gender and script, other
-    words keep length and script."""
-    def word(w: Column, i: Column) -> Column:
-        out = F.when(w.rlike(rf"(?i)^(?:{'|'.join(TITLES.values())})\.?$"), w).otherwise(_letters_alike(w, _stream("word", stream, w, i)))
-        for names in GIVEN.values():
-            own = F.array(*[F.lit(n.lower()) for n in names.split()])
-            out = F.when(F.array_contains(own, w), F.element_at(own, F.pmod(_byte(stream, i + 7), F.lit(len(names.split()))) + 1)).otherwise(out)
-        return out
 
-    return F.array_join(F.transform(F.split(norm, " "), word), " ")
+def _word(norm: Column, stream: Column, attempt: Column) -> Column:
+    """A word alike, with more letters of its last one's script after some attempts."""
+    longer = F.rpad(norm, (F.char_length(norm) + F.floor(attempt / GROWS)).cast("int"), F.right(norm, F.lit(1)))
+    return _letters_alike(longer, stream)
 
 
 def surrogate(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
     stream = _stream(key, kind, norm, attempt)
-    digits = F.concat(F.substring(norm, F.lit(1), F.lit(1)), _letters_alike(F.substring(norm, F.lit(2), F.char_length(norm)), stream))
     iban = F.concat(F.substring(norm, F.lit(1), F.lit(2)), _letters_alike(F.substring(norm, F.lit(3), F.char_length(norm)), stream))
     return (
-        F.when(kind == "email", _email(norm, stream))
+        F.when(kind == "email", _email(norm, stream, attempt))
         .when(kind == "ipv4", _ipv4(stream))
         .when(kind == "card", _card(norm, stream))
         .when(kind == "iban", iban)
-        .when(kind == "person", _person(norm, stream))
-        .when((kind == "phone") & (F.char_length(norm) > 10), digits)
+        .when(kind == "given", _given(key, norm))
+        .when(kind == "surname", _word(norm, stream, attempt))
         .otherwise(_letters_alike(norm, stream))
     )
 
@@ -162,6 +190,8 @@ def surrogate(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
 def formatted(kind: Column, raw: Column, made: Column) -> Column:
     """The surrogate in the raw entity's spelling: its separators, its case."""
     chars = F.filter(F.split(raw, ""), lambda c: c != "")
+    digits = F.regexp_replace(raw, r"\D", "")
+    made = F.when(kind == "phone", F.concat(F.left(digits, F.greatest(F.char_length(digits) - 10, F.lit(0))), made)).otherwise(made)
     zero = F.struct(F.lit(1).alias("at"), F.lit("").alias("out"))
 
     def step(acc: Column, c: Column) -> Column:
@@ -172,62 +202,90 @@ def formatted(kind: Column, raw: Column, made: Column) -> Column:
         )
 
     numeric = F.aggregate(chars, zero, step, lambda acc: acc["out"])
-    cased = F.when((raw == F.upper(raw)) & (raw != F.lower(raw)), F.upper(made)).when(kind == "person", F.initcap(made)).otherwise(made)
-    return F.when(kind.isin("phone", "card", "ssn", "iban"), numeric).when(kind.isin("email", "person"), cased).otherwise(made)
+    cased = F.when((raw == F.upper(raw)) & (raw != F.lower(raw)), F.upper(made)).when(kind.isin("given", "surname"), F.initcap(made)).otherwise(made)
+    return F.when(kind.isin("phone", "card", "ssn", "iban"), numeric).when(kind.isin("email", "given", "surname"), cased).when(kind == "title", raw).otherwise(made)
 
 
-def surrogates(entities: DataFrame, key: str = KEY) -> DataFrame:
+def surrogates(entities: DataFrame, key: str, rounds: int = ROUNDS) -> DataFrame:
     """(kind, norm, made) for distinct entities (kind, norm), all of ``made`` distinct by kind
-    and none of them an entity itself."""
+    and, but for given names and used-up numbers, none of them an entity itself."""
     taken = entities.select("kind", F.col("norm").alias("made"), F.lit(True).alias("real"))
     state = entities.withColumn("attempt", F.lit(0))
-    for _ in range(MAX_ROUNDS):
+    at = 0
+    while True:
         state = written(state.withColumn("made", surrogate(key, F.col("kind"), F.col("norm"), F.col("attempt"))))
         order = Window.partitionBy("kind", "made").orderBy("norm")
         checked = state.join(taken, ["kind", "made"], "left").withColumn("place", F.row_number().over(order))
-        collides = F.col("real").isNotNull() | (F.col("place") > 1)
+        collides = (F.col("kind") != "given") & (F.col("real").isNotNull() | (F.col("place") > 1))
         checked = written(checked.withColumn("attempt", F.col("attempt") + collides.cast("int")).withColumn("moved", collides).drop("real", "place"))
-        if not checked.where("moved").limit(1).count():
-            return checked.select("kind", "norm", "made")
+        at += 1
+        words = F.col("kind").isin("email", "surname")
+        if not checked.where(F.col("moved") & (words | F.lit(at < rounds))).limit(1).count():
+            break
         state = checked.drop("made", "moved")
-    raise RuntimeError("surrogates still collide; some type has more entities than values")
-
-
-def with_surrogates(df: DataFrame, column: str = "text", id_column: str = "doc_id", key: str = KEY) -> DataFrame:
+    shape = F.char_length("norm").alias("length")
+    full = checked.where("moved").select("kind", shape).distinct()
+    if not full.limit(1).count():
+        return checked.select("kind", "norm", "made")
+    full = written(full)
+    used_up = checked.withColumn("length", F.char_length("norm")).join(F.broadcast(full), ["kind", "length"])  # some dozens of types and lengths
+    turned = used_up.select(F.struct("kind", "length", F.xxhash64(F.lit(key), "norm").alias("h"), "norm").alias("b"))
+    firsts = turned.groupBy("b.kind", "b.length").agg(F.min("b").alias("first"))
+    turned = _next_bucket(turned).select("b.kind", "b.length", "b.norm", "after").join(F.broadcast(firsts), ["kind", "length"])
+    same = (F.col("after.kind") == F.col("kind")) & (F.col("after.length") == F.col("length"))
+    turned = turned.select("kind", "norm", F.when(same, F.col("after.norm")).otherwise(F.col("first.norm")).alias("made"))
+    others = checked.withColumn("length", F.char_length("norm")).join(F.broadcast(full), ["kind", "length"], "left_anti")
+    return others.select("kind", "norm", "made").unionByName(turned)
+
+
+def _pieces(kind: Column, raw: Column) -> Column:
+    """The entities of an occurrence: a name's words, or the occurrence itself."""
+    one = lambda k, r: F.struct(k.alias("kind"), r.alias("raw"))
+    given = F.array(*[F.lit(n.lower()) for names in GIVEN.values() for n in names.split()])
+    of_word = lambda w: F.when(w.rlike(rf"^(?:{TITLES})\.?$"), F.lit("title")).when(F.array_contains(given, F.lower(w)), F.lit("given")).otherwise(F.lit("surname"))
+    return F.when(kind == "person", F.transform(F.split(raw, " "), lambda w: one(of_word(w), w))).otherwise(F.array(one(kind, raw)))
+
+
+def with_surrogates(df: DataFrame, key: str, column: str = "text", id_column: str = "doc_id") -> DataFrame:
     """Replace entities in a text column; adds ``n_entities`` and ``entities`` (kind:start:end,
-    in code points of the text as it was)."""
-    docs = df.withColumn(column, text_of(column))
-    has = maybe(F.col(column)) & F.col(column).rlike(PATTERN)
-    clean = docs.where(~has).withColumns({"n_entities": F.lit(0).cast("long"), "entities": F.lit("")})
-    hit = written(docs.where(has))
-    keys = {"_id": F.col(id_column), "_tie": F.xxhash64(column)}
-    found = hit.select(*[v.alias(k) for k, v in keys.items()], F.posexplode(F.regexp_extract_all(F.col(column), F.lit(PATTERN), F.lit(0))).alias("_at", "raw")).distinct()
-    found = found.withColumn("kind", type_of(F.col("raw")))
-    found = written(found.withColumn("norm", normal_form(F.col("kind"), F.col("raw"))))
-    made = surrogates(found.select("kind", "norm").distinct(), key)
-    said = found.join(made, ["kind", "norm"]).withColumn("new", formatted(F.col("kind"), F.col("raw"), F.col("made")))
-    by_doc = said.groupBy("_id", "_tie").agg(F.array_sort(F.collect_list(F.struct("_at", "raw", "new", "kind"))).alias("_new"))
-    same = F.col("_id").eqNullSafe(F.col("_own_id")) & (F.col("_tie") == F.col("_own_tie"))
-    joined = hit.withColumns({"_own_id": keys["_id"], "_own_tie": keys["_tie"]}).join(by_doc, same)
-    gaps = F.split(F.col(column), PATTERN)
-    pieces = F.transform("_new", lambda x, i: F.concat(F.element_at(gaps, (i + 1).cast("int")), x["new"]))
+    in code points of the text as it was).  key: a secret that surrogates follow from."""
+    kept = [c for c in df.columns if c not in ("n_entities", "entities")]
+    docs = df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("of"), F.col(id_column).alias("id"), text_of(column).alias("text"))
+    has = maybe(F.col("text")) & F.col("text").rlike(PATTERN)
+    clean = docs.where(~has).select("of", "text", F.lit(0).cast("long").alias("n_entities"), F.lit("").alias("entities"))
+    hit = written(docs.where(has).withColumn("tie", F.xxhash64("text")))
+    found = hit.select("id", "tie", F.posexplode(F.regexp_extract_all(F.col("text"), F.lit(PATTERN), F.lit(0))).alias("at", "raw")).distinct()
+    found = found.withColumn("type", type_of(F.col("raw")))
+    found = found.select("id", "tie", "at", "raw", "type", F.posexplode(_pieces(F.col("type"), F.col("raw"))).alias("place", "piece"))
+    found = found.withColumns({"kind": F.col("piece.kind"), "norm": normal_form(F.col("piece.kind"), F.col("piece.raw"))})
+    found = written(found)
+    made = written(surrogates(found.where("kind <> 'title'").select("kind", "norm").distinct(), key))
+    said = found.join(if_small(made), ["kind", "norm"], "left").withColumn("new", formatted(F.col("kind"), F.col("piece.raw"), F.col("made")))
+    said = said.groupBy("id", "tie", "at", "raw", "type").agg(F.array_sort(F.collect_list(F.struct("place", "new"))).alias("words"))
+    said = said.select("id", "tie", F.struct("at", "raw", F.array_join(F.transform("words", lambda w: w["new"]), " ").alias("new"), F.col("type").alias("kind")).alias("x"))
+    by_doc = said.groupBy(F.col("id").alias("own"), F.col("tie").alias("own_tie")).agg(F.array_sort(F.collect_list("x")).alias("found"))
+    joined = hit.join(by_doc, F.col("id").eqNullSafe(F.col("own")) & (F.col("tie") == F.col("own_tie")))
+    gaps = F.split(F.col("text"), PATTERN)
+    pieces = F.transform("found", lambda x, i: F.concat(F.element_at(gaps, (i + 1).cast("int")), x["new"]))
     rebuilt = F.concat(F.array_join(pieces, ""), F.element_at(gaps, -1))
     zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    lengths = F.transform(gaps, lambda g: F.char_length(g))
 
     def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.element_at("_lengths", x["_at"] + 1)
+        start = acc["at"] + F.element_at("lengths", x["at"] + 1)
         end = start + F.char_length(x["raw"])
         return F.struct(end.alias("at"), F.concat(acc["out"], F.array(F.concat_ws(":", x["kind"], start, end))).alias("out"))
 
-    spans = F.aggregate("_new", zero, step, lambda acc: F.array_join(acc["out"], ","))
-    done = joined.withColumn("_lengths", lengths).withColumn("entities", spans).withColumn("n_entities", F.size("_new").cast("long")).withColumn(column, rebuilt)
-    return done.select(*df.columns, "n_entities", "entities").unionByName(clean)
+    spans = F.aggregate("found", zero, step, lambda acc: F.array_join(acc["out"], ","))
+    done = joined.withColumn("lengths", F.transform(gaps, lambda g: F.char_length(g)))
+    done = done.select("of", rebuilt.alias("text"), F.size("found").cast("long").alias("n_entities"), spans.alias("entities"))
+    own = [F.col("text").alias(c) if c == column else F.col("of").getField(c).alias(c) for c in kept]
+    return done.unionByName(clean).select(*own, "n_entities", "entities")
 
 
 def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return with_surrogates(docs).select("doc_id", "n_entities", "entities", "text")
+    # the key of a public example; a real one comes from a secret store
+    return with_surrogates(docs, key="ebbtide-example").select("doc_id", "n_entities", "entities", "text")
 
 
 QUERIES = {"op3_pii_surrogates": op3_pii_surrogates}

@@ -146,7 +146,7 @@ def test_markov_spans_equal_brute_force(spark):
 def test_surrogates(spark):
     text = "Mail Bob.1@mail.example.com or bob.1@MAIL.example.com, call +1 (415) 555-7123 or 1 415 555 7123, card 4111111111111111, IP 10.20.30.40. Anna Schmidt met Анна Иванова."
     df = spark.createDataFrame([(1, text, 5), (2, "nothing here", 6), (3, None, 7), (None, "x@y.org", 8), (2, "x@y.org again 10.20.30.40", 9)], "doc_id long, text string, extra int")
-    rows = pii.with_surrogates(df).collect()
+    rows = pii.with_surrogates(df, "k").collect()
     assert len(rows) == 5
     by = {r.extra: r for r in rows}
     assert by[6].text == "nothing here" and by[6].n_entities == 0 and by[7].text == ""
@@ -163,15 +163,39 @@ def test_surrogates(spark):
     assert re.search(r"(\d+\.){3}\d+", by[9].text)[0] in new
     first = by[5].entities.split(",")[0].split(":")
     assert (first[0], text[int(first[1]) : int(first[2])]) == ("email", "Bob.1@mail.example.com")
-    assert pii.with_surrogates(df.limit(0)).count() == 0
+    assert pii.with_surrogates(df.limit(0), "k").count() == 0
 
 
 def test_surrogates_stay_distinct(spark):
     entities = spark.createDataFrame([("email", f"{a}@{b}.co") for a in "abcdefghijklmnop" for b in "abcdefghij"], "kind string, norm string")
-    made = [r.made for r in pii.surrogates(entities).collect()]
+    made = [r.made for r in pii.surrogates(entities, "k").collect()]
     assert len(set(made)) == 160 and not set(made) & {r.norm for r in entities.collect()}
 
 
+def test_names_keep_coreference(spark):
+    text = "Anna Schmidt met Mr Peter Brown. Mr Brown left. Mrs Schmidt stayed; Anna too. Dr. Olivia Grant and Prof. Grant came; call +1 415 555 7123 or 415-555-7123. Ёлкина: Ольга Ёлкина."
+    df = spark.createDataFrame([(1, text, "e"), (1, text, "e"), (2, "Mr Brown " * 3000, "f")], "doc_id long, text string, entities string")
+    rows = pii.with_surrogates(df, "k").orderBy("doc_id").collect()
+    assert rows[0] == rows[1] and pii.with_surrogates(df, "k").columns == ["doc_id", "text", "n_entities", "entities"]
+    new = rows[0].text
+    m = re.match(r"(\w+) (\w+) met Mr (\w+) (\w+)\. Mr (\w+) left\. Mrs (\w+) stayed; (\w+) too\. Dr\. (\w+) (\w+) and Prof\. (\w+) came; call \+1 (\d{3} \d{3} \d{4}) or ([\d-]{12})\. Ёлкина: (\w+) (\w+)\.$", new)
+    anna, schmidt, peter, brown, brown2, schmidt2, anna2, olivia, grant, grant2, phone, phone2, olga, last = m.groups()
+    assert (anna, schmidt, brown, grant, phone.replace(" ", "-")) == (anna2, schmidt2, brown2, grant2, phone2)
+    assert anna in pii.GIVEN["latin", "f"].split() and peter in pii.GIVEN["latin", "m"].split() and olga in pii.GIVEN["cyrillic", "f"].split()
+    assert len({schmidt, brown, olivia, grant, "Schmidt", "Brown", "Olivia", "Grant"}) == 8 and re.fullmatch("[А-ЯЁ][а-яё]{5}", last)
+    assert rows[2].text == f"Mr {brown} " * 3000 and rows[2].n_entities == 3000
+
+
+def test_used_up_numbers_are_permuted(spark):
+    entities = spark.range(1000).select(F.lit("ssn").alias("kind"), F.lpad(F.col("id").cast("string"), 3, "0").alias("norm"))
+    entities = entities.unionByName(spark.createDataFrame([("surname", a + b) for a in "bcd" for b in "aeiou"], "kind string, norm string"))
+    rows = pii.surrogates(entities, "k", rounds=2).collect()
+    numbers = [r for r in rows if r.kind == "ssn"]
+    assert len(rows) == 1015 and {r.made for r in numbers} == {r.norm for r in numbers} and all(r.made != r.norm for r in numbers)
+    words = [r for r in rows if r.kind == "surname"]
+    assert len({r.made for r in words}) == 15 and not {r.made for r in words} & {r.norm for r in words}
+
+
 @pytest.fixture(scope="module")
 def ranks():
     return bpe.vocabulary()
