@@ -12,7 +12,9 @@ forms or comments.
 
 The region is the smallest subtree of the host's reference that holds ``REGION_SHARE`` of the
 varying text outside such parts and does not leave out the heading; article and main elements
-are not looked into.  Where a host has none, or a page has less of its text there, the page's
+are not looked into.  Nodes most of whose text are links, over all of a host's pages, are menus
+whatever their names, and count for nothing there.  With ``names=False`` the names of classes,
+ids and elements are not asked at all, and alignment alone decides.  Where a host has none, or a page has less of its text there, the page's
 own text chooses among its article elements, its main element and the whole page.
 
 What travels between pages is small: per host the most frequent folded tree, and per distinct
@@ -29,7 +31,8 @@ hosts that teach nothing, are read by their markup alone.
 Edge cases: null or empty html gives the empty text; broken markup is read as browsers would
 roughly do (paragraphs and list items close themselves, unknown end tags are ignored, what is
 open at the end is closed); a null URL is a host of its own without template; repeated rows
-are read each; an empty table stays empty; other columns pass through ``with_main_text``.
+are read each; an empty table stays empty; other columns, whatever their names, pass through
+``with_main_text``.
 """
 
 from __future__ import annotations
@@ -37,6 +40,7 @@ from __future__ import annotations
 import hashlib
 import html
 import re
+import sys
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -60,10 +64,14 @@ REGION_SHARE = 0.9
 PAGE_SHARE = 0.5
 #: Coordinates of a sketch of 3-word shingles.
 SKETCH = 5
+#: Nodes with more than this part of their text in links are menus.
+LINK_SHARE = 0.5
 MAX_BROADCAST_BYTES = 16 << 20
 #: Above this many pairs of children the rows of simple tree matching are arrays, kept in part.
 MAX_CELLS = 4096
-MAX_DEPTH = 200
+#: What is nested deeper becomes a list of siblings, at the depth where browsers do the same.
+MAX_DEPTH = 512
+sys.setrecursionlimit(max(sys.getrecursionlimit(), 20 * MAX_DEPTH))
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript template iframe xmp".split())
@@ -187,7 +195,7 @@ class Fold:
 
 def label_of(node: Node) -> str:
     kind = node.attributes.get("class", "").split()
-    return node.tag + "".join("." + re.sub(r"[()]", "", k) for k in sorted(kind)[:3]) if kind else node.tag
+    return node.tag + "".join("." + re.sub(r"[()]", "", k) for k in sorted(kind)) if kind else node.tag
 
 
 def fold(nodes: list[Node]) -> list[Fold]:
@@ -352,6 +360,12 @@ def _slot_text(f: Fold) -> str:
     return "\x00".join(t for n in f.nodes if n.tag not in RAW and (t := _SPACE.sub(" ", _own_text(n)).strip()))
 
 
+def _link_chars(f: Fold) -> int:
+    """The characters of a node's own text that lie in links."""
+    count = lambda n, inside: sum(len(c.strip()) if inside else 0 if isinstance(c, str) else 0 for c in n.children if isinstance(c, str)) + sum(count(c, inside or c.tag == "a") for c in n.children if isinstance(c, Node) and c.tag in INLINE)
+    return sum(count(n, False) for n in f.nodes if n.tag not in RAW)
+
+
 def hash_of(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=7).digest(), "big")
 
@@ -368,14 +382,19 @@ def sketch_of(text: str) -> np.ndarray:
     return (((shingles ^ _SEEDS[0]) * _SEEDS[1]) >> np.uint64(33)).min(axis=1)
 
 
-def slots(folds: list[Fold]) -> Iterator[tuple[int, str]]:
-    """(number in the reference, own text) of matched nodes that have text."""
+def slots(folds: list[Fold]) -> Iterator[tuple[int, str, int]]:
+    """(number in the reference, own text, characters in links) of matched nodes that have text."""
     for f in folds:
         if f.number >= 0 and (t := _slot_text(f)):
-            yield f.number, t
+            yield f.number, t, _link_chars(f)
         yield from slots(f.children)
 
 
+def _unnamed(node: Node, inside: bool) -> bool:
+    """For ``names=False``: only what no page shows is left out."""
+    return node.tag in ("head", "script", "style", "noscript", "template")
+
+
 def _named_otherwise(node: Node, inside: bool) -> bool:
     """Whether markup itself says that this is not main text."""
     if node.tag in DROPPED or node.tag == "header" and not inside:
@@ -401,7 +420,7 @@ def _has_heading(node: Node) -> bool:
     return any(isinstance(c, Node) and (c.tag in HEADINGS or _has_heading(c)) for c in node.children)
 
 
-def region_of(reference: list[Fold], mass: dict[int, int]) -> int:
+def region_of(reference: list[Fold], mass: dict[int, int], otherwise=_named_otherwise) -> int:  # noqa: ANN001
     """The number of the reference's node that is the content region, -1 for none; mass: the
     characters of varying text by number."""
     below: dict[int, tuple[int, int]] = {}
@@ -413,7 +432,7 @@ def region_of(reference: list[Fold], mass: dict[int, int]) -> int:
     def weigh(f: Fold, inside: bool) -> tuple[int, int]:
         """Varying characters outside parts that markup names otherwise, and the rank of the highest varying heading (9: none)."""
         tag = f.label.split(".")[0]
-        if _named_otherwise(node_of(f), inside or tag != "header"):
+        if otherwise(node_of(f), inside or tag != "header"):
             below[f.number] = 0, 9
         else:
             own = mass.get(f.number, 0)
@@ -434,7 +453,7 @@ def region_of(reference: list[Fold], mass: dict[int, int]) -> int:
     return found
 
 
-def main_text(root: Node, folds: list[Fold], template: frozenset[tuple[int, int]], region_number: int = -1) -> str:
+def main_text(root: Node, folds: list[Fold], template: frozenset[tuple[int, int]], region_number: int = -1, otherwise=_named_otherwise) -> str:  # noqa: ANN001
     """The page's main text; template: (number in the reference, hash of the text) of nodes that do not vary;
     region_number: the number of the content region."""
     constant = set()
@@ -448,7 +467,7 @@ def main_text(root: Node, folds: list[Fold], template: frozenset[tuple[int, int]
 
     if template:
         mark(folds)
-    regions = _regions(root, constant, _numbered(folds, region_number) if region_number >= 0 else [])
+    regions = _regions(root, constant, _numbered(folds, region_number) if region_number >= 0 else [], otherwise)
     blocks: list[str] = []
     for region, inside in regions:
         current: list[str] = []
@@ -466,7 +485,7 @@ def main_text(root: Node, folds: list[Fold], template: frozenset[tuple[int, int]
                         current.append(c)  # noqa: B023
                 elif c.tag == "br":
                     current.append(" ")  # noqa: B023
-                elif c.tag in RAW or _named_otherwise(c, inside):
+                elif c.tag in RAW or otherwise(c, inside):
                     if c.tag not in INLINE:
                         flush()  # noqa: B023
                 elif c.tag in INLINE:
@@ -490,16 +509,16 @@ def _numbered(folds: list[Fold], number: int) -> list[Node]:
     return []
 
 
-def _regions(root: Node, constant: set[int], aligned: list[Node]) -> list[tuple[Node, bool]]:
+def _regions(root: Node, constant: set[int], aligned: list[Node], otherwise) -> list[tuple[Node, bool]]:  # noqa: ANN001
     """The region by alignment; else the outermost article or main elements outside what is not
-    main text; else the whole page.  Each must hold its part of the page's text."""
+    main text; else the whole page.  Each must hold its part of the page's text outside links."""
 
     def size(node: Node, inside: bool, own: bool) -> int:
         n = 0
         for c in node.children:
             if isinstance(c, str):
                 n += len(c.strip()) if own else 0
-            elif c.tag not in RAW and not _named_otherwise(c, inside):
+            elif c.tag not in RAW and c.tag != "a" and not otherwise(c, inside):
                 n += size(c, inside or c.tag in MAIN, own if c.tag in INLINE else id(c) not in constant)
         return n
 
@@ -510,7 +529,7 @@ def _regions(root: Node, constant: set[int], aligned: list[Node]) -> list[tuple[
 
     def look(node: Node, tags: frozenset[str]) -> None:
         for c in node.children:
-            if isinstance(c, Node) and not _named_otherwise(c, False):
+            if isinstance(c, Node) and not otherwise(c, False):
                 if c.tag in tags:
                     found.append((c, True))
                 else:
@@ -519,10 +538,10 @@ def _regions(root: Node, constant: set[int], aligned: list[Node]) -> list[tuple[
     whole = size(root, False, True)
     if aligned:
         found.extend((n, n.tag not in ("html", "body")) for n in aligned)
-        if enough(REGION_SHARE):
+        if enough(REGION_SHARE if otherwise is _named_otherwise else 0.0):  # without names the host decides
             return found
         found.clear()
-    for tags in (frozenset(("article",)), frozenset(("main",))):
+    for tags in (frozenset(("article",)), frozenset(("main",))) if otherwise is _named_otherwise else ():
         look(root, tags)
         if found and enough(PAGE_SHARE):
             return found
@@ -534,7 +553,7 @@ def host_of(column: str = "url") -> Column:
     return F.lower(F.regexp_extract(F.coalesce(F.col(column).cast("string"), F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
 
 
-_SLOT = pa.struct([("number", pa.int64()), ("text", pa.int64()), ("chars", pa.int64()), ("sketch", pa.list_(pa.int64()))])
+_SLOT = pa.struct([("number", pa.int64()), ("text", pa.int64()), ("chars", pa.int64()), ("links", pa.int64()), ("sketch", pa.list_(pa.int64()))])
 
 
 def induced(pages: DataFrame, html_column: str = "html") -> DataFrame:
@@ -558,23 +577,24 @@ def induced(pages: DataFrame, html_column: str = "html") -> DataFrame:
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, list[Fold]] = {}
         for batch in batches:
-            ids, ends, numbers, texts, chars, sketches = [], [0], [], [], [], []
+            ids, ends, numbers, texts, chars, links, sketches = [], [0], [], [], [], [], []
             for h, o in zip(*(batch.column(c).to_pylist() for c in (html_column, "outline")), strict=True):
                 folds = fold(_elements([parse(h or "")]))
                 match(folds, _reference(o, known))
-                for number, text in slots(folds):
+                for number, text, linked in slots(folds):
                     numbers.append(number)
+                    links.append(linked)
                     texts.append(hash_of(text))
                     chars.append(len(text))
                     sketches.append(sketch_of(text).astype(np.int64))
                 ids.append(hash_of(h or ""))
                 ends.append(len(numbers))
             flat = pa.ListArray.from_arrays(pa.array(range(0, SKETCH * len(numbers) + 1, SKETCH), pa.int32()), pa.array(np.concatenate(sketches) if sketches else [], pa.int64()))
-            made = pa.StructArray.from_arrays([pa.array(numbers, pa.int64()), pa.array(texts, pa.int64()), pa.array(chars, pa.int64()), flat], fields=list(_SLOT))
+            made = pa.StructArray.from_arrays([pa.array(numbers, pa.int64()), pa.array(texts, pa.int64()), pa.array(chars, pa.int64()), pa.array(links, pa.int64()), flat], fields=list(_SLOT))
             yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(ids, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), made)], names=["host", "page", "slots"])
 
     joined = slim.join(_small(references, F.char_length("outline")), "host")
-    seen = joined.mapInArrow(aligned, "host string, page long, slots array<struct<number: long, text: long, chars: long, sketch: array<long>>>")
+    seen = joined.mapInArrow(aligned, "host string, page long, slots array<struct<number: long, text: long, chars: long, links: long, sketch: array<long>>>")
     seen = written(seen.dropDuplicates(["host", "page"]))
 
     # texts that most of a host's distinct pages hold
@@ -596,7 +616,7 @@ def induced(pages: DataFrame, html_column: str = "html") -> DataFrame:
     # how much text varies, by node
     varying = F.filter("slots", lambda s: ~F.coalesce(F.array_contains("template", F.struct(s["number"].alias("number"), s["text"].alias("text"))), F.lit(False)))
     mass = seen.join(_small(templates, 16 * F.size("template")), "host", "left")
-    mass = mass.select("host", F.explode(varying).alias("s")).groupBy("host", "s.number").agg(F.sum("s.chars").alias("chars")).join(total.select("host"), "host", "left_semi")
+    mass = mass.select("host", F.explode(varying).alias("s")).groupBy("host", "s.number").agg(F.sum("s.chars").alias("chars"), F.sum("s.links").alias("links")).where(F.col("links") <= LINK_SHARE * F.col("chars")).join(total.select("host"), "host", "left_semi")
     mass = mass.groupBy("host").agg(F.array_sort(F.collect_list(F.struct("number", "chars"))).alias("mass"))
     return written(references.join(templates, "host", "left").join(mass, "host", "left").select("host", "outline", "template", "mass"))
 
@@ -615,19 +635,20 @@ def _small(hosts: DataFrame, bytes_each: Column) -> DataFrame:
     return F.broadcast(hosts) if size <= MAX_BROADCAST_BYTES else hosts
 
 
-def with_main_text(pages: DataFrame, html_column: str = "html", url_column: str = "url", out: str = "text") -> DataFrame:
+def with_main_text(pages: DataFrame, html_column: str = "html", url_column: str = "url", out: str = "text", names: bool = True) -> DataFrame:
     """Replace the html column by the page's main text."""
-    hosted = pages.withColumn("host", host_of(url_column))
-    wrappers = induced(hosted, html_column)
     kept = [c for c in pages.columns if c not in (html_column, out)]
     schema = pages.select(*kept).schema.add(out, "string")
+    rows = pages.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("of") if kept else F.lit(0).alias("of"), F.col(html_column).alias("html"), host_of(url_column).alias("host"))
+    wrappers = induced(rows)
+    otherwise = _named_otherwise if names else _unnamed
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, list[Fold]] = {}
         regions: dict[tuple, int] = {}
         for batch in batches:
             made = []
-            for h, o, t, m in zip(*(batch.column(c).to_pylist() for c in (html_column, "outline", "template", "mass")), strict=True):
+            for h, o, t, m in zip(*(batch.column(c).to_pylist() for c in ("html", "outline", "template", "mass")), strict=True):
                 root = parse(h or "")
                 folds: list[Fold] = []
                 region = -1
@@ -636,16 +657,16 @@ def with_main_text(pages: DataFrame, html_column: str = "html", url_column: str
                     if key not in regions:
                         if len(regions) > 1000:
                             regions.clear()
-                        regions[key] = region_of(_reference(o, known), dict(key[1]))
+                        regions[key] = region_of(_reference(o, known), dict(key[1]), otherwise)
                     region = regions[key]
                 if t or region >= 0:
                     folds = fold(_elements([root]))
                     match(folds, _reference(o, known))
-                made.append(main_text(root, folds, frozenset((x["number"], x["text"]) for x in t or ()), region))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), pa.array(made, pa.string())], names=[*kept, out])
+                made.append(main_text(root, folds, frozenset((x["number"], x["text"]) for x in t or ()), region, otherwise))
+            yield pa.RecordBatch.from_arrays([*(batch.column("of").flatten() if kept else []), pa.array(made, pa.string())], names=[*kept, out])
 
-    joined = hosted.select(*kept, html_column, *([] if "host" in kept else ["host"])).join(_small(wrappers, F.char_length("outline") + 16 * (F.greatest(F.size("template"), F.lit(0)) + F.greatest(F.size("mass"), F.lit(0)))), "host", "left")
-    return joined.select(*kept, html_column, "outline", "template", "mass").mapInArrow(extract, schema)
+    joined = rows.join(_small(wrappers, F.char_length("outline") + 16 * (F.greatest(F.size("template"), F.lit(0)) + F.greatest(F.size("mass"), F.lit(0)))), "host", "left")
+    return joined.select("of", "html", "outline", "template", "mass").mapInArrow(extract, schema)
 
 
 def op1_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:

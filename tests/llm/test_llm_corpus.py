@@ -38,7 +38,9 @@ def test_tree_matching_keeps_order_and_parents():
 def test_constant_nodes_become_template(spark):
     rows = [(i, f"http://h.example/{i}", page(i, f"<p>Article number {i}</p><p>More {i}</p>")) for i in range(6)]
     rows += [(10, "http://alone.example/", page(10, "<p>Alone</p>")), (11, None, None), (12, "nonsense", ""), (0, "http://h.example/0", page(0, "<p>Article number 0</p><p>More 0</p>"))]
-    df = spark.createDataFrame([(*r, "extra") for r in rows], "page_id long, url string, html string, outline string").drop("outline")
+    df = spark.createDataFrame([(*r, "extra") for r in rows], "page_id long, url string, html string, outline string").withColumn("host", F.lit("h")).withColumn("of", F.lit(1))
+    assert wrappers.with_main_text(df).columns == ["page_id", "url", "outline", "host", "of", "text"]
+    assert {(r.outline, r.host, r.of) for r in wrappers.with_main_text(df).collect()} == {("extra", "h", 1)}
     got = {r.page_id: r.text for r in wrappers.with_main_text(df).collect()}
     assert got[3] == "Article number 3 More 3"
     assert got[10] == "Home About Alone Same words everywhere" and got[11] == got[12] == ""
@@ -62,7 +64,7 @@ def test_long_lists_match_as_short_ones_do(monkeypatch):
 
 
 def test_end_tags_of_deep_elements_close_nothing_else():
-    assert text_of("<div><article><p>a" + "<div>" * 300 + "deep" + "</div>" * 300 + "<p>after</article></div>") == "a deep after"
+    assert text_of("<div><article><p>a" + "<div>" * 900 + "deep" + "</div>" * 900 + "<p>after</article></div>") == "a deep after"
 
 
 def main_texts(spark, pages):
@@ -88,6 +90,22 @@ def test_an_outlier_keeps_the_template(spark):
     assert main_texts(spark, pages) == [("" if i else "Moved home ") + f"Article number {i}" for i in range(20)]
 
 
+def test_alignment_alone_finds_the_text_between_varying_menus(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    pages, want = [], []
+    for _ in range(12):
+        menu = "".join(f"<li><a href=/{word()}>{word()} {word()}</a></li>" for _ in range(rng.randint(8, 14)))
+        title, body = word(), [" ".join(word() for _ in range(40)) for _ in range(rng.randint(2, 5))]
+        pages.append(f"<body><div class=x1><ul>{menu}</ul></div><div class=x2>{word()} {word()}</div><div class=x3><h1>{title}</h1>{''.join(f'<p>{b}</p>' for b in body)}</div><div class=x4>{word()}</div></body>")
+        want.append(" ".join([title, *body]))
+    assert main_texts(spark, pages) == want
+    df = spark.createDataFrame([(i, f"http://h.example/{i}", h.replace("<div class=x1>", "<nav>").replace("</ul></div>", "</ul></nav>")) for i, h in enumerate(pages)], "page_id long, url string, html string")
+    assert [r.text for r in wrappers.with_main_text(df, names=False).orderBy("page_id").collect()] == want
+    alone = df.withColumn("url", F.concat(F.lit("http://h"), "page_id", F.lit(".example/")))
+    assert all(r.text != want[r.page_id] for r in wrappers.with_main_text(alone, names=False).collect())
+
+
 def test_region_holds_the_text_and_not_the_teaser(spark):
     teaser = "<article><h3>Teaser</h3><p>See also</p></article>"
     body = "<div><p>" + "A long body of the page. " * 5 + "</p></div>"
