@@ -62,7 +62,7 @@ CELLS = 64
 MOST = 32_767  # shingles that a cell counts
 LIST = 1024
 #: Rows of ids, or bytes of texts, that a broadcast may have; beyond that Spark shuffles both sides.
-SMALL_IDS, SMALL_BYTES = 200_000, 32 << 20
+SMALL_IDS, SMALL_BYTES = 50_000, 4 << 20
 SEED = 99
 
 _rng = np.random.default_rng(SEED)
@@ -409,7 +409,7 @@ def clustered(docs: DataFrame, key: str = "doc_id", column: str = "text") -> Dat
     first = marks.where("set_id is not null and doc_id is not null").groupBy("set_id").agg(F.min("doc_id").alias("id"), F.max("doc_id").alias("last"))
     by_set = first.join(labels, "id", "left").select("set_id", F.coalesce("label", "id").alias("component_id"), "last")
     by_set = written(by_set.where(F.col("last") != F.col("component_id")).drop("last"))  # all others are alone
-    out = marks.select("doc_id", "n_shingles", "set_id").join(if_small(by_set, 100_000), "set_id", "left")
+    out = marks.select("doc_id", "n_shingles", "set_id").join(if_small(by_set), "set_id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
