@@ -18,10 +18,14 @@ def latest_with_ties(df: DataFrame, key: str, time: str) -> DataFrame:
     return df.withColumn("_place", F.rank().over(window)).where("_place = 1").drop("_place")
 
 
-def merged(old: DataFrame, new: DataFrame, key: str, created: str | None = None) -> DataFrame:
-    """Old rows whose key is not new, and the new rows; a column ``created`` keeps its old value."""
+def merged(old: DataFrame, new: DataFrame, key: str, created: str | None = None, *order: str) -> DataFrame:
+    """Old rows whose key is not new, and the new rows; a column ``created`` keeps its old value.
+
+    With ``order``, the last row of a key counts on both sides."""
+    if order:
+        old, new = last_of_key(old, key, *order), last_of_key(new, key, *order)
     if created is not None:
-        first = old.select(F.col(key).alias("_key"), F.col(created).alias("_created"))
+        first = old.groupBy(F.col(key).alias("_key")).agg(F.min(created).alias("_created"))
         new = new.join(first, F.col(key) == F.col("_key"), "left").withColumn(created, F.coalesce("_created", created)).drop("_key", "_created")
     return old.join(new.select(key), key, "left_anti").unionByName(new.select(*old.columns))
 

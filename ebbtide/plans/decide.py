@@ -1,8 +1,10 @@
 """From wide rows to routed decisions: clean, recall, risk, and the model stages in between.
 
 The model is any object with ``complete(task, payload) -> str``; it is called inside
-``mapInPandas``, once a row, and only for rows with recall.  A failed call is an error of its
-row, never of the job.  Everything else is native expressions in one narrow stage.
+``mapInPandas``, once a row and stage, and only for rows that need the stage: all rows pass
+through one chain of stages, so no branch ever asks again.  A call that the client says is
+worth another try gets it; one that fails is an error of its row, never of the job.
+Everything else is native expressions.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from ebbtide.functions.recall import DEFAULT_LEXICON, recall
 from ebbtide.functions.risk import KEYWORDS, risk
 from ebbtide.functions.text import denoised, flat_calls, flat_chat, none_as_empty
 from ebbtide.functions.times import contradicts, mixed_offsets
+from ebbtide.operators.keyed import publish_key
 
 
 class Client(Protocol):
@@ -41,7 +44,8 @@ class FakeClient:
 
 
 class Limiter:
-    """At most ``calls`` in any minute, for one task; the job's limit is shared among partitions."""
+    """At most ``calls`` in any minute, for one task; the job's limit is shared among the tasks
+    that run at once."""
 
     def __init__(self, calls: int, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep) -> None:
         self.calls, self.clock, self.sleep, self.times = max(1, calls), clock, sleep, deque()
@@ -56,6 +60,31 @@ class Limiter:
         self.times.append(self.clock())
 
 
+#: Further tries of a call, the longest wait before one, and the reason of rows without recall.
+RETRIES, LONGEST_WAIT = 2, 8.0
+SILENT = "片段召回为空，无时效信号和风险信号，跳过 LLM 推理"
+
+
+def worth_retrying(error: Exception) -> bool:
+    """Connections that broke or timed out, too many requests, and the server's own errors."""
+    status = getattr(error, "status", None)
+    return isinstance(error, (ConnectionError, TimeoutError)) or (isinstance(status, int) and (status == 429 or status >= 500))
+
+
+def replied(client: Client, task: str, payload: str, limiter: Limiter | None = None, sleep: Callable[[float], None] = time.sleep) -> str | None:
+    """The model's reply, null if every try failed."""
+    for attempt in range(RETRIES + 1):
+        try:
+            if limiter:
+                limiter.wait()
+            return client.complete(task, payload)
+        except Exception as error:  # noqa: BLE001 the row goes to review; the job goes on
+            if attempt == RETRIES or not worth_retrying(error):
+                return None
+            sleep(min(LONGEST_WAIT, 2.0**attempt))
+    return None
+
+
 def cleaned(wide: DataFrame) -> DataFrame:
     """The texts cleaned, the raw row kept beside them; job_detail stays as it is."""
     raw = F.struct(*[F.col(c) for c in wide.columns]).alias("raw_wide_row")
@@ -73,25 +102,19 @@ def with_risk(df: DataFrame, keywords: dict = KEYWORDS) -> DataFrame:
     return df.withColumn("risk_record", risk(F.concat_ws("\n", *parts), keywords))
 
 
-def asked(df: DataFrame, task: str, payload: Column, client: Callable[[], Client], out: str, calls_a_minute: int | None = None) -> DataFrame:
-    """Add a model's raw reply and the name of its error, row by row, in order, per partition."""
+def asked(df: DataFrame, task: str, payload: Column, client: Callable[[], Client], out: str, wanted: Column, calls_a_minute: int | None = None) -> DataFrame:
+    """Add a model's raw reply for the rows that want it, and whether the call failed, row by
+    row, in order, per partition."""
     kept = df.columns
     schema = df.select("*").schema.add(out, "string").add(f"{out}_failed", "boolean")
-    inputs = df.withColumn("_payload", payload)
+    inputs = df.withColumns({"_payload": payload, "_wanted": F.coalesce(wanted, F.lit(False))})
+    calls = max(1, calls_a_minute // df.sparkSession.sparkContext.defaultParallelism) if calls_a_minute else None
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own, limiter = client(), Limiter(calls_a_minute) if calls_a_minute else None
+        own, limiter = client(), Limiter(calls) if calls else None
         for frame in frames:
-            replies, failed = [], []
-            for p in frame["_payload"]:
-                try:
-                    if limiter:
-                        limiter.wait()
-                    replies.append(own.complete(task, p))
-                    failed.append(False)
-                except Exception:  # noqa: BLE001 the row goes to review; the job goes on
-                    replies.append(None)
-                    failed.append(True)
+            replies = [replied(own, task, p, limiter) if w else None for p, w in zip(frame["_payload"], frame["_wanted"], strict=True)]
+            failed = [bool(w) and r is None for r, w in zip(replies, frame["_wanted"], strict=True)]
             yield frame[kept].assign(**{out: replies, f"{out}_failed": failed})
 
     return inputs.mapInPandas(run, schema)
@@ -103,35 +126,62 @@ def decided(
     """(key, has_recall, fill_status, validity_type, estimated_expiry, reason, route, error_type) of every wide row."""
     rows = with_risk(with_recall(cleaned(wide), lexicon), keywords)
     texts = F.to_json(F.struct("job_detail", "im_text", "asr_result", "publish_time"), {"ignoreNullFields": "false"})
-    base = rows.select(key, "snippet_recall", "risk_record", texts.alias("texts"))
-    silent = base.where(~F.col("snippet_recall.has_recall")).select(
-        key, F.lit(False).alias("has_recall"), F.lit("not_filled").alias("fill_status"), F.lit("no_validity").alias("validity_type"),
-        F.lit(None).cast("string").alias("estimated_expiry"), F.lit("").alias("reason"), F.lit("formal").alias("route"), F.lit(None).cast("string").alias("error_type"),
-    )
-    said = base.where("snippet_recall.has_recall").select(key, "texts", "risk_record")
-    first = asked(said, "signal_detection", F.col("texts"), client, "detection", calls_a_minute)
-    first = first.withColumn("error_type", _error("detection", mj.DETECTION, "unknown_signal_detection_error"))
-    first = first.withColumn("signal", mj.reply_struct(F.col("detection"), mj.DETECTION))
-    has = F.col("error_type").isNull() & F.col("signal.has_temporal_signal")
-    asked_more = asked(first.where(has).drop("detection", "detection_failed"), "time_normalization", F.col("texts"), client, "normal", calls_a_minute)
-    asked_more = asked_more.withColumn("error_type", _error("normal", mj.NORMALISATION, "unknown_time_normalization_error"))
-    asked_more = asked_more.withColumn("normalised", mj.reply_struct(F.col("normal"), mj.NORMALISATION)).drop("normal", "normal_failed")
-    skipped = first.where(~F.coalesce(has, F.lit(False))).drop("detection", "detection_failed")
-    both = asked_more.unionByName(skipped, allowMissingColumns=True)
-    confidence = F.greatest("signal.confidence", "normalised.confidence")
-    payload = F.to_json(F.struct("signal", "normalised", confidence.alias("confidence"), "risk_record"), {"ignoreNullFields": "false"})
-    last = asked(both.where("error_type is null"), "final_decision", payload, client, "final", calls_a_minute)
-    last = last.withColumn("error_type", _error("final", mj.DECISION, "unknown_final_decision_error"))
-    last = last.withColumn("decision", mj.reply_struct(F.col("final"), mj.DECISION)).drop("final", "final_failed")
-    every = last.unionByName(both.where("error_type is not null"), allowMissingColumns=True)
+    said = F.coalesce(F.col("snippet_recall.has_recall"), F.lit(False))
+    # plain columns: what a stage does not need stays out of it
+    base = rows.select(key, said.alias("has_recall"), F.when(said, F.to_json("risk_record")).alias("risk"), F.when(said, texts).alias("texts"))
+    risk_type = rows.schema["risk_record"].dataType
+
+    first = asked(base, "signal_detection", F.col("texts"), client, "detection", F.col("has_recall"), calls_a_minute)
+    wrong = F.when(F.col("has_recall"), _error("detection", mj.DETECTION, "unknown_signal_detection_error"))
+    has = F.col("has_recall") & F.col("error_type").isNull() & mj.reply_struct(F.col("detection"), mj.DETECTION)["has_temporal_signal"]
+    second = asked(first.withColumn("error_type", wrong), "time_normalization", F.col("texts"), client, "normal", has, calls_a_minute)
+    second = second.withColumn("normalised_too", F.coalesce(has, F.lit(False)))
+    wrong = F.coalesce("error_type", F.when(F.col("normalised_too"), _error("normal", mj.NORMALISATION, "unknown_time_normalization_error")))
+    second = second.withColumn("error_type", wrong).drop("texts")
+    signal = mj.reply_struct(F.col("detection"), mj.DETECTION)
+    normalised = F.when(F.col("normalised_too"), mj.reply_struct(F.col("normal"), mj.NORMALISATION))
+    confidence = F.greatest(signal["confidence"], normalised["confidence"])
+    record = F.from_json("risk", risk_type)
+    payload = F.to_json(F.struct(signal.alias("signal"), normalised.alias("normalised"), confidence.alias("confidence"), record.alias("risk_record")), {"ignoreNullFields": "false"})
+    last = asked(second, "final_decision", payload, client, "final", F.col("has_recall") & F.col("error_type").isNull(), calls_a_minute)
+    known = F.col("has_recall") & F.col("error_type").isNull()
+    wrong = F.coalesce("error_type", F.when(known, _error("final", mj.DECISION, "unknown_final_decision_error")))
+    last = last.withColumns({"decision": F.when(known, mj.reply_struct(F.col("final"), mj.DECISION)), "error_type": wrong, "risk_record": record})
     filled, expiry = F.col("risk_record.estimated_filled_at"), F.col("decision.estimated_expiry")
-    error = F.coalesce("error_type", F.when(mixed_offsets(filled, expiry), F.lit("unknown_final_decision_error")))
-    every = every.withColumn("error_type", error)
-    return every.select(
-        key, F.lit(True).alias("has_recall"), F.col("risk_record.fill_status").alias("fill_status"), F.col("decision.validity_type").alias("validity_type"),
-        expiry.alias("estimated_expiry"), with_hint(F.col("decision.reason"), filled, expiry).alias("reason"),
-        route(F.col("error_type"), F.col("decision.low_confidence")).alias("route"), "error_type",
-    ).unionByName(silent)
+    last = last.withColumn("error_type", F.coalesce("error_type", F.when(mixed_offsets(filled, expiry), F.lit("unknown_final_decision_error"))))
+    silent = ~F.col("has_recall")
+    return last.select(
+        key, "has_recall", F.when(silent, F.lit("not_filled")).otherwise(F.col("risk_record.fill_status")).alias("fill_status"),
+        F.when(silent, F.lit("no_validity")).otherwise(F.col("decision.validity_type")).alias("validity_type"), expiry.alias("estimated_expiry"),
+        F.when(silent, F.lit(SILENT)).otherwise(with_hint(F.col("decision.reason"), filled, expiry)).alias("reason"),
+        F.when(silent, F.lit("formal")).otherwise(route(F.col("error_type"), F.col("decision.low_confidence"))).alias("route"), "error_type",
+    )
+
+
+#: The names of the versions in an audit record.
+VERSIONS = (
+    "graph_version", "feature_schema_version", "prompt_version_detection", "prompt_version_normalization", "prompt_version_risk", "prompt_version_final",
+    "model_version_detection", "model_version_normalization", "model_version_risk", "model_version_final",
+)
+
+
+def output_records(decisions: DataFrame, versions: dict[str, str], run_id: Column, key: str = "info_id") -> DataFrame:
+    """(publish_key, run_id, entity_key, route, record): what is published of each decision, as JSON.
+
+    A formal record has the decision's fields; one for review has the error and the decision,
+    if there is one.  Both have an audit of run and versions."""
+    entity = F.col(key).cast("string")
+    fallback = F.col("route") == "fallback"
+    version = lambda name: F.lit(versions.get(name, "")).alias(name)
+    audit = [run_id.alias("run_id"), entity.alias("entity_key"), *map(version, VERSIONS), F.col("route")]
+    decision = F.struct("validity_type", "estimated_expiry", "reason")
+    formal = F.struct(entity.alias("info_id"), "validity_type", "estimated_expiry", "reason", F.struct(*audit).alias("audit"))
+    review = F.struct(
+        entity.alias("info_id"), "error_type", F.when(F.col("validity_type").isNotNull(), decision).alias("decision_record"), F.struct(*audit, F.col("error_type")).alias("audit")
+    )
+    as_json = lambda c: F.to_json(c, {"ignoreNullFields": "false"})
+    publish = publish_key(entity, F.lit(versions.get("feature_schema_version", "")), F.lit(versions.get("graph_version", "")), fallback)
+    return decisions.select(publish.alias("publish_key"), run_id.alias("run_id"), entity.alias("entity_key"), "route", F.when(fallback, as_json(review)).otherwise(as_json(formal)).alias("record"))
 
 
 def _error(reply: str, shape: dict, unknown: str) -> Column:

@@ -171,6 +171,23 @@ def decided_rows(spark: SparkSession, d: str) -> DataFrame:
     return decide.decided(wide, lambda: decide.FakeClient(replies), lexicon=lexicon, keywords=WORDS)
 
 
+def output_records(spark: SparkSession, d: str) -> DataFrame:
+    """What is published of decisions made from events: formal ones, errors, and low confidence."""
+    e = read(spark, d, "events")
+    error = F.when(F.col("event_type") == "error", "parse_error")
+    low = F.col("value") < 50
+    decisions = e.select(
+        F.col("event_id").alias("info_id"), F.when(error.isNull(), F.lit("fuzzy_time")).alias("validity_type"), F.when(F.col("event_id") % 3 == 0, F.lit("2026-04-21")).alias("estimated_expiry"),
+        F.col("event_type").alias("reason"), decide.route(error, low).alias("route"), error.alias("error_type"),
+    )
+    made = decide.output_records(decisions, {"graph_version": "g1", "feature_schema_version": "f1"}, F.concat(F.lit("run-"), F.col("info_id")))
+    at = lambda path: F.get_json_object("record", path)
+    return made.select(
+        "publish_key", "run_id", "entity_key", "route", at("$.validity_type").alias("validity_type"), at("$.estimated_expiry").alias("expiry"), at("$.error_type").alias("error_type"),
+        at("$.decision_record.reason").alias("review_reason"), at("$.audit.graph_version").alias("graph"), at("$.audit.route").alias("audit_route"), at("$.audit.error_type").alias("audit_error"),
+    )
+
+
 def markdown_rules(spark: SparkSession, d: str) -> DataFrame:
     made = documents.normalised_markdown(read(spark, d, "documents").select("doc_id", "text"), "text")
     return made.select("doc_id", F.md5("text").alias("text_md5"))
@@ -178,7 +195,7 @@ def markdown_rules(spark: SparkSession, d: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     line_dedupe_adjacent, line_filters, greeting_distinct, header_strip, turn_truncate, earliest_times, lexicon_recall, recall_counts, risk_rules, filled_filter, preview,
-    repeat_fold, denoise_full, model_json_validate, expiry_hint, decide_route, iso_times, normalise_rows, validate_split, decided_rows, markdown_rules,
+    repeat_fold, denoise_full, model_json_validate, expiry_hint, decide_route, iso_times, normalise_rows, validate_split, decided_rows, output_records, markdown_rules,
 )}
 
 _BREAK = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x{85}\x{2028}\x{2029}]"
@@ -213,5 +230,7 @@ ORACLE_SQL = {
     "normalise_rows": "SELECT 'J' || c_custkey AS info_id, CASE WHEN c_custkey % 3 = 0 THEN 'x' ELSE '' END AS im_text, CASE WHEN c_custkey % 4 = 0 THEN '【投诉1 2026-04-20 9:5:1】' || chr(10) || '【投诉2 2026-04-20 10:00:00】' ELSE '' END AS complaint_content, '' AS asr_result, NULL::VARCHAR AS sub_id, CASE WHEN c_custkey % 4 = 0 THEN '2026-04-20 9:5:1' END AS first_complaint_time FROM customer",
     "validate_split": "WITH e AS (SELECT c_custkey AS k, array_to_string(list_filter([CASE WHEN c_custkey % 7 = 0 THEN 'user_id: missing' END, CASE WHEN c_custkey % 11 = 0 THEN 'complaint_count: not a whole number' WHEN c_custkey % 13 = 0 THEN 'complaint_count: negative' END], lambda x: x IS NOT NULL), '|') AS errors FROM customer) SELECT 'J' || k AS info_id, CASE WHEN errors = '' THEN k % 13 - 1 END::BIGINT AS complaint_count, errors FROM e",
     "decided_rows": "SELECT doc_id AS info_id, (contains(text, 'trash') OR contains(text, 'que ')) AS has_recall, CASE WHEN NOT has_recall OR doc_id % 2 = 1 THEN 'not_filled' ELSE 'confirmed_filled' END AS fill_status, "
-    "CASE WHEN has_recall THEN 'fuzzy_time' ELSE 'no_validity' END AS validity_type, CASE WHEN has_recall THEN '2026-04-21T10:00:00+08:00' END AS estimated_expiry, CASE WHEN has_recall THEN 'said' ELSE '' END AS reason, 'formal' AS route, NULL::VARCHAR AS error_type FROM documents",
+    "CASE WHEN has_recall THEN 'fuzzy_time' ELSE 'no_validity' END AS validity_type, CASE WHEN has_recall THEN '2026-04-21T10:00:00+08:00' END AS estimated_expiry, CASE WHEN has_recall THEN 'said' ELSE '片段召回为空，无时效信号和风险信号，跳过 LLM 推理' END AS reason, 'formal' AS route, NULL::VARCHAR AS error_type FROM documents",
+    "output_records": "WITH e AS (SELECT event_id, event_type, event_type = 'error' OR value < 50 AS review, event_type = 'error' AS wrong FROM events) SELECT event_id || '::f1::g1' || CASE WHEN review THEN '::fallback' ELSE '' END AS publish_key, 'run-' || event_id AS run_id, event_id::VARCHAR AS entity_key, CASE WHEN review THEN 'fallback' ELSE 'formal' END AS route, "
+    "CASE WHEN NOT review THEN 'fuzzy_time' END AS validity_type, CASE WHEN NOT review AND event_id % 3 = 0 THEN '2026-04-21' END AS expiry, CASE WHEN wrong THEN 'parse_error' END AS error_type, CASE WHEN review AND NOT wrong THEN event_type END AS review_reason, 'g1' AS graph, CASE WHEN review THEN 'fallback' ELSE 'formal' END AS audit_route, CASE WHEN wrong THEN 'parse_error' END AS audit_error FROM e",
 }

@@ -9,9 +9,12 @@ from pyspark.sql import types as T
 RETENTION_DAYS = 120
 
 
-def scan(spark: SparkSession, path: str, pt: str | None = None, columns: list[str] | None = None) -> DataFrame:
-    """A Parquet table, one partition of it, some of its columns: pruned in the scan."""
-    df = spark.read.option("mergeSchema", "true").parquet(path)
+def scan(spark: SparkSession, path: str, pt: str | None = None, columns: list[str] | None = None, schema: T.StructType | None = None, merge: bool = False) -> DataFrame:
+    """A Parquet table, one partition of it, some of its columns: pruned in the scan.
+
+    Files of different columns need their schema, or ``merge``, which opens the footers of all."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read.option("mergeSchema", str(merge).lower())
+    df = reader.parquet(path)
     if pt is not None:
         df = df.where(F.col("pt") == pt)
     return df.select(*columns) if columns else df
@@ -25,7 +28,12 @@ def limited(df: DataFrame, rows: int | None, condition=None) -> DataFrame:  # no
 
 def by_ids(df: DataFrame, ids: list[str], key: str = "info_id") -> DataFrame:
     wanted = list(dict.fromkeys(i.strip() for i in ids if i and i.strip()))
-    return df.where(F.col(key).cast("string").isin(wanted)) if wanted else df.limit(0)
+    kind = df.schema[key].dataType
+    if isinstance(kind, T.IntegralType):  # of the column's own type, so that the scan gets the filter
+        most = {T.ByteType: 7, T.ShortType: 15, T.IntegerType: 31}.get(type(kind), 63)
+        numbers = [int(i) for i in wanted if i.removeprefix("-").isascii() and i.removeprefix("-").isdigit() and str(int(i)) == i]
+        return df.where(F.col(key).isin([n for n in numbers if -(1 << most) <= n < 1 << most])) if numbers else df.limit(0)
+    return df.where((F.col(key) if isinstance(kind, T.StringType) else F.col(key).cast("string")).isin(wanted)) if wanted else df.limit(0)
 
 
 def rendered_sql(spark: SparkSession, text: str, **values: str) -> DataFrame:

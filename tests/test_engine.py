@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from ebbtide import catalog
 from ebbtide.operators import candidates, docs, keyed
+from ebbtide.plans import decide
 from ebbtide.sources import files
 from ebbtide.streaming import stateless
 
@@ -122,6 +123,60 @@ def test_all_delta_holds_every_complaint(spark, tmp_path):
     assert sorted(map(tuple, made.collect())) == [(3, 1, 3.0), (4, 1, 1.5)] and "all_delta" in catalog.ORACLE_SQL
 
 
+def test_model_is_called_once_a_row_and_stage(spark, tmp_path):
+    rows = [(k, k, "", "", "", None) for k in ("明天 a", "明天 quiet", "明天 broken", "none")]
+    wide = spark.createDataFrame(rows, "info_id string, job_detail string, asr_result string, im_text string, complaint_content string, publish_time string")
+    folder = str(tmp_path)
+
+    class Counting:
+        """Counts its calls in files, as they come from other processes."""
+
+        def complete(self, task, payload):
+            import json
+
+            with open(f"{folder}/{task}-{json.loads(payload).get('job_detail', '')}", "a") as out:
+                out.write("x")
+            if task == "signal_detection":
+                return "no json" if "broken" in payload else json.dumps({"has_temporal_signal": "quiet" not in payload, "confidence": 0.5})
+            return '{"normalizable": true}' if task == "time_normalization" else '{"validity_type": "fuzzy_time", "reason": "said"}'
+
+    made = decide.decided(wide, Counting)
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("MapInPandas") == 3
+    got = {r.info_id: r for r in made.collect()}
+    calls = {p.name: p.read_text() for p in tmp_path.iterdir()}
+    assert set(calls) == {"signal_detection-明天 a", "signal_detection-明天 quiet", "signal_detection-明天 broken", "time_normalization-明天 a", "final_decision-"}
+    assert all(v == "x" for k, v in calls.items() if k != "final_decision-") and calls["final_decision-"] == "xx"
+    assert got["明天 broken"].error_type == "parse_error" and got["明天 broken"].route == "fallback" and got["明天 a"].reason == "said"
+    assert got["none"].reason == decide.SILENT and got["none"].route == "formal"
+
+
+def test_retries():
+    class Busy(Exception):
+        status = 429
+
+    waits = []
+    for errors, want in (([Busy(), TimeoutError()], "ok"), ([Busy()] * 3, None), ([ValueError()], None)):
+        left = list(errors)
+
+        class Client:
+            def complete(self, task, payload):
+                if left:  # noqa: B023
+                    raise left.pop(0)  # noqa: B023
+                return "ok"
+
+        assert decide.replied(Client(), "t", "{}", sleep=waits.append) == want
+    assert waits == [1.0, 2.0, 1.0, 2.0]
+
+
+def test_ids_reach_the_scan_and_merges_keep_one_row_a_key(spark, tmp_path):
+    spark.range(10).write.parquet(f"{tmp_path}/n")
+    found = files.by_ids(spark.read.parquet(f"{tmp_path}/n"), ["3", " 4 ", "x", "04"], "id")
+    assert sorted(r.id for r in found.collect()) == [3, 4] and "In(id" in found._jdf.queryExecution().executedPlan().toString()
+    old = spark.createDataFrame([("a", 1, 10), ("a", 2, 11), ("b", 1, 12)], "k string, t long, created long")
+    new = spark.createDataFrame([("a", 3, 20), ("a", 4, 21)], "k string, t long, created long")
+    assert sorted(map(tuple, keyed.merged(old, new, "k", "created", "t").collect())) == [("a", 4, 11), ("b", 1, 12)]
+
+
 def test_stream(spark, tmp_path):
     rows = spark.createDataFrame([("A", "明天开工", "", "", "")], "info_id string, job_detail string, asr_result string, im_text string, complaint_content string")
     rows.write.parquet(f"{tmp_path}/in")
