@@ -36,14 +36,15 @@ def _user_calls(spark: SparkSession, d: str) -> DataFrame:
 
 
 def wide_candidates(spark: SparkSession, d: str) -> DataFrame:
-    s = c.Settings("19980101", top=3)
+    """Posts with their calls, the chats of conversations of their number, and the complaints of
+    events of that user number."""
+    s = c.Settings("19980101", top=3, min_messages=3)
     posts = _posts(spark, d).join(_users(spark, d).select("user_id"), "user_id", "left_semi")
     base = posts.select("user_id", F.col("id").alias("info_id"), F.col("o_orderpriority").alias("job_detail"), F.lit("").alias("occupation_id"), F.date_format("o_orderdate", STAMP).alias("publish_time"))
-    merged, counts = c.calls_of(_user_calls(spark, d), s)
-    none = spark.sql("SELECT 0L AS info_id, '' AS im_merged WHERE false")
-    no_count = spark.sql("SELECT 0L AS info_id, 0L AS im_message_count WHERE false")
-    no_complaint = spark.sql("SELECT 0L AS info_id, '' AS complaint_content, 0L AS complaint_count, '' AS first_complaint_time WHERE false")
-    return c.assembled(base, merged, counts, none, no_count, no_complaint)
+    calls, call_counts = c.calls_of(_user_calls(spark, d), s)
+    messages = _messages(spark, d)
+    chats, chat_counts = c.chats_of(messages, messages, s)
+    return c.assembled(base, calls, call_counts, chats, chat_counts, c.complaints_of(*_complaints(spark, d)))
 
 
 _U = "users AS (SELECT o_custkey AS user_id, count(*) AS post_count FROM orders JOIN customer ON c_custkey = o_custkey WHERE o_orderstatus = 'O' GROUP BY o_custkey HAVING count(*) >= 2)"
@@ -52,15 +53,6 @@ _C = f"""{_U}, calls AS (SELECT l_orderkey AS info_id, l_returnflag AS sub_id, l
  FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN users ON user_id = o_custkey WHERE l_quantity > 10 AND o_orderstatus = 'O'),
  numbered AS (SELECT *, row_number() OVER (PARTITION BY info_id ORDER BY call_time DESC, call_id) AS rn FROM calls)"""
 
-WIDE_SQL = f"""WITH {_C}, asr AS (SELECT info_id, array_to_string(list_sort(list_distinct(list(sub_id))), ',') AS sub_id,
- string_agg('【通话' || rn || ' ' || call_time || '】' || chr(10) || asr_result, chr(10) ORDER BY rn) AS asr_result FROM numbered WHERE rn <= 3 GROUP BY info_id),
- cc AS (SELECT info_id, count(*) AS n FROM calls GROUP BY info_id)
-SELECT o_custkey AS user_id, o_orderkey AS info_id, o_orderpriority AS job_detail, '' AS occupation_id, coalesce(asr.sub_id, '') AS sub_id, coalesce(asr.asr_result, '') AS asr_result,
- '' AS im_text, '' AS complaint_content, 0::BIGINT AS im_message_count, coalesce(cc.n, 0)::BIGINT AS call_record_count, 0::BIGINT AS complaint_count,
- NULL::VARCHAR AS first_complaint_time, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS publish_time
-FROM orders JOIN users ON user_id = o_custkey LEFT JOIN asr ON asr.info_id = o_orderkey LEFT JOIN cc ON cc.info_id = o_orderkey WHERE o_orderstatus = 'O'"""
-
-
 def active_publishers(spark: SparkSession, d: str) -> DataFrame:
     recent = _posts(spark, d).where(c.after(F.col("o_orderdate"), "19980101", 180))
     return c.publishers(read(spark, d, "customer").select(F.col("c_custkey").alias("id")), recent, 2)
@@ -107,11 +99,14 @@ CONV_ROLLUP_SQL = f"""WITH {_M}, lines AS (SELECT r.info_id, r.rn, r.started, m.
 SELECT info_id, md5(t) AS im_md5, length(t)::BIGINT AS n_chars, (SELECT count(*) FROM ranked r WHERE r.info_id = merged.info_id)::BIGINT AS im_message_count FROM merged"""
 
 
-def complaint_rollup(spark: SparkSession, d: str) -> DataFrame:
+def _complaints(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     e = read(spark, d, "events").where("event_type = 'error'")
     records = e.select(F.col("event_id").alias("id"), F.col("user_id").alias("target_info_id"), F.date_format("ts", STAMP).alias("created_at"))
-    details = e.select(F.col("event_id").alias("complaint_id"), F.when(F.col("event_id") % 5 != 0, F.col("props")).alias("complaint_content"))
-    return c.complaints_of(records, details)
+    return records, e.select(F.col("event_id").alias("complaint_id"), F.when(F.col("event_id") % 5 != 0, F.col("props")).alias("complaint_content"))
+
+
+def complaint_rollup(spark: SparkSession, d: str) -> DataFrame:
+    return c.complaints_of(*_complaints(spark, d))
 
 
 COMPLAINTS_SQL = """WITH r AS (SELECT user_id AS info_id, event_id, props, strftime(ts, '%Y-%m-%d %H:%M:%S') AS t FROM events WHERE event_type = 'error' AND event_id % 5 <> 0),
@@ -120,6 +115,22 @@ SELECT info_id, string_agg('【投诉' || rn || ' ' || t || '】' || chr(10) ||
 FROM n GROUP BY info_id"""
 
 
+WIDE_SQL = f"""WITH {_C}, asr AS (SELECT info_id, array_to_string(list_sort(list_distinct(list(sub_id))), ',') AS sub_id,
+ string_agg('【通话' || rn || ' ' || call_time || '】' || chr(10) || asr_result, chr(10) ORDER BY rn) AS asr_result FROM numbered WHERE rn <= 3 GROUP BY info_id),
+ cc AS (SELECT info_id, count(*) AS n FROM calls GROUP BY info_id),
+ {_M}, lines AS (SELECT r.info_id, r.rn, r.started, m.role || ': ' || m.text AS line, m.turn, m.role FROM ranked r JOIN m USING (conversation_id)
+ WHERE r.rn <= 3 AND m.role <> 'system' AND m.text <> ''),
+ bodies AS (SELECT info_id, rn, started, string_agg(line, chr(10) ORDER BY turn, role, line) AS body FROM lines GROUP BY ALL),
+ im AS (SELECT info_id, string_agg('【会话' || rn || ' ' || strftime(make_timestamp(started * 1000000), '%Y-%m-%d %H:%M:%S') || '】' || chr(10) || body, chr(10) ORDER BY rn) AS t FROM bodies GROUP BY info_id),
+ imc AS (SELECT info_id, count(*) AS n FROM ranked GROUP BY info_id),
+ complaints AS ({COMPLAINTS_SQL})
+SELECT o_custkey AS user_id, o_orderkey AS info_id, o_orderpriority AS job_detail, '' AS occupation_id, coalesce(asr.sub_id, '') AS sub_id, coalesce(asr.asr_result, '') AS asr_result,
+ coalesce(im.t, '') AS im_text, coalesce(p.complaint_content, '') AS complaint_content, coalesce(imc.n, 0)::BIGINT AS im_message_count, coalesce(cc.n, 0)::BIGINT AS call_record_count,
+ coalesce(p.complaint_count, 0)::BIGINT AS complaint_count, p.first_complaint_time, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS publish_time
+FROM orders JOIN users ON user_id = o_custkey LEFT JOIN asr ON asr.info_id = o_orderkey LEFT JOIN cc ON cc.info_id = o_orderkey
+ LEFT JOIN im ON im.info_id = o_orderkey LEFT JOIN imc ON imc.info_id = o_orderkey LEFT JOIN complaints p ON p.info_id = o_orderkey WHERE o_orderstatus = 'O'"""
+
+
 def latest_post_dedupe(spark: SparkSession, d: str) -> DataFrame:
     posts = read(spark, d, "orders")
     return c.ranked(posts, "o_custkey", "o_orderdate", "o_orderkey").where("rn = 1").select("o_custkey", "o_orderkey", F.date_format("o_orderdate", STAMP).alias("day"))
