@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm.common import table
+from ebbtide.llm.common import table, with_small_batches
 
 BLOCK_CHARS = 4_000_000
 #: Parts of all words for each shuffle partition; a task keeps the words of one part at a time.
@@ -293,7 +293,7 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, column: str = "
     """Replace a text column by its ids (little-endian unsigned 32-bit integers) and their number."""
     shared = df.sparkSession.sparkContext.broadcast(ranks)
     kept = [c for c in df.columns if c not in (column, ids, count)]
-    slim = df.select(*kept, column)
+    slim = with_small_batches(df).select(*kept, column)
     schema = slim.select(*kept).schema.add(ids, "binary").add(count, "long")
 
     parts = PARTS_A_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import re
 import tempfile
 import uuid
 
@@ -22,12 +24,17 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+@functools.cache
+def _own_folder() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="ebbtide-")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir; a temporary one only where that is unset."""
+    """A new folder below spark.checkpoint.dir.  Where that is unset, below the warehouse, or, if
+    all of Spark is in this process, as in tests, below a temporary folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="ebbtide-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _own_folder() if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) else spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/ebbtide-{uuid.uuid4().hex}"
 
 
@@ -43,6 +50,15 @@ def written(df: DataFrame, partition_by: tuple[str, ...] = ()) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def with_small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """The table, its session set to send Python at most so many rows at once: whole texts can
+    be long, and a worker holds a batch of them."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(name)) <= rows:
+        df.sparkSession.conf.set(name, str(rows))
+    return df
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """The name, or a longer one if the table has a column of that name."""
     taken = {c.lower() for c in df.columns}

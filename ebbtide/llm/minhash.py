@@ -51,7 +51,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm.common import if_small, table, text_of, written
+from ebbtide.llm.common import if_small, table, text_of, with_small_batches, written
 
 WORDS = 5
 PERMUTATIONS = 64
@@ -144,7 +144,7 @@ def signed(docs: DataFrame, key: str = "doc_id", column: str = "text") -> DataFr
                 ids = [hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays([part.column(key), pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.string()), lists], names=["doc_id", "n_shingles", "set_id", "posts"])
 
-    return docs.select(F.col(key).cast("long").alias(key), column).mapInArrow(run, "doc_id long, n_shingles long, set_id string, posts array<int>")
+    return with_small_batches(docs).select(F.col(key).cast("long").alias(key), column).mapInArrow(run, "doc_id long, n_shingles long, set_id string, posts array<int>")
 
 
 class _Sets(dict):
@@ -235,7 +235,7 @@ def _packed(docs: DataFrame, key: str, column: str) -> DataFrame:
                 tags = pa.array([_set_tag(x) for x in sets], pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column(key), tags, pa.array(cells, pa.list_(pa.int32())), pa.array(made, pa.binary())], names=["id", "tag", "cells", "packed"])
 
-    return docs.select(F.col(key).cast("long").alias(key), column).mapInArrow(run, "id long, tag long, cells array<int>, packed binary")
+    return with_small_batches(docs).select(F.col(key).cast("long").alias(key), column).mapInArrow(run, "id long, tag long, cells array<int>, packed binary")
 
 
 def components(links: DataFrame) -> DataFrame:
