@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,10 +33,30 @@ def runs_page(runs: DataFrame, annotations: DataFrame | None, annotated: bool |
 
 
 def search(df: DataFrame, column: str, query: str, *order: Column, limit: int = 50) -> DataFrame:
-    """Rows whose column contains the query, whatever its case; an empty query finds none."""
+    """Rows whose column contains the query, whatever the case of A to Z; % and _ stand for any
+    characters, as in the source; an empty query finds none."""
     if not query:
         return df.limit(0)
-    return df.where(F.col(column).ilike(f"%{query}%")).orderBy(*order).limit(limit)
+    folded = lambda c: F.translate(c, string.ascii_uppercase, string.ascii_lowercase)
+    pattern = "".join(c.lower() if c.isascii() else c for c in query).replace("\\", "\\\\")
+    return df.where(folded(F.col(column)).like(f"%{pattern}%")).orderBy(*order).limit(limit)
+
+
+STEP = ("step_name", "prompt_version", "model_version", "payload_json", "result_json", "error_type", "created_at")
+NOTE = ("annotated_label", "reviewer_notes", "reviewer_name", "created_at", "id")
+
+
+def run_details(runs: DataFrame, steps: DataFrame, annotations: DataFrame) -> DataFrame:
+    """The runs with ``steps``, in order of their time, and ``annotations`` of the run's entity, in
+    order of time and id: arrays of structs, empty where there are none.
+
+    Filter runs by run_id before for one of them; the filter prunes the steps' scan too."""
+    array = lambda by, fields, first: F.array_sort(F.collect_list(F.struct(*first, *[f for f in fields if f not in first]))).alias(by)
+    of_run = steps.groupBy("run_id").agg(array("steps", STEP, ("created_at", "step_name")))
+    of_entity = annotations.groupBy("entity_key").agg(array("annotations", NOTE, ("created_at", "id")))
+    joined = runs.join(of_run, "run_id", "left").join(of_entity, "entity_key", "left")
+    none = lambda name, df: F.coalesce(F.col(name), F.array().cast(df.schema[name].dataType)).alias(name)
+    return joined.select(*runs.columns, none("steps", of_run), none("annotations", of_entity))
 
 
 def days_between(spark, start: str, end: str, most: int = MAX_RANGE_DAYS) -> DataFrame:  # noqa: ANN001

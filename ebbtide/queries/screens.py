@@ -43,6 +43,24 @@ def runs_page(spark: SparkSession, d: str) -> DataFrame:
     return serving.runs_page(_runs(spark, d), None, None, 5, 20).select("run_id", "entity_key", "updated_at")
 
 
+def run_detail(spark: SparkSession, d: str) -> DataFrame:
+    """Orders as runs of their customer, line items as steps, events of that user number as annotations."""
+    runs = read(spark, d, "orders").select(F.col("o_orderkey").alias("run_id"), F.col("o_custkey").alias("entity_key"), F.col("o_orderstatus").alias("route"))
+    li = read(spark, d, "lineitem")
+    no = F.lit(None).cast("string")
+    steps = li.select(
+        F.col("l_orderkey").alias("run_id"), F.concat_ws("-", "l_linenumber", "l_partkey").alias("step_name"), F.lit("p1").alias("prompt_version"), F.lit("m1").alias("model_version"),
+        F.col("l_linestatus").alias("payload_json"), F.col("l_returnflag").alias("result_json"), no.alias("error_type"), F.col("l_shipdate").alias("created_at"),
+    )
+    e = read(spark, d, "events")
+    notes = e.select(F.col("user_id").alias("entity_key"), F.col("event_type").alias("annotated_label"), F.col("props").alias("reviewer_notes"), no.alias("reviewer_name"), F.col("ts").alias("created_at"), F.col("event_id").alias("id"))
+    found = serving.run_details(runs, steps, notes)
+    step = lambda s: F.concat_ws("|", s["step_name"], s["payload_json"], s["result_json"])
+    return found.select(
+        "run_id", "entity_key", "route", F.array_join(F.transform("steps", step), ";").alias("steps"), F.array_join(F.transform("annotations", lambda n: F.concat_ws(":", n["id"], n["annotated_label"])), ";").alias("annotations")
+    )
+
+
 def latest_run_ties(spark: SparkSession, d: str) -> DataFrame:
     return keyed.latest_with_ties(_runs(spark, d), "entity_key", "updated_at").select("entity_key", "run_id", "updated_at")
 
@@ -229,7 +247,7 @@ def batch_run_ids(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    point_lookup, online_not_found, search_ilike_top50, runs_page, latest_run_ties, annotated_docs, unannotated_docs, incremental_skip, route_stats, validity_distribution,
+    point_lookup, online_not_found, search_ilike_top50, runs_page, run_detail, latest_run_ties, annotated_docs, unannotated_docs, incremental_skip, route_stats, validity_distribution,
     range_stats, daily_summary, distribution_share, list_partitions, latest_partition, last_event_per_user, annotation_cap, keyed_merge, keyed_last, keyed_delete, cache_key,
     upper_median_stats, hour_bucket_hist, bucket_table_with_total, fixed_bins, complaint_count_distribution, first_delta, all_delta, filled_split, rate_by_count, share_below,
     label_source, matrix_overlap, matrix_exclusive, batch_run_ids,
@@ -245,6 +263,9 @@ ORACLE_SQL = {
     "online_not_found": "SELECT (i - 1)::BIGINT AS place, id FROM (SELECT unnest(['1', 'x9', '7', '-5', 'abc']) AS id, unnest([1, 2, 3, 4, 5]) AS i) WHERE id NOT IN (SELECT o_orderkey::VARCHAR FROM orders)",
     "search_ilike_top50": "SELECT c_custkey, c_name FROM customer WHERE c_name ILIKE '%ER#0000001%' ORDER BY c_acctbal DESC, c_custkey LIMIT 50",
     "runs_page": f"WITH {R} SELECT run_id, entity_key, updated_at FROM (SELECT *, rank() OVER (PARTITION BY entity_key ORDER BY updated_at DESC) AS k FROM runs) WHERE k = 1 ORDER BY updated_at DESC, run_id DESC LIMIT 20 OFFSET 5",
+    "run_detail": "WITH s AS (SELECT l_orderkey, string_agg(l_linenumber || '-' || l_partkey || '|' || l_linestatus || '|' || l_returnflag, ';' ORDER BY l_shipdate, l_linenumber || '-' || l_partkey) AS steps FROM lineitem GROUP BY 1), "
+    "n AS (SELECT user_id, string_agg(event_id || ':' || event_type, ';' ORDER BY ts, event_id) AS notes FROM events GROUP BY 1) "
+    "SELECT o_orderkey AS run_id, o_custkey AS entity_key, o_orderstatus AS route, coalesce(s.steps, '') AS steps, coalesce(n.notes, '') AS annotations FROM orders LEFT JOIN s ON l_orderkey = o_orderkey LEFT JOIN n ON user_id = o_custkey",
     "latest_run_ties": f"WITH {R} SELECT entity_key, run_id, updated_at FROM runs r WHERE updated_at = (SELECT max(updated_at) FROM runs q WHERE q.entity_key = r.entity_key)",
     "annotated_docs": "SELECT doc_id, lang FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)",
     "unannotated_docs": "SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
