@@ -137,15 +137,15 @@ def planned(docs: DataFrame, key: str = "doc_id", seed: int = SEED, **how: objec
     leaf = F.col("high") == F.col("prefix")
     of_source = ("source", "source_size", "target", "whole")
     held = placed.where(leaf).groupBy(*of_source, "leaf_rest").agg(F.array_sort(F.collect_list(F.struct((-F.col("size")).alias("neg"), "h", "key", "tie", "size", "m"))).alias("held"))
-    in_leaf = held.select(*of_source, F.explode(_filled(F.col("held"), F.col("leaf_rest"))).alias("x")).select(*of_source, "x.*")
+    in_leaf = held.select(*of_source, F.explode(_filled(F.col("held"), F.col("leaf_rest"), slim.schema["key"].dataType.simpleString())).alias("x")).select(*of_source, "x.*")
     outside = placed.where(~leaf).withColumn("extra", F.when((F.col("high") < F.col("prefix")) & (F.col("size") > 0), F.col("m")).otherwise(F.lit(0)))
     columns = ["key", "tie", "source", "size", "source_size", "target", "m", "whole", "extra"]
     return in_leaf.select(*columns).unionByName(outside.select(*columns))
 
 
-def _filled(held: Column, rest: Column) -> Column:
+def _filled(held: Column, rest: Column, key_type: str) -> Column:
     """The documents of a leaf, largest first, with how many of each fill the rest best."""
-    kind = "array<struct<key:long,tie:long,size:long,m:long,extra:long>>"
+    kind = f"array<struct<key:{key_type},tie:long,size:long,m:long,extra:long>>"
 
     def step(acc: Column, x: Column) -> Column:
         extra = F.when(x["size"] > 0, F.least(x["m"], F.floor(acc["rest"] / x["size"]))).otherwise(F.lit(0).cast("long"))

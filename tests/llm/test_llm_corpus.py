@@ -153,6 +153,8 @@ def test_equal_rows_are_sampled_each(spark):
     assert len(plan) == len(rows)
     for _, g in plan.groupby("source"):
         assert abs((g["copies"] * g["size"]).sum() - g.target.iloc[0]) <= g["size"].min() / 2 + 1e-9 and g["copies"].max() <= 2
+    by_name = mixing.plan(docs.withColumn("doc_id", F.concat(F.lit("d"), "doc_id")))
+    assert by_name.groupBy("source").agg(F.sum(F.col("copies") * F.col("size"))).count() == 28 and by_name.where("key not like 'd%' or key is null").count() == 0
     mixed = mixing.mix(docs)
     assert mixed.columns == docs.columns and mixed.count() == plan["copies"].sum()
     assert mixed.where("source = 'same'").count() == plan[plan.source == "same"]["copies"].sum()
