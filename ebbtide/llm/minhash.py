@@ -314,12 +314,19 @@ def _alike_in_lists(lists: DataFrame) -> DataFrame:
     coordinates, the list's the first of both masks, and are within the bound."""
     names = ["key", "low", "high", "block", "id", "label", "n_shingles", "shared", "mask"]
 
-    def pairs(c: dict[str, np.ndarray], s: int, e: int) -> tuple[np.ndarray, np.ndarray]:
-        i, j = np.triu_indices(e - s, 1)
-        apart = (c["label"][s:e][i] != c["label"][s:e][j]) & _enough(np.minimum(c["shared"][s:e][i], c["shared"][s:e][j]), c["n_shingles"][s:e][i] + c["n_shingles"][s:e][j])
+    def apart(c: dict[str, np.ndarray], first: int, last: int, s: int, e: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of the rows from first to last with later ones of their list, the pairs that labels, blocks and sizes allow."""
+        x, y = slice(first, last), slice(s, e)
+        may = np.arange(first, last)[:, None] < np.arange(s, e)
+        may &= c["label"][x, None] != c["label"][y]
         if c["low"][s] != c["high"][s]:
-            apart &= c["block"][s:e][i] != c["block"][s:e][j]
-        i, j = i[apart] + s, j[apart] + s
+            may &= c["block"][x, None] != c["block"][y]
+        may &= _enough(np.minimum(c["shared"][x, None], c["shared"][y]), c["n_shingles"][x, None] + c["n_shingles"][y])
+        i, j = np.nonzero(may)
+        return i + first, j + s
+
+    def pairs(c: dict[str, np.ndarray], s: int, e: int) -> tuple[np.ndarray, np.ndarray]:
+        i, j = (np.concatenate(x) for x in zip(*(apart(c, at, min(at + 256, e), s, e) for at in range(s, e, 256)), strict=True))
         bits = (c["mask"][s:e, None] >> np.arange(PERMUTATIONS)) & 1 == 1
         keep = np.zeros(len(i), bool)
         for at in range(0, len(i), 20_000):
