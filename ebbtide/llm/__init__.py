@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ebbtide.llm import bpe, media, minhash, mixing, pii, secrets, sketches, toxicity, warc, wrappers
+from ebbtide.llm import bpe, filteraudit, linededup, media, minhash, mixing, pii, secrets, sketches, toxicity, vectorcodes, warc, wrappers
 
-_MODULES = (bpe, media, minhash, mixing, pii, secrets, sketches, toxicity, warc, wrappers)
+_MODULES = (bpe, filteraudit, linededup, media, minhash, mixing, pii, secrets, sketches, toxicity, vectorcodes, warc, wrappers)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
