@@ -9,10 +9,14 @@ the earlier one from the counters, minus its mask without E, plus its mask with
 its place; all other rows of the text count with E at once.  So the counters are right for the files
 read so far after each micro-batch, whatever the order of the files.
 
-Before rows are dealt by text, each task combines its rows of a text (smallest id, how many rows
-have it, how many rows), so a text that a third of all documents share is a row a task and
-part.  Counters are one row a (part, mask, good, toxic); each micro-batch writes its changes
-under its number, so a batch that runs again writes the same folder again.
+The state is a log in the shared folder: a micro-batch adds the texts whose smallest id it brought
+or lowered, under its number, and reads those of smaller numbers; so a batch that runs again
+reads the same state and writes the same folders again.  (A Python state function a text,
+``applyInPandasWithState``, gave the same rows at ten times the CPU seconds.)
+
+Rows of a text are combined before they are dealt by text: after the join with the labels they
+lie by id, each task combines those of a text, and a text that a third of all documents share
+is a row a task and part.  Counters are one row a (part, mask, good, toxic).
 
 From the counters every order follows, as a step's numbers are sums over the masks of 5 bits.
 
@@ -26,11 +30,9 @@ From the counters every order follows, as a step's numbers are sums over the mas
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
 from itertools import permutations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbtide.llm.common import GAP, shared_folder, table, text_of, written
@@ -40,11 +42,6 @@ COPY = 1 << FILTERS.index("E")
 SPACE = " \t\n\x0b\x0c\r"
 #: Micro-batches that the files are dealt to; more of them need less memory at once.
 BATCHES = 4
-STATE_STORE = {
-    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
-}
 
 
 def failures(text: Column) -> Column:
@@ -66,46 +63,35 @@ def masked(docs: DataFrame, labels: DataFrame, doc: str, text: str, part: str) -
     return joined.select("key", "known", "doc", "part", "mask", F.coalesce("_good", F.lit(False)).alias("good"), F.coalesce("_toxic", F.lit(False)).alias("toxic"))
 
 
-GROUP = ["key", "known", "part", "mask", "good", "toxic"]
-COUNTED = ["part", "mask", "good", "toxic", "n"]
-
-
-def combined(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """One row a text and kind: the smallest id, the rows that have it, and all rows."""
-    for frame in frames:
-        if len(frame):
-            groups = frame.groupby(GROUP, sort=False)
-            frame = frame.assign(first=groups["doc"].transform("min"))
-            frame = frame.assign(at_first=(frame["doc"] == frame["first"]).astype("int64"), n=1)
-            yield frame.groupby([*GROUP, "first"], sort=False, as_index=False)[["at_first", "n"]].sum()
-
-
-def retracting(key: tuple, frames: Iterable[pd.DataFrame], state) -> Iterator[pd.DataFrame]:  # noqa: ANN001
-    """The changes of the counters that a text's new rows make; the state keeps the rows of its smallest id."""
-    changes: list[tuple] = []
-    held = state.get if state.exists else None  # (first, parts, masks, goods, toxics, numbers)
-    rows = [r for frame in frames for r in frame[["known", "first", "part", "mask", "good", "toxic", "at_first", "n"]].itertuples(index=False, name=None)]
-    changes += [(part, mask, good, toxic, n) for known, _, part, mask, good, toxic, _, n in rows if not known]
-    rows = [r[1:] for r in rows if r[0]]
-    if rows:
-        first = min(r[0] for r in rows)
-        holders = list(zip(*held[1:], strict=True)) if held is not None else []
-        if held is not None and first < held[0]:
-            changes += [c for part, mask, good, toxic, n in holders for c in ((part, mask, good, toxic, -n), (part, mask | COPY, good, toxic, n))]
-            holders = []
-        elif held is not None:
-            first = held[0]
-        for own, part, mask, good, toxic, at_first, n in rows:
-            smallest = at_first if own == first else 0
-            if smallest:
-                changes.append((part, mask, good, toxic, smallest))
-                holders.append((part, mask, good, toxic, smallest))
-            if n > smallest:
-                changes.append((part, mask | COPY, good, toxic, n - smallest))
-        if held is None or first < held[0] or len(holders) > len(held[1]):
-            state.update((first, *[[kind(h[i]) for h in holders] for i, kind in enumerate((str, int, bool, bool, int))]))
-    if changes:
-        yield pd.DataFrame(changes, columns=COUNTED)
+KIND = ("part", "mask", "good", "toxic")
+
+
+def combined(rows: DataFrame) -> DataFrame:
+    """(key, known, part, mask, good, toxic, first, at_first, n): a text's smallest id, the rows
+    that have it, and all rows."""
+    of_id = rows.groupBy("doc", "key", "known", *KIND).agg(F.count(F.lit(1)).alias("c"))
+    return of_id.groupBy("key", "known", *KIND).agg(F.min("doc").alias("first"), F.min_by("c", "doc").alias("at_first"), F.sum("c").alias("n"))
+
+
+def fates(new: DataFrame, state: DataFrame | None) -> DataFrame:
+    """What a micro-batch changes: (key, part, mask, good, toxic, first, at_first, holds, plain, copies).
+
+    ``new`` are rows of ``combined``, ``state`` the rows that held their text's smallest id when they
+    came.  A row that holds it now goes to the state; plain and copies are the changes of the
+    counters without and with E."""
+    rows = new.withColumn("old", F.lit(False))
+    if state is not None:
+        rows = rows.unionByName(state.select("key", *KIND, "first", "at_first", F.lit(True).alias("known"), F.lit(0).cast("long").alias("n"), F.lit(True).alias("old")))
+    text = Window.partitionBy("key")  # a row or few a text: copies have been combined
+    rows = rows.withColumns({"_least": F.min(F.when(F.col("known"), F.col("first"))).over(text), "_before": F.min(F.when(F.col("old"), F.col("first"))).over(text)})
+    smallest = F.col("known") & (F.col("first") == F.col("_least"))
+    holds = ~F.col("old") & smallest
+    retracted = F.col("old") & (F.col("first") == F.col("_before")) & (F.col("_least") < F.col("_before"))
+    at, n = F.col("at_first"), F.col("n")
+    plain = F.when(retracted, -at).when(F.col("old"), 0).when(~F.col("known"), n).when(smallest, at).otherwise(0)
+    copies = F.when(retracted, at).when(F.col("old") | ~F.col("known"), 0).when(smallest, n - at).otherwise(n)
+    found = rows.select("key", *KIND, "first", "at_first", holds.alias("holds"), plain.cast("long").alias("plain"), copies.cast("long").alias("copies"))
+    return found.where("holds OR plain <> 0 OR copies <> 0")
 
 
 def counted(stream: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str = "text", part: str = "lang") -> DataFrame:
@@ -113,38 +99,24 @@ def counted(stream: DataFrame, labels: DataFrame, doc: str = "doc_id", text: str
 
     ``labels`` has the id's column, quality and toxic."""
     spark = stream.sparkSession
-    of_doc = labels.groupBy(F.col(doc).alias("_doc")).agg(F.bool_or(F.col("quality") == 1).alias("_good"), F.bool_or(F.col("toxic") == 1).alias("_toxic"))
-    rows = masked(stream, written(of_doc), doc, text, part)
-    kind = stream.schema[doc].dataType.simpleString()
-    fields = f"key binary, known boolean, part string, mask int, good boolean, toxic boolean, first {kind}, at_first long, n long"
-    changes = rows.mapInPandas(combined, fields).groupBy("key").applyInPandasWithState(
-        retracting, "part string, mask int, good boolean, toxic boolean, n long",
-        f"first {kind}, parts array<string>, masks array<int>, goods array<boolean>, toxics array<boolean>, numbers array<long>", "update", "NoTimeout",
-    )
+    of_doc = written(labels.groupBy(F.col(doc).alias("_doc")).agg(F.bool_or(F.col("quality") == 1).alias("_good"), F.bool_or(F.col("toxic") == 1).alias("_toxic")))
     folder = shared_folder(spark)
+    log = f"key binary, part string, mask int, good boolean, toxic boolean, first {stream.schema[doc].dataType.simpleString()}, at_first long, holds boolean, plain long, copies long, batch int"
+    changes = "part string, mask int, good boolean, toxic boolean, n long"
 
     def write(batch: DataFrame, number: int) -> None:
-        summed = batch.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n"))
-        summed.coalesce(1).write.mode("overwrite").parquet(f"{folder}/changes/batch={number}")
-
-    before = {name: spark.conf.get(name, None) for name in STATE_STORE}
-    for name, value in STATE_STORE.items():
-        spark.conf.set(name, value)
-    try:
-        query = changes.writeStream.outputMode("update").option("checkpointLocation", f"{folder}/state").foreachBatch(write).trigger(availableNow=True).start()
-    finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+        session = batch.sparkSession
+        before = session.read.schema(log).parquet(f"{folder}/log").where((F.col("batch") < number) & F.col("holds")) if number else None
+        fates(combined(masked(batch, of_doc, doc, text, part)), before).write.mode("overwrite").parquet(f"{folder}/log/batch={number}")
+        told = session.read.schema(log).parquet(f"{folder}/log").where(F.col("batch") == number).groupBy(*KIND).agg(F.sum("plain").alias("plain"), F.sum("copies").alias("copies"))
+        each = F.inline(F.array(F.struct(F.col("mask"), F.col("plain").alias("n")), F.struct(F.col("mask").bitwiseOR(COPY).alias("mask"), F.col("copies").alias("n"))))
+        told.select("part", "good", "toxic", each).where("n <> 0").coalesce(1).write.mode("overwrite").parquet(f"{folder}/changes/batch={number}")
+
+    query = stream.writeStream.option("checkpointLocation", f"{folder}/progress").foreachBatch(write).trigger(availableNow=True).start()
     query.awaitTermination()
-    return _sums(spark, f"{folder}/changes", query.lastProgress is not None)
-
-
-def _sums(spark: SparkSession, path: str, any_batch: bool) -> DataFrame:
-    fields = "part string, mask int, good boolean, toxic boolean, n long"
-    if not any_batch:
-        return spark.createDataFrame([], fields)
-    changes = spark.read.schema(fields + ", batch int").parquet(path)
-    return changes.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n")).where("n <> 0")
+    if query.lastProgress is None:  # no file, no batch
+        return spark.createDataFrame([], changes)
+    return spark.read.schema(changes).parquet(f"{folder}/changes").groupBy(*KIND).agg(F.sum("n").alias("n")).where("n <> 0")
 
 
 def orders() -> list[tuple[str, int, int, int]]:
