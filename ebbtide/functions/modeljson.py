@@ -42,6 +42,16 @@ def without_fence(text: Column) -> Column:
     return F.when(text.startswith("```") & text.endswith("```"), F.regexp_replace(inner, r"(?U)^\s+|\s+$", "")).otherwise(text)
 
 
+def strict_json(text: Column) -> Column:
+    """The value of a text that is one JSON value and nothing else; null for others.
+
+    Spark's parser stops at the end of the first value, so the text is parsed within brackets and
+    within braces: what closes one of them early is broken in the other."""
+    listed = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
+    named = F.try_parse_json(F.concat(F.lit('{"v":'), text, F.lit("}")))
+    return F.when(named.isNotNull() & F.try_variant_get(listed, "$[1]", "variant").isNull(), F.try_variant_get(listed, "$[0]", "variant"))
+
+
 _VARIANT = {"boolean": ("BOOLEAN",), "string": ("STRING",), "double": ("BIGINT", "DOUBLE", "DECIMAL"), "long": ("BIGINT",), "strings": ("ARRAY<STRING>", "ARRAY<VOID>")}
 _TYPE = {"boolean": "boolean", "string": "string", "double": "double", "long": "bigint", "strings": "array<string>"}
 
@@ -73,7 +83,7 @@ def shape_errors(text: Column, shape: dict[str, Field]) -> Column:
 def reply_error(text: Column, shape: dict[str, Field]) -> Column:
     """Null, parse_error or schema_validation_error."""
     body = without_fence(F.coalesce(text, F.lit("")))
-    parsed = F.try_parse_json(body)
+    parsed = strict_json(body)
     is_object = F.schema_of_variant(parsed).startswith("OBJECT")
     return (
         F.when((body == "") | parsed.isNull(), F.lit("parse_error"))

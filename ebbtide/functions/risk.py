@@ -34,6 +34,11 @@ def filled_complaint(count: Column, text: Column, words: Sequence[str] = FILLED)
     return (F.coalesce(count, F.lit(0)) > 0) & contains_any(F.coalesce(text, F.lit("")), words)
 
 
+def closed_complaint(text: Column, words: Sequence[str] = (*FILLED, *UNREACHABLE)) -> Column:
+    """The wider test: the text says that the post is filled, or that nobody can be reached."""
+    return contains_any(F.coalesce(text, F.lit("")), words)
+
+
 def fill_status(filled: Column, suspected: Column, active: Column) -> Column:
     return F.when(filled & ~active, "confirmed_filled").when((filled & active) | (suspected & ~active), "suspected_filled").otherwise("not_filled")
 

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import functools
+
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
+#: Ranges that a group's values are cut into for its median.
+RANGES = 64
+
 ISO = r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?(?:Z|[+-]\d{2}:?\d{2})?)?$"
 # Upper ends of the hour buckets, half open, and their labels.
 HOUR_BUCKETS = (
@@ -35,6 +40,24 @@ def wall_clock(text: Column) -> Column:
     return F.try_to_timestamp(F.regexp_replace(F.regexp_replace(text, r"(?:Z|[+-]\d{2}:?\d{2})$", ""), "T", " "))
 
 
+#: Fixed value: the header of a complaint, its time written loosely.
+LOOSE_HEADER = r"【投诉[0-9]+\s+([0-9-]+\s+[0-9:]+)】"
+
+
+def loose_time(text: Column) -> Column:
+    """An ISO time with its offset dropped, or a time with parts of one digit, with or without
+    seconds; null for what is none of them."""
+    strict = F.when(F.trim(text).rlike(ISO), wall_clock(F.trim(text)))
+    loose = [F.try_to_timestamp(F.regexp_replace(F.trim(text), r"\s+", " "), F.lit(f)) for f in ("yyyy-M-d H:m:s", "yyyy-M-d H:m")]
+    return F.coalesce(strict, *loose)
+
+
+def complaint_times(text: Column) -> Column:
+    """All complaints' times of a text, in its order; headers that hold no time are left out."""
+    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(LOOSE_HEADER), F.lit(1))
+    return F.filter(F.transform(found, loose_time), lambda t: t.isNotNull())
+
+
 def hours_between(a: Column, b: Column) -> Column:
     return (F.unix_timestamp(b.cast("timestamp")) - F.unix_timestamp(a.cast("timestamp"))) / F.lit(3600.0)
 
@@ -59,11 +82,29 @@ def upper_median(value: str) -> Column:
 
 
 def upper_median_by_rank(df, by: list[str], value: str, out: str = "median"):  # noqa: ANN001, ANN201
-    """The same for groups of any size: counts of distinct values, then a running sum of them."""
-    from pyspark.sql import Window
-
-    counts = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
-    upto = F.sum("_n").over(Window.partitionBy(*by).orderBy(value))
-    every = F.sum("_n").over(Window.partitionBy(*by))
-    placed = counts.withColumn("_upto", upto).withColumn("_every", every)
-    return placed.where(F.col("_upto") > F.floor(F.col("_every") / 2)).groupBy(*by).agg(F.min(value).alias(out))
+    """The same for groups of any size, in three narrow passes and no group in one task.
+
+    A group's values are cut into at most ``RANGES`` ranges by approximate quantiles, which the
+    aggregation makes as it goes; counts by range tell in which range the median lies, and only
+    that range's distinct values are put in order.  Exact, as the ranges only divide the work."""
+    rows = df.where(F.col(value).isNotNull()).select(*by, value)
+    cuts = rows.groupBy(*by).agg(F.percentile_approx(value, [i / RANGES for i in range(1, RANGES)], RANGES * 20).alias("_cuts"), F.count(F.lit(1)).alias("_every"))
+    same = [F.col(f"c.{c}").eqNullSafe(F.col(f"r.{c}")) for c in by]
+    ranged = rows.alias("r").join(cuts.alias("c"), functools.reduce(lambda a, b: a & b, same)).select("r.*", "_every", F.size(F.filter("_cuts", lambda x: x < F.col(value))).alias("_range"))
+    counts = ranged.groupBy(*by, "_every", "_range", value).agg(F.count(F.lit(1)).alias("_n"))
+    of_range = counts.groupBy(*by, "_every", "_range").agg(F.sum("_n").alias("_of_range"))
+    before = F.coalesce(F.sum("_of_range").over(Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # RANGES rows a group
+    place = F.floor(F.col("_every") / 2) + 1
+    middle = of_range.withColumn("_before", before).where((F.col("_before") < place) & (F.col("_before") + F.col("_of_range") >= place))
+    same = [F.col(f"m.{c}").eqNullSafe(F.col(f"n.{c}")) for c in (*by, "_range")]
+    within = counts.alias("n").join(middle.alias("m"), functools.reduce(lambda a, b: a & b, same)).select("n.*", "_before")
+    upto = F.col("_before") + F.sum("_n").over(Window.partitionBy(*by).orderBy(value))
+    return within.withColumn("_upto", upto).where(F.col("_upto") >= place).groupBy(*by).agg(F.min(value).alias(out))
+
+
+def value_stats(df, by: list[str], value: str):  # noqa: ANN001, ANN201
+    """(low, high, n, mean, median) of a column by group; the median is the upper one."""
+    stats = df.groupBy(*by).agg(F.min(value).alias("low"), F.max(value).alias("high"), F.count(value).alias("n"), F.avg(value).alias("mean"))
+    medians = upper_median_by_rank(df, by, value).withColumnsRenamed({c: f"_{c}" for c in by})
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]
+    return stats.join(medians, functools.reduce(lambda a, b: a & b, same), "left").drop(*[f"_{c}" for c in by])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ebbtide.operators.keyed import latest_with_ties
@@ -24,6 +24,11 @@ def distribution(df: DataFrame, column: Column, name: str = "label") -> DataFram
     return counts.select(name, "n", (F.col("n") / F.sum("n").over(every)).alias("share"), (F.col("n") / F.max("n").over(every)).alias("bar"))
 
 
+def shown_distribution(df: DataFrame, column: Column, name: str = "label") -> DataFrame:
+    """What a chart shows: the labels that occur, from the most frequent on, ties by label."""
+    return distribution(df, column, name).where("n > 0").orderBy(F.col("n").desc(), name)
+
+
 def runs_page(runs: DataFrame, annotations: DataFrame | None, annotated: bool | None, offset: int, limit: int) -> DataFrame:
     """Latest runs per entity (ties kept), newest first; optionally only those with or without annotation."""
     latest = latest_with_ties(runs, "entity_key", "updated_at")
@@ -32,6 +37,33 @@ def runs_page(runs: DataFrame, annotations: DataFrame | None, annotated: bool |
     return latest.orderBy(F.col("updated_at").desc(), F.col("run_id").desc()).offset(offset).limit(limit)
 
 
+MAX_PAGE = 100
+
+
+def page_with_total(df: DataFrame, offset: int, limit: int, *order: Column) -> DataFrame:
+    """A page of rows with ``total``, the number of all rows of df, in one pass: rows are counted on
+    their way to the top-k.  A page has at most ``MAX_PAGE`` rows; one beyond the end has none."""
+    if not 1 <= limit <= MAX_PAGE or offset < 0:
+        raise ValueError(f"a page has 1 to {MAX_PAGE} rows and starts at 0 or later")
+    seen = Observation()
+    page = df.observe(seen, F.count(F.lit(1)).alias("total")).orderBy(*order).offset(offset).limit(limit).collect()
+    total = seen.get["total"] if page else df.count()  # a plan that surely gives nothing is not run, and not counted
+    return df.sparkSession.createDataFrame(page, df.schema).withColumn("total", F.lit(total).cast("long"))
+
+
+def most_common(df: DataFrame, value: Column, seen: Column, limit: int | None = None) -> DataFrame:
+    """(value, n, first): counts from the largest on, ties by what was seen first."""
+    counts = df.groupBy(value.alias("value")).agg(F.count(F.lit(1)).alias("n"), F.min(seen).alias("first")).orderBy(F.col("n").desc(), "first")
+    return counts if limit is None else counts.limit(limit)
+
+
+def recent(df: DataFrame, ident: str, limit: int = 20, **equal: str | None) -> DataFrame:
+    """The rows of largest id; a filter that is empty lets all pass."""
+    for column, wanted in equal.items():
+        df = df.where(F.col(column) == wanted) if wanted else df
+    return df.orderBy(F.col(ident).desc()).limit(limit)
+
+
 def search(df: DataFrame, column: str, query: str, *order: Column, limit: int = 50) -> DataFrame:
     """Rows whose column contains the query, whatever the case of A to Z; % and _ stand for any
     characters, as in the source; an empty query finds none."""

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import functools
+import re
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +14,20 @@ from pyspark.sql import types as T
 RETENTION_DAYS = 120
 
 
+@functools.cache
+def _own_folder() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="ebbtide-")
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder that driver and executors share: below spark.checkpoint.dir, or, where that is
+    unset, below the warehouse; a temporary one only if all of Spark is in this process."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = _own_folder() if re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) else spark.conf.get("spark.sql.warehouse.dir")
+    return f"{base.rstrip('/')}/ebbtide-{uuid.uuid4().hex}"
+
+
 def scan(spark: SparkSession, path: str, pt: str | None = None, columns: list[str] | None = None, schema: T.StructType | None = None, merge: bool = False) -> DataFrame:
     """A Parquet table, one partition of it, some of its columns: pruned in the scan.
 
@@ -70,3 +89,17 @@ def write_keyed_lines(df: DataFrame, path: str, key: str) -> None:
 def expired_partitions(df: DataFrame, today: str, days: int = RETENTION_DAYS) -> DataFrame:
     """(pt) of the partitions older than the retention."""
     return df.select("pt").distinct().where(F.to_date("pt", "yyyyMMdd") < F.date_sub(F.to_date(F.lit(today), "yyyyMMdd"), days))
+
+
+def column_survey(spark: SparkSession, path: str, wanted: list[str], by: str = "pt") -> DataFrame:
+    """(pt, columns, lacks) of a table's partitions: which columns their files have, and which of the
+    wanted ones they lack.  One footer a partition is opened; partitions are at most the retention's days."""
+    days = [r[0] for r in spark.read.schema(f"{by} string").parquet(path).select(by).distinct().collect()]
+    found = [(day, spark.read.parquet(f"{path}/{by}={day}").columns) for day in sorted(days)]
+    return spark.createDataFrame([(day, columns, [c for c in wanted if c not in columns]) for day, columns in found], f"{by} string, columns array<string>, lacks array<string>")
+
+
+def with_defaults(df: DataFrame, defaults: dict[str, object]) -> DataFrame:
+    """Columns that are missing or null have their default, of the column's own type if it is there."""
+    make = lambda c, v: F.coalesce(F.col(c), F.lit(v).cast(df.schema[c].dataType)) if c in df.columns else F.lit(v)
+    return df.withColumns({c: make(c, v) for c, v in defaults.items()})
