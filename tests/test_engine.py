@@ -87,11 +87,28 @@ def test_entity_cascade(spark):
     assert left["runs"].first().run_id == left["steps"].first().run_id == "r2"
 
 
-def test_markdown():
-    raw = "# 标题\n这是 很长的一行文字没有结束而且\n继续下去直到句号。\n\n\n\n• item\n•\n|a|b||\n|-|-|-|\n|1|2||\n“引用”"
-    made = docs.normalised(raw)
-    assert "这是很长的一行文字没有结束而且继续下去直到句号。" in made and "- item" in made and "| a | b |\n| --- | --- |\n| 1 | 2 |" in made and '"引用"' in made and "\n\n\n" not in made
-    assert docs.normalised(made) == made and docs.fixed_characters("⼀") == "一"
+def test_markdown_grids():
+    def made(*rows):
+        grid = docs.Grid()
+        for row in rows:
+            grid.add(docs.cells_of(row))
+        return list(grid.lines())
+
+    assert made("|人群|动作|说明|", "|---|---|---|", "|A|B|C|") == ["|人群|动作|说明|", "|---|---|---|", "|A|B|C|"]
+    assert made("|动作|说明||", "|专区搭建|说明内容||", "|风险与应对|||") == ["|动作|说明|", "|---|---|", "|专区搭建|说明内容|", "|风险与应对|"]
+    assert made("|•<br>甲|•<br>甲|•<br>甲|", "|---|---|---|", "|•<br>乙|||") == ["|甲|", "|---|", "|乙|"]
+    assert made("|a long cell of a head|b|", "|x|y|") == ["|a long cell of a head|b|", "|x|y|"] and made("||||") == []
+    assert docs.cells_of("no row") is docs.cells_of("|") is None and docs.cells_of(" |a|b ") == ["a", "b"]
+
+
+def test_markdown_lines():
+    assert list(docs.items_within("- 阶段二:说明 ▪ 若已招满 ◦ 阶段三:处理 • x")) == ["- 阶段二:说明", "  - 若已招满", "- 阶段三:处理", "  - x"]
+    assert list(docs.items_within("| a ▪ b |")) == ["| a ▪ b |"]
+    assert docs.flowed("当前平台职位投诉中,电话打不通\n两类占比高达72%,核心原因\n时效性过时。\n\n## 下节") == "当前平台职位投诉中,电话打不通两类占比高达72%,核心原因时效性过时。\n\n## 下节"
+    assert docs.flowed("short\nlines") == "short\nlines" and docs.flowed("") == ""
+    assert docs.without_pictures("a\n" + docs.PICTURE_START + "words<br>\n" + docs.PICTURE_END + "\nb") == "a\nb"
+    assert docs.without_pictures("a\n" + docs.PICTURE_START + "never ends") == "a\n" + docs.PICTURE_START + "never ends"
+    assert docs.field_values("需求负责人 罗 需求提出方 李 预计上线时间 4月") is None and docs.with_fields(["需求负责人", "罗"]) == ["需求负责人", "罗"]
 
 
 def test_markdown_rules_of_the_extraction(spark):
@@ -110,9 +127,16 @@ def test_markdown_rules_of_the_extraction(spark):
         "|风险与应对|\n|风险||应对方案|\n|不足||扩大|": "|风险|应对方案|\n|---|---|\n|不足|扩大|",
         "|•<br>甲|•<br>甲|\n|---|---|\n|•<br>乙|| ": "|甲|\n|---|\n|乙|",
         "one line of Latin text\nand its end: \nnext": "one line of Latin textand its end:next",
+        "|触达|条件|\n|---|---|\n|Push|立刻|\n\n||||||\n|---|---|---|\n||短信|立刻|": "|触达|条件|\n|---|---|\n|Push|立刻|\n\n|短信|立刻|",
+        "预计 4月30日\ufffd19:00": "预计 4月30日19:00",
+        "标题\x01\n\n<!-- image -->\n\n正文": "标题\n正文",
+        "## 一 、目标(必填)": "## 一、目标(必填)",
+        "- ▪ 记录(如 明天下午开工 )": "- 记录(如明天下午开工)",
+        "": "",
     }
-    df = spark.createDataFrame([(k,) for k in cases], "text string")
-    assert {r.text for r in docs.normalised_markdown(df, "text").collect()} == {v + "\n" for v in cases.values()}
+    df = spark.createDataFrame([(k,) for k in [*cases, None]], "text string")
+    got = docs.normalised_markdown(df.withColumn("key", F.col("text")), "text").collect()
+    assert {r.key: r.text for r in got} == {k: v + "\n" for k, v in cases.items()} | {None: None}
 
 
 def test_all_delta_holds_every_complaint(spark, tmp_path):
