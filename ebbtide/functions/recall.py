@@ -6,6 +6,7 @@ Patterns are compiled into literal Java expressions when the plan is built.
 
 from __future__ import annotations
 
+import functools
 import json
 import re
 from collections.abc import Mapping, Sequence
@@ -64,22 +65,37 @@ def compiled(lexicon: Mapping) -> dict[str, list[str]]:
     return out
 
 
-def terms_found(text: Column, patterns: Sequence[str]) -> Column:
-    """Sorted distinct matches of any of the patterns."""
+def literal_terms(lexicon: Mapping) -> dict[str, list[str]]:
+    """The plain terms of each bucket."""
+    out: dict[str, list[str]] = {}
+    for section, terms in lexicon.get("term_buckets", {}).items():
+        out.setdefault(bucket_name(section), []).extend(terms)
+    return out
+
+
+def terms_found(text: Column, patterns: Sequence[str], literals: Sequence[str] = ()) -> Column:
+    """Sorted distinct matches of any of the patterns.
+
+    With ``literals``, the terms that the first pattern is made of, that pattern is tried only
+    where one of them occurs: finding bytes is many times cheaper than trying all terms at every place."""
     found = [F.regexp_extract_all(text, F.lit(p), F.lit(0)) for p in patterns]
+    if literals:
+        occurs = functools.reduce(lambda a, b: a | b, [text.contains(t) for t in literals])
+        found[0] = F.when(occurs, found[0]).otherwise(F.array().cast("array<string>"))
     return F.array_sort(F.array_distinct(F.flatten(F.array(*found))))
 
 
 def recall(sources: Mapping[str, Column], lexicon: Mapping = DEFAULT_LEXICON, complaint_bucket: str = "complaint") -> Column:
     """A struct: matches (source, bucket, terms), the numbers of temporal and complaint matches,
     and whether there is any temporal one."""
-    buckets = compiled(lexicon)
-    rows = []
-    for name, text in sources.items():
-        body = without_headers(F.coalesce(text, F.lit("")))
-        for bucket, patterns in buckets.items():
-            rows.append(F.struct(F.lit(name).alias("source"), F.lit(bucket).alias("bucket"), terms_found(body, patterns).alias("terms")))
-    matches = F.filter(F.array(*rows), lambda m: F.size(m["terms"]) > 0)
+    buckets, literals = compiled(lexicon), literal_terms(lexicon)
+    texts = F.array(*[F.struct(F.lit(name).alias("source"), without_headers(F.coalesce(text, F.lit(""))).alias("body")) for name, text in sources.items()])
+
+    def of_source(s: Column) -> Column:  # its body is made once for all buckets
+        rows = [F.struct(s["source"].alias("source"), F.lit(bucket).alias("bucket"), terms_found(s["body"], patterns, literals.get(bucket, ())).alias("terms")) for bucket, patterns in buckets.items()]
+        return F.filter(F.array(*rows), lambda m: F.size(m["terms"]) > 0)
+
+    matches = F.flatten(F.transform(texts, of_source))
 
     def counted(ms: Column) -> Column:
         complaints = F.size(F.filter(ms, lambda m: m["bucket"] == complaint_bucket))

@@ -11,9 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The words and character classes that the results depend on.
-FILLERS = (
-    "喂 嗯 啊 那个 那啥 这个 就是 的话 吧 呢 呀 哦 欸 哈 吗 了 嘛 你好 您好 对 诶 哎"
-).split()
+FILLERS = ("喂", "嗯", "啊", "那个", "那啥", "这个", "就是", "的话", "吧", "呢", "呀", "哦", "欸", "哈", "吗", "了", "嘛", "你好", "您好", "对", "诶", "哎")
 CN_DIGITS = "零一二三四五六七八九十百千万亿〇壹贰叁肆伍陆柒捌玖拾佰仟"
 PUNCTUATION = r"""!"#$%&'()*+,\-./:;<=>?@\[\\\]^_`{|}~，。、；：？！…—·《》【】（）〈〉〔〕｛｝～﹏﹑﹔﹖﹗﹐﹒﹕﹔"""
 LEADING = r",，.。;；:：!！?？、\-—…·"
@@ -66,29 +64,42 @@ def without_adjacent(lines: Column) -> Column:
     return F.filter(lines, lambda x, i: (i == 0) | (x != F.get(lines, i - 1)))
 
 
-def denoised_lines(lines: Column, fillers: Iterable[str] = FILLERS) -> Column:
+_BLANK = r"\s\x1c-\x1f&&[^\n]"
+_ENDS_OF_LINES = rf"(?Umd)^[{_BLANK}]+|[{_BLANK}]+$"
+
+
+def _without_noise(text: Column, fillers: Iterable[str]) -> Column:
+    """Lines of a text, in one pass a rule over the whole text; lines that are noise become empty."""
     words = "|".join(["呃+", *sorted(fillers, key=len, reverse=True)])
-    kept = F.filter(lines, lambda x: ~only_punctuation(x) & ~short_number(x))
+    digits = rf"[\p{{Nd}}{CN_DIGITS}]"
+    for pattern, made in (
+        (rf"(?md)^{digits}{{1,10}}$", ""),  # short numbers
+        (words, ""),
+        (rf"(?md)^({digits}+)$|(.{{1,4}})\2+", "$1$2"),  # repeats, but for lines of digits
+        (rf"(?Umd)^[{LEADING}{_BLANK}]+", ""),
+        (r"(?md)[。.]+$", ""),
+        (_ENDS_OF_LINES, ""),
+        (rf"(?Umd)^[{PUNCTUATION}{_BLANK}]+$", ""),
+        (r"(?md)^[^\p{L}\p{N}\n]{1,2}$", ""),
+    ):
+        text = F.regexp_replace(text, F.lit(pattern), F.lit(made))
+    kept = F.filter(F.split(text, "\n"), lambda x: x != "")
+    return F.element_at(F.transform(F.array(kept), without_adjacent), 1)
 
-    def clean(x: Column) -> Column:
-        x = folded_repeats(F.regexp_replace(x, words, ""))
-        x = F.regexp_replace(x, rf"(?U)^[\s{LEADING}]+", "")
-        return stripped(F.regexp_replace(x, r"[。.]+$", ""))
 
-    cleaned = F.filter(
-        F.transform(kept, clean),
-        lambda x: (x != "") & ~only_punctuation(x) & ~((F.char_length(x) <= 2) & ~x.rlike(r"[\p{L}\p{N}]")),
-    )
-    return F.element_at(F.transform(F.array(cleaned), without_adjacent), 1)
+def denoised_lines(lines: Column, fillers: Iterable[str] = FILLERS) -> Column:
+    return _without_noise(F.array_join(lines, "\n"), fillers)
 
 
 def denoised(text: Column, fillers: Iterable[str] = FILLERS) -> Column:
     """Fillers, repeats, lines of marks or few digits, and adjacent equal lines are gone."""
-    return F.array_join(denoised_lines(lines_of(F.coalesce(text, F.lit(""))), fillers), "\n")
+    lines = F.regexp_replace(F.regexp_replace(F.coalesce(text, F.lit("")), LINE_BREAK, "\n"), F.lit(_ENDS_OF_LINES), F.lit(""))
+    return F.array_join(_without_noise(lines, fillers), "\n")
 
 
 def without_headers(text: Column) -> Column:
-    return F.array_join(F.filter(F.split(text, "\n"), lambda x: ~stripped(x).rlike(ANY_HEADER)), "\n")
+    kept = F.array_join(F.filter(F.split(text, "\n"), lambda x: ~stripped(x).rlike(ANY_HEADER)), "\n")
+    return F.when(text.contains("【"), kept).otherwise(text)
 
 
 def chat_content(line: Column) -> Column:
@@ -107,19 +118,20 @@ def clean_chat_lines(text: Column, greetings: Iterable[str] = GREETINGS) -> Colu
 
 
 def turns_kept(lines: Column, most: int = MAX_TURNS) -> Column:
-    """Contents of chat lines; of more than ``most`` turns (runs of one sender) the second to the last allowed."""
-    said = F.transform(lines, lambda x: F.struct(chat_sender(x).alias("who"), chat_content(x).alias("what")))
-    shape = "struct<turn:int,who:string,out:array<struct<turn:int,what:string>>>"
-    zero = F.struct(F.lit(-1).alias("turn"), F.lit(None).cast("string").alias("who"), F.array().cast("array<struct<turn:int,what:string>>").alias("out")).cast(shape)
+    """Contents of chat lines; of more than ``most`` turns (runs of one sender) the second to the last
+    allowed.  Only the places where turns begin are looked for, so a long chat costs its length."""
 
-    def step(acc: Column, x: Column) -> Column:
-        turn = acc["turn"] + F.when(acc["who"].eqNullSafe(x["who"]), 0).otherwise(1)
-        return F.struct(turn.alias("turn"), x["who"].alias("who"), F.concat(acc["out"], F.array(F.struct(turn.alias("turn"), x["what"].alias("what")))).alias("out"))
+    def cut(senders: Column) -> Column:
+        begins = F.transform(senders, lambda x, i: F.when((i == 0) | ~x.eqNullSafe(F.get(senders, i - 1)), i))
+        return F.filter(begins, lambda i: i.isNotNull())
 
-    def pick(acc: Column) -> Column:
-        return F.transform(F.filter(acc["out"], lambda x: (acc["turn"] < most) | x["turn"].between(1, most - 1)), lambda x: x["what"])
+    def kept(given: Column) -> Column:
+        starts, said = given["starts"], F.transform(given["lines"], chat_content)
+        first, end = F.get(starts, F.lit(1)), F.get(starts, F.lit(most))
+        return F.when(F.size(starts) <= most, said).otherwise(F.slice(said, first + 1, end - first))
 
-    return F.aggregate(said, zero, step, pick)
+    starts = F.element_at(F.transform(F.array(F.transform(lines, chat_sender)), cut), 1)
+    return F.element_at(F.transform(F.array(F.struct(lines.alias("lines"), starts.alias("starts"))), kept), 1)
 
 
 def flat_chat(text: Column) -> Column:
