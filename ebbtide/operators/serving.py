@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ebbtide.operators.keyed import latest_with_ties
+from ebbtide.sources.templates import day
 
 MAX_RANGE_DAYS = 30
 
@@ -93,15 +94,15 @@ def run_details(runs: DataFrame, steps: DataFrame, annotations: DataFrame) -> Da
 
 def days_between(spark, start: str, end: str, most: int = MAX_RANGE_DAYS) -> DataFrame:  # noqa: ANN001
     """(pt) of the days from start to end, yyyyMMdd; a range of more than ``most`` days is an error."""
-    days = spark.sql(
+    first, last = day(start), day(end)
+    if first > last:
+        raise ValueError("the range ends before it starts")
+    if (last - first).days >= most:
+        raise ValueError(f"the range has more than {most} days")
+    return spark.sql(
         "SELECT date_format(d, 'yyyyMMdd') AS pt FROM (SELECT explode(sequence(to_date(:a, 'yyyyMMdd'), to_date(:b, 'yyyyMMdd'), interval 1 day)) AS d)",
         args={"a": start, "b": end},
     )
-    if start > end:
-        raise ValueError("the range ends before it starts")
-    if days.count() > most:
-        raise ValueError(f"the range has more than {most} days")
-    return days
 
 
 def daily_summary(runs: DataFrame, summaries: DataFrame | None = None) -> DataFrame:

@@ -190,6 +190,14 @@ def test_pages_and_medians(spark):
     assert stats["b"] == (1.0, 4.0, 4, 2.5, 3.0) and stats["c"] == (None, None, 0, None, None)
 
 
+def test_ranges_of_days(spark):
+    assert [r.pt for r in serving.days_between(spark, "20240228", "20240301").collect()] == ["20240228", "20240229", "20240301"]
+    assert serving.days_between(spark, "20240101", "20240130").count() == 30
+    for start, end, why in (("20240102", "20240101", "ends before"), ("20240101", "20240131", "more than 30"), ("2024011", "20240101", "no day"), ("20240230", "20240301", "day")):
+        with pytest.raises(ValueError, match=why):
+            serving.days_between(spark, start, end)
+
+
 def test_survey_and_defaults(spark, tmp_path):
     files.write_partition(spark.createDataFrame([(1, "1")], "a int, pt string"), str(tmp_path / "t"))
     files.write_partition(spark.createDataFrame([(2, "x", "2")], "a int, b string, pt string"), str(tmp_path / "t"))
