@@ -8,7 +8,7 @@ sample of documents for the fractional one.  Everything is DataFrame operations.
 
 The fractional sample is the set of documents whose hash lies below a cut.  The cut is found
 digit by digit (base 16) from sums by (source, digit), so no task ever orders a whole source:
-only the last leaf, of some dozens of distinct documents, is gathered.  It is filled from its
+only the last leaf, of some dozens to some hundreds of distinct documents, is gathered.  It is filled from its
 largest documents down, then rounded, which keeps a source's taken words within half the
 leaf's smallest untaken document of its target.  Rows that are equal in every column are one
 document with a count, so any number of them is a row of the plan and no hot spot; sources
@@ -99,7 +99,7 @@ def planned(docs: DataFrame, key: str = "doc_id", seed: int = SEED, **how: objec
     sources = written(
         sources.withColumn("whole", F.floor(epochs).cast("long"))
         .withColumn("rest", F.greatest(F.col("target") - F.col("whole") * F.col("source_size"), F.lit(0.0)))
-        .withColumn("depth", F.greatest(F.lit(0), F.ceil(F.log(16.0, F.greatest(F.col("n_docs"), F.lit(1)) / F.lit(float(LEAF))))).cast("int"))
+        .withColumn("depth", F.greatest(F.lit(0), F.floor(F.log(16.0, F.greatest(F.col("n_docs"), F.lit(1)) / F.lit(float(LEAF))))).cast("int"))
         .withColumn("depth", F.least(F.col("depth"), F.lit(DIGITS)))
     )
     depth = sources.agg(F.max("depth")).first()[0] or 0
