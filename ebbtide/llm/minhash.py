@@ -51,7 +51,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ebbtide.llm.common import if_small, table, text_of, with_small_batches, written
+from ebbtide.llm.common import fresh, if_small, table, text_of, with_small_batches, written
 
 WORDS = 5
 PERMUTATIONS = 64
@@ -423,8 +423,9 @@ def clustered(docs: DataFrame, key: str = "doc_id", column: str = "text") -> Dat
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
     """The rows of docs that are the first of their component, columns unchanged."""
-    gone = written(clustered(docs, key, column).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct())
-    return docs.join(if_small(gone, SMALL_IDS), F.col(key) == F.col("_gone"), "left_anti")
+    own = fresh(docs, "_gone")
+    gone = written(clustered(docs, key, column).where(~F.col("kept")).select(F.col("doc_id").alias(own)).distinct())
+    return docs.join(if_small(gone, SMALL_IDS), F.col(key) == F.col(own), "left_anti")
 
 
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
