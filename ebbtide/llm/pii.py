@@ -2,7 +2,8 @@
 
 Detection is one alternation of patterns per text: e-mail and IPv4 addresses, IBANs, social
 security, telephone and card numbers, and persons' names (a given name of the lexicon, alone
-or before a capitalised word, or titles before one or two capitalised words).  An entity is a
+or before a capitalised word, or titles before one or two capitalised words, or before one word
+of a script without capitals; of Han, written without spaces, two to four characters).  An entity is a
 type and a normal form: lower case for e-mail, digits for numbers (the last ten of a telephone
 number, so that its country code makes no other number).  A name is its words: each given name
 and each surname is an entity of its own, so "Peter Brown" and "Mr Brown" keep their surname
@@ -10,8 +11,10 @@ in common.
 
 Surrogates are drawn from a keyed digest of type, normal form and attempt: digits become
 digits (a valid card number stays valid, an octet an octet, a country code stays), letters
-letters of the same script, case and kind (vowel or consonant).  Given names are permuted by the
-key among those of their gender and script.  Of all other types distinct entities get distinct
+letters of the same script, case and kind (vowel or consonant; in scripts but Latin, Greek and
+Cyrillic letters and marks of the same Unicode block).  No letter stays because its script is
+unknown: those of other blocks become Latin ones.  Given names are permuted among those of
+their gender and script, each to the next one of a circle whose order the key gives.  Of all other types distinct entities get distinct
 surrogates, none of which is an entity of the corpus: in rounds, all but the first of those
 that collide move to their next attempt, words growing longer now and then.  Numbers that
 still collide after ``ROUNDS`` are of a type and length whose values are nearly used up; all
@@ -29,6 +32,7 @@ empty; other columns pass through, whatever their names, but for ``n_entities``
 from __future__ import annotations
 
 import hashlib
+import unicodedata
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -42,8 +46,8 @@ GROWS = 4
 
 #: Given names by (script, gender); the lexicon finds names and supplies their surrogates.
 GIVEN = {
-    ("latin", "f"): "Anna Maria Sofia Laura Julia Clara Elena Marie Emma Lucia Sarah Alice Helen Ingrid Carmen Monika",
-    ("latin", "m"): "Thomas Peter Michael David Daniel Paul Martin Lucas Robert Hans Pierre Carlos Miguel Stefan Henri Oliver",
+    ("latin", "f"): "Anna Maria Sofia Laura Julia Clara Elena Marie Emma Lucia Sarah Alice Helen Ingrid Carmen Monika Jane Emily Hannah Susan Katharina Birgit Giulia Chiara Isabel Pilar Camille Amélie Margaret Elizabeth Rebecca Ursula",
+    ("latin", "m"): "Thomas Peter Michael David Daniel Paul Martin Lucas Robert Hans Pierre Carlos Miguel Stefan Henri Oliver John James William George Andrew Matthew Joseph Anthony Kevin Jürgen Wolfgang Marco Antonio José Javier Philippe",
     ("cyrillic", "f"): "Анна Мария Елена Ольга Наталья Ирина Татьяна Светлана",
     ("cyrillic", "m"): "Иван Пётр Сергей Алексей Дмитрий Андрей Николай Михаил",
     ("greek", "f"): "Μαρία Ελένη Κατερίνα Σοφία",
@@ -60,7 +64,10 @@ SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 CARD = r"(?<![\d.+-])\d(?:[ -]?\d){12,18}(?![\d-])"
 PHONE = r"(?<![\d.])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\d)|(?<![\d.])\+\d{1,3}(?:[ .-]?\d{2,4}){2,5}(?!\d)|(?<![\d.-])(?:\d{3}[ .-])?\d{3}-\d{4}(?![\d-])"
 _LAST = rf"(?: (?!(?:{TITLES})\b){_CAP})?"
-PERSON = rf"(?<!\p{{L}})(?:(?:(?:{TITLES})\.? ){{1,2}}{_CAP}{_LAST}|(?:{_NAMES}){_LAST})(?!\p{{L}})"
+_TITLED = rf"(?:(?:{TITLES})\.? ){{1,2}}"
+#: A word of a script that has neither capitals nor words run together; or of Han.
+_CASELESS = r"(?:[\p{Lo}\p{IsGeorgian}&&[^\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]][\p{Lo}\p{IsGeorgian}\p{M}]+|\p{IsHan}{2,4}(?!\p{L})|\p{IsHan}{2,3})"
+PERSON = rf"(?<!\p{{L}})(?:(?:{_TITLED}{_CAP}{_LAST}|(?:{_NAMES}){_LAST})(?!\p{{L}})|{_TITLED}{_CASELESS})"
 TYPES = {"email": EMAIL, "ipv4": IPV4, "iban": IBAN, "ssn": SSN, "card": CARD, "phone": PHONE, "person": PERSON}
 # Looking ahead at one character first keeps the search from trying every pattern everywhere.
 PATTERN = rf"{EMAIL}|(?=[\d+(])(?:{IPV4}|{SSN}|{CARD}|{PHONE})|(?=\p{{Lu}})(?:{IBAN}|{PERSON})"
@@ -103,24 +110,48 @@ def _byte(stream: Column, i: Column | int) -> Column:
     return F.conv(F.substring(stream, at, F.lit(2)), 16, 10).cast("int")
 
 
-#: Letters by script, case and kind; the last three of each script also stand for its letters with marks.
+#: Letters by script and kind, and the ranges whose other letters (with marks) become vowels.
 _ALPHABETS = (
-    ("bcdfghjklmnpqrstvwxz", "aeiouy", "à", "ÿ"),
-    ("бвгджзйклмнпрстфхцчшщьъ", "аеиоуыэюя", "ѐ", "џ"),
-    ("βγδζθκλμνξπρστφχψ", "αεηιουω", "ά", "ώ"),
+    ("bcdfghjklmnpqrstvwxz", "aeiouy", ("Àɏ", "Ḁỿ")),
+    ("бвгджзйклмнпрстфхцчшщьъ", "аеиоуыэюя", ("Ѐԯ",)),
+    ("βγδζθκλμνξπρστφχψ", "αεηιουω", ("Ͱ\u03ff", "ἀ\u1fff")),
 )
+#: First and last code points of other scripts, whose letters are drawn from their own block.
+_BLOCKS = (
+    (0x530, 0x58F), (0x590, 0x5FF), (0x600, 0x6FF), (0x700, 0x74F),  # Armenian, Hebrew, Arabic, Syriac
+    *((at, at + 0x7F) for at in range(0x900, 0xF00, 0x80)),  # Devanagari to Lao, a script each
+    (0xF00, 0xFFF), (0x1000, 0x109F), (0x10A0, 0x10FF), (0x1100, 0x11FF), (0x1200, 0x137F),  # Tibetan, Myanmar, Georgian, Jamo, Ethiopic
+    (0x1780, 0x17FF), (0x1800, 0x18AF), (0x3041, 0x309F), (0x30A0, 0x30FF), (0x3400, 0x9FFF), (0xAC00, 0xD7A3),  # Khmer, Mongolian, Kana, Han, Hangul
+)
+#: So many letters of a block are drawn from, spread over it.
+_DRAWN = 200
+
+
+def _letters_of(first: int, last: int, category: str) -> str:
+    """The block's letters of a Unicode category, thinned evenly to at most _DRAWN."""
+    found = [chr(c) for c in range(first, last + 1) if unicodedata.category(chr(c)).startswith(category)]
+    return "".join(found[:: -(-len(found) // _DRAWN) or 1])
 
 
 def _alike(char: Column, n: Column) -> Column:
     """A character of the same class as char, chosen by n."""
     draw = lambda letters: F.substring(F.lit(letters), F.pmod(n, F.lit(len(letters))) + 1, F.lit(1))
     out = F.when(char.between("0", "9"), draw("0123456789"))
-    for consonants, vowels, first, last in _ALPHABETS:
-        marked = (char >= first) & (char <= last) & ~F.lit(consonants + vowels).contains(char)
+    for consonants, vowels, ranges in _ALPHABETS:
         for change in (str.lower, str.upper):
             out = out.when(F.lit(change(consonants)).contains(char), draw(change(consonants)))
             out = out.when(F.lit(change(vowels)).contains(char), draw(change(vowels)))
-        out = out.when(marked, draw(vowels))
+        for first, last in ranges:
+            marked = char.between(first, last) & char.rlike(r"^\p{L}$")
+            out = out.when(marked, F.when(char != F.lower(char), draw(vowels.upper())).otherwise(draw(vowels)))
+    for first, last in _BLOCKS:
+        drawn = [(c, _letters_of(first, last, c)) for c in ("Lu", "Ll", "Lo", "M")]
+        kinds = F.lit(None).cast("string")
+        for category, letters in reversed([d for d in drawn if d[1]]):
+            kinds = F.when(char.rlike(rf"^\p{{{category}}}$"), draw(letters)).otherwise(kinds)
+        out = out.when(char.between(chr(first), chr(last)), F.coalesce(kinds, char))
+    latin = "".join(_ALPHABETS[0][:2])
+    out = out.when(char.rlike(r"^\p{Lu}$"), draw(latin.upper())).when(char.rlike(r"^\p{L}$"), draw(latin))
     return out.otherwise(char)
 
 
@@ -157,12 +188,13 @@ def _email(norm: Column, stream: Column, attempt: Column) -> Column:
 
 
 def _given(key: str, norm: Column) -> Column:
-    """Another given name of the same gender and script: the list turned by a step that the key gives."""
+    """Another given name of the same gender and script: the next of a circle in an order by the
+    key, which may be any circle through the list, so one name's surrogate tells of no other's."""
     out = norm
     for kind, names in GIVEN.items():
         own = [n.lower() for n in names.split()]
-        step = 1 + int(hashlib.sha256(f"{key}\1{kind}".encode()).hexdigest(), 16) % (len(own) - 1)
-        turned = F.element_at(F.array(*[F.lit(n) for n in own[step:] + own[:step]]), F.greatest(F.array_position(F.array(*[F.lit(n) for n in own]), norm), F.lit(1)).cast("int"))
+        own.sort(key=lambda n, kind=kind: hashlib.sha256(f"{key}\1{kind}\1{n}".encode()).digest())
+        turned = F.element_at(F.array(*[F.lit(n) for n in own[1:] + own[:1]]), F.greatest(F.array_position(F.array(*[F.lit(n) for n in own]), norm), F.lit(1)).cast("int"))
         out = F.when(norm.isin(own), turned).otherwise(out)
     return out
 

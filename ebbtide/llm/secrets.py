@@ -1,11 +1,14 @@
 """Secret scans: fixed patterns, and character Markov models told apart by likelihood.
 
 Two first-order Markov models over an alphabet of 66 symbols are counted from labelled
-samples: random strings (keys, digests, tokens) and ordinary identifiers.  A run of 20 or
-more such symbols is a secret if the log-likelihood ratio of the two models, per pair of
-characters, is above a limit.  The limit is set on samples that the models have not seen: at
+samples: random strings (keys, digests, tokens) and ordinary runs (identifiers, paths, long
+words, rulers, sequences).  A pair of symbols that a run (in stretches of 64 pairs) had before
+tells nothing new: each model has one probability of such a repeat, and a table of the pairs
+that are no repeats, unseen ones priced by how often their second symbol occurs.  So a ruler,
+whatever its symbol, is no secret.  A run of 20 or more such symbols is a secret if the
+log-likelihood ratio of the two models, per pair of characters, is above a limit.  The limit is set on samples that the models have not seen: at
 most one in a thousand of their ordinary ones exceeds it, and where the random ones lie
-further up it is the middle between the two.  The model is a table of 66 x 66 numbers,
+further up it is the middle between the two.  The model is a table of 66 x 66 + 2 numbers,
 whatever the samples' size; scans are DataFrame expressions on each text alone, without any
 shuffle.
 
@@ -46,6 +49,10 @@ ASIDE = 4
 #: Spans of a text are found in blocks of so many.
 BLOCK = 256
 SCALE = 1000
+#: Repeated pairs are told within so many pairs.
+STRETCH = 64
+#: An unseen pair weighs as much as so many seen ones, dealt by its second symbol's share.
+BACK_OFF = 20.0
 
 #: Words that ordinary identifiers are made of, in the default samples.
 ORDINARY = (
@@ -70,8 +77,22 @@ ORDINARY = (
 ).split()
 
 
+#: Long words of four languages, in the default samples.
+LONG_WORDS = (
+    "internationalization telecommunications misunderstanding responsibilities uncharacteristically disproportionately "
+    "counterproductive straightforwardness neighbourhood throughout knowledgeable acknowledgement "
+    "Geschwindigkeitsbegrenzung Bundesverfassungsgericht Rechtsschutzversicherung Aufmerksamkeitsdefizit Wirtschaftswissenschaften "
+    "Krankenversicherungskarte Freundschaftsbeziehungen Arbeitsunfaehigkeitsbescheinigung Haushaltswaren Jahreszeiten "
+    "anticonstitutionnellement gouvernementalisation professionnellement reconnaissances bouleversement developpement "
+    "quotidiennement malheureusement environnementales electromagnetique "
+    "desafortunadamente responsabilidades electrodomesticos otorrinolaringologo ayuntamientos agradecimiento "
+    "extraordinariamente constitucionalidad independientemente correspondencia"
+).split()
+
+
 def default_samples(spark: SparkSession, n: int = SAMPLES, seed: str = SEED) -> DataFrame:
-    """(text, label): n random strings in six alphabets (1) and n ordinary identifiers (0)."""
+    """(text, label): n random strings in six alphabets (1) and n ordinary runs (0): identifiers,
+    paths, long words, rulers and short patterns said again, and parts of the alphabet."""
     words = F.split(F.lit(" ".join(w for w in ORDINARY if w.isascii())), " ")
     number = lambda salt, of: F.pmod(F.xxhash64(F.lit(seed), F.lit(salt), F.col("id")), F.lit(of)).cast("int")
     digest = F.sha2(F.concat_ws(":", F.lit(seed), F.col("id")), 512)
@@ -83,6 +104,11 @@ def default_samples(spark: SparkSession, n: int = SAMPLES, seed: str = SEED) ->
     random = F.substring(random, F.lit(1), 20 + number("length", 44))
     word = lambda salt: F.element_at(words, 1 + number(salt, sum(w.isascii() for w in ORDINARY)))
     several = F.slice(F.array(*[word(f"w{i}") for i in range(6)]), F.lit(1), 3 + number("words", 4))
+    long_words = F.array(*[F.lit(w) for w in LONG_WORDS])
+    long_word = lambda salt: F.element_at(long_words, 1 + number(salt, len(LONG_WORDS)))
+    length = 20 + number("run", 60)
+    symbols = F.concat(*[F.substring(F.lit(SYMBOLS), 1 + number(f"s{i}", N), F.lit(1)) for i in range(4)])
+    year = (1950 + number("year", 100)).cast("string")
     forms = (
         F.array_join(several, "_"),
         F.array_join(several, "-"),
@@ -91,6 +117,13 @@ def default_samples(spark: SparkSession, n: int = SAMPLES, seed: str = SEED) ->
         F.array_join(several, "/"),
         F.array_join(several, ""),
         F.concat(F.array_join(several, "_"), F.lit("_"), number("n", 2100).cast("string")),
+        F.concat_ws("/", word("w0"), year, F.lpad((1 + number("month", 12)).cast("string"), 2, "0"), word("w1"), F.array_join(F.slice(several, F.lit(1), F.lit(3)), "-")),
+        F.concat(F.lit("/"), F.array_join(several, "/"), (number("n", 30)).cast("string"), F.lit("/"), F.initcap(word("w0"))),
+        F.concat(long_word("l0"), F.lit("-"), F.lower(long_word("l1"))),
+        F.concat(F.lower(long_word("l0")), F.lower(long_word("l1"))),
+        # a symbol, or a pattern of two to four, said again
+        F.substring(F.repeat(F.substring(symbols, F.lit(1), 1 + number("period", 4)), 80), F.lit(1), length),
+        F.substring(F.repeat(F.lit(SYMBOLS), 3), 1 + number("s0", N), length),
     )
     ordinary = F.element_at(F.array(*forms), 1 + number("form", len(forms)))
     ids = spark.range(0, n, 1, 1)
@@ -105,29 +138,47 @@ def _pairs(run: Column) -> Column:
     return F.element_at(F.transform(F.array(symbols), pairs), 1)
 
 
+def _new_pairs(pairs: Column) -> Column:
+    """The pairs of each stretch that the stretch had not before."""
+    starts = F.sequence(F.lit(0), F.floor((F.greatest(F.size(pairs), F.lit(1)) - 1) / STRETCH).cast("int"))
+    return F.flatten(F.transform(starts, lambda i: F.array_distinct(F.slice(pairs, i * STRETCH + 1, F.lit(STRETCH)))))
+
+
 def fit(samples: DataFrame) -> list[int]:
-    """The log-likelihood ratios of all pairs of symbols, in thousandths.
+    """The log-likelihood ratios, in thousandths: of all pairs of symbols, of a repeated pair,
+    and of a pair that is none.
 
-    Pairs are counted by Spark; what reaches the driver has at most 2 x 66 x 66 rows."""
+    Pairs are counted by Spark; what reaches the driver has at most 2 x 66 x 66 + 2 rows."""
     runs = samples.select("label", F.explode(F.regexp_extract_all(text_of(), F.lit(r"[A-Za-z0-9+/_-]{2,}"), F.lit(0))).alias("run"))
-    pairs = runs.select("label", F.explode(_pairs(F.col("run"))).alias("pair"))
+    runs = runs.select("label", (F.char_length("run") - 1).alias("pairs"), _new_pairs(_pairs(F.col("run"))).alias("new"))
+    pairs = runs.select("label", F.explode("new").alias("pair"))
     counts = {(r["label"], r["pair"]): r["n"] for r in pairs.groupBy("label", "pair").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sums = runs.groupBy("label").agg(F.sum("pairs").alias("pairs"), F.sum(F.size("new")).alias("new")).collect()
+    totals = {r["label"]: (r["pairs"] - r["new"], r["new"]) for r in sums}
 
     def model(label: int) -> list[float]:
-        out: list[float] = []
-        for a in range(N):
-            row = [counts.get((label, a * N + b), 0) + 0.5 for b in range(N)]
-            out += [math.log(x / sum(row)) for x in row]
-        return out
+        seen = [[counts.get((label, a * N + b), 0) for b in range(N)] for a in range(N)]
+        second = [sum(row[b] for row in seen) + 0.5 for b in range(N)]
+        share = [n / sum(second) for n in second]
+        out = [math.log((n + BACK_OFF * p) / (sum(row) + BACK_OFF)) for row in seen for n, p in zip(row, share, strict=True)]
+        repeated, new = totals.get(label, (0, 0))
+        return out + [math.log((n + 0.5) / (repeated + new + 1)) for n in (repeated, new)]
 
     return [round(SCALE * (x - y)) for x, y in zip(model(1), model(0), strict=True)]
 
 
 def ratio(run: Column, model: list[int]) -> Column:
     """Mean log-likelihood ratio of a run's pairs, in thousandths."""
-    numbers = F.split(F.lit(",".join(map(str, model))), ",").cast("array<int>")  # folded to a constant
-    total = F.aggregate(_pairs(run), F.lit(0).cast("long"), lambda acc, p: acc + F.element_at(numbers, p + 1))
-    return total / (F.char_length(run) - 1)
+    numbers = F.split(F.lit(",".join(map(str, model[: N * N]))), ",").cast("array<int>")  # folded to a constant
+    repeated, new = model[N * N :]
+    pairs = F.char_length(run) - 1
+
+    def of_new(found: Column) -> Column:
+        told = F.aggregate(found, F.lit(0).cast("long"), lambda acc, p: acc + F.element_at(numbers, p + 1))
+        return told + F.size(found) * new + (pairs - F.size(found)) * repeated
+
+    bound = F.transform(F.array(_pairs(run)), _new_pairs)  # transform over one element binds it once
+    return F.element_at(F.transform(bound, of_new), 1) / pairs
 
 
 def threshold(samples: DataFrame, model: list[int], false_rate: float = FALSE_RATE) -> float:

@@ -118,7 +118,12 @@ def brute_markov(text, model, limit):
     found = []
     for m in re.finditer(secrets.CANDIDATE, text):
         at = [secrets.SYMBOLS.index(c) for c in m[0]]
-        if sum(model[a * secrets.N + b] for a, b in zip(at, at[1:], strict=False)) / (len(at) - 1) > limit:
+        total, seen = 0, set()
+        for i, (a, b) in enumerate(zip(at, at[1:], strict=False)):
+            seen = set() if i % secrets.STRETCH == 0 else seen
+            total += model[-2] if (a, b) in seen else model[-1] + model[a * secrets.N + b]
+            seen.add((a, b))
+        if total / (len(at) - 1) > limit:
             found.append((m.start(), 3, m.end()))
     return found
 
@@ -129,7 +134,7 @@ def test_markov_spans_equal_brute_force(spark):
     alphabet = list("ABCDEFGHJKMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789")
     planted = ["".join(rng.choice(alphabet, 28)) for _ in range(40)]
     texts = [f"the deploy key is {p}, administration_of_the_gesellschaft é and internationalisation_of_everything {SECRET}" for p in planted]
-    texts += [" ".join(planted * 20), "a" * 100_000, None, ""]
+    texts += [" ".join(planted * 20), "a" * 100_000, "".join(rng.choice(alphabet, 20_000)), None, ""]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     rows = secrets.with_spans(df, model, limit, spans="all").orderBy("doc_id").collect()
     caught = 0
@@ -143,6 +148,37 @@ def test_markov_spans_equal_brute_force(spark):
     assert without == float("inf") and not [s for s in secrets.with_spans(df.limit(1), empty, without).first().spans if s["kind"] == 3]
 
 
+ORDINARY_RUNS = [
+    *(c * n for c in "-_/+aZ0" for n in (20, 25, 40, 120)),
+    "| " + "-" * 24 + " | " + "-" * 60 + " |",
+    "-+" * 20, "01" * 16, "abc" * 9, "xX_" * 12, "/-" * 15, "AB12" * 8,
+    "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "12345678901234567890123456",
+    "usr/local/lib/python3/site-packages/requests", "home/user/documents/letters/2019/summer-holiday",
+    "Donaudampfschifffahrtsgesellschaft", "hexakosioihexekontahexaphobia", "descubrimientosarqueologicos", "environnementalement",
+    "how-to-grow-tomatoes-in-a-small-garden", "getUserAccountSettingsByName", "MAX_RETRY_COUNT_PER_REQUEST",
+]
+
+
+def test_rulers_stay_and_secrets_of_no_fixed_kind_are_found(spark):
+    model, limit = secrets.trained(spark)
+    rng = np.random.default_rng(21)
+    kinds = {
+        "mixed": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", 36),
+        "base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 40),
+        "upper hex": ("0123456789ABCDEF", 40),
+        "upper": ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 32),
+    }
+    planted = [(k, "".join(rng.choice(list(letters), n))) for k, (letters, n) in kinds.items() for _ in range(25)]
+    texts = [*ORDINARY_RUNS, *(f"the key {p} here" for _, p in planted)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = secrets.with_spans(df, model, limit).orderBy("doc_id").collect()
+    # runs of 32 and more of 0-9a-f are spans of a fixed pattern, whatever they hold
+    taken = [t for r, t in zip(rows, ORDINARY_RUNS, strict=False) if any(s["kind"] == 3 for s in r.spans)]
+    assert not taken
+    missed = [p for r, p in zip(rows[len(ORDINARY_RUNS) :], planted, strict=True) if not any(s["kind"] == 3 for s in r.spans)]
+    assert len(missed) <= 2 and not any(r.base for r in rows[len(ORDINARY_RUNS) :])
+
+
 def test_surrogates(spark):
     text = "Mail Bob.1@mail.example.com or bob.1@MAIL.example.com, call +1 (415) 555-7123 or 1 415 555 7123, card 4111111111111111, IP 10.20.30.40. Anna Schmidt met Анна Иванова."
     df = spark.createDataFrame([(1, text, 5), (2, "nothing here", 6), (3, None, 7), (None, "x@y.org", 8), (2, "x@y.org again 10.20.30.40", 9)], "doc_id long, text string, extra int")
@@ -186,6 +222,33 @@ def test_names_keep_coreference(spark):
     assert rows[2].text == f"Mr {brown} " * 3000 and rows[2].n_entities == 3000
 
 
+NAMES = "Ղազարյան Łukasiewicz Žižek Çelik Schröder Петренко Παπαδόπουλος გელაშვილი שרון محمود शर्मा 김철수 王小明 Ნინო Ꮳꮃꭹ".split()
+
+
+def test_no_script_keeps_its_letters(spark):
+    df = spark.createDataFrame([(i, f"then Mr {n}, with Mr {n} there") for i, n in enumerate(NAMES)], "doc_id long, text string")
+    rows = pii.with_surrogates(df, "k").orderBy("doc_id").collect()
+    for r, name in zip(rows, NAMES, strict=True):
+        m = re.fullmatch(r"then Mr (.+), with Mr (.+) there", r.text)
+        assert r.n_entities == 2 and m[1] == m[2] and len(m[1]) >= len(name)
+        same = sum(a == b for a, b in zip(m[1].lower(), name.lower(), strict=False))
+        assert same <= len(name) // 2 and not m[1].startswith(name[:3]), (name, m[1])
+    by = dict(zip(NAMES, (re.match(r"then Mr (.+?),", r.text)[1] for r in rows), strict=True))
+    for name, letters in {"Ղազարյան": "\u0530-\u058f", "გელაშვილი": "\u10a0-\u10ff", "שרון": "\u0590-\u05ff", "محمود": "\u0600-\u06ff", "शर्मा": "\u0900-\u097f", "김철수": "\uac00-\ud7a3", "王小明": "\u3400-\u9fff", "Петренко": "\u0400-\u052f", "Παπαδόπουλος": "\u0370-\u03ff"}.items():
+        assert re.fullmatch(f"[{letters}]+", by[name]), (name, by[name])
+    clean = spark.createDataFrame([(1, "დღეს 王小明 met the doctor, Dr, and then went home")], "doc_id long, text string")
+    assert pii.with_surrogates(clean, "k").first().n_entities == 0
+
+
+def test_given_names_follow_no_step(spark):
+    own = [n.lower() for n in pii.GIVEN["greek", "m"].split()]
+    df = spark.createDataFrame([(n,) for n in own], "norm string")
+    made = df.select("norm", *[pii._given(str(k), F.col("norm")).alias(f"k{k}") for k in range(60)]).collect()
+    maps = {tuple(r[f"k{k}"] for r in made) for k in range(60)}
+    assert len(maps) == 6  # all circles through four names
+    assert all(sorted(m) == sorted(own) and not any(a == b for a, b in zip(m, own, strict=True)) for m in maps)
+
+
 def test_used_up_numbers_are_permuted(spark):
     entities = spark.range(1000).select(F.lit("ssn").alias("kind"), F.lpad(F.col("id").cast("string"), 3, "0").alias("norm"))
     entities = entities.unionByName(spark.createDataFrame([("surname", a + b) for a in "bcd" for b in "aeiou"], "kind string, norm string"))
