@@ -133,6 +133,12 @@ def _letters_of(first: int, last: int, category: str) -> str:
     return "".join(found[:: -(-len(found) // _DRAWN) or 1])
 
 
+#: For each block and category: the category's last letter, the block's ends, the letters drawn from.
+_DRAWS = " ".join(
+    c[-1].lower() + chr(first) + chr(last) + _letters_of(first, last, c) for first, last in _BLOCKS for c in ("Lu", "Ll", "Lo", "M") if _letters_of(first, last, c)
+)
+
+
 def _alike(char: Column, n: Column) -> Column:
     """A character of the same class as char, chosen by n."""
     draw = lambda letters: F.substring(F.lit(letters), F.pmod(n, F.lit(len(letters))) + 1, F.lit(1))
@@ -144,15 +150,13 @@ def _alike(char: Column, n: Column) -> Column:
         for first, last in ranges:
             marked = char.between(first, last) & char.rlike(r"^\p{L}$")
             out = out.when(marked, F.when(char != F.lower(char), draw(vowels.upper())).otherwise(draw(vowels)))
-    for first, last in _BLOCKS:
-        drawn = [(c, _letters_of(first, last, c)) for c in ("Lu", "Ll", "Lo", "M")]
-        kinds = F.lit(None).cast("string")
-        for category, letters in reversed([d for d in drawn if d[1]]):
-            kinds = F.when(char.rlike(rf"^\p{{{category}}}$"), draw(letters)).otherwise(kinds)
-        out = out.when(char.between(chr(first), chr(last)), F.coalesce(kinds, char))
+    at = lambda b, i: F.substring(b, F.lit(i), F.lit(1))
+    category = F.when(char.rlike(r"^\p{Lu}$"), "u").when(char.rlike(r"^\p{Ll}$"), "l").when(char.rlike(r"^\p{Lo}$"), "o").otherwise("m")
+    own = F.filter(F.split(F.lit(_DRAWS), " "), lambda b: char.between(at(b, 2), at(b, 3)) & (at(b, 1) == category))
+    drawn = F.get(F.transform(own, lambda b: F.substring(b, F.pmod(n, F.char_length(b) - 3) + 4, F.lit(1))), F.lit(0))
     latin = "".join(_ALPHABETS[0][:2])
-    out = out.when(char.rlike(r"^\p{Lu}$"), draw(latin.upper())).when(char.rlike(r"^\p{L}$"), draw(latin))
-    return out.otherwise(char)
+    other = F.when(category == "u", draw(latin.upper())).when(char.rlike(r"^\p{L}$"), draw(latin)).otherwise(char)
+    return out.when(char.rlike(r"^[\p{L}\p{M}]$"), F.coalesce(drawn, other)).otherwise(char)
 
 
 def _letters_alike(text: Column, stream: Column) -> Column:
@@ -234,7 +238,7 @@ def formatted(kind: Column, raw: Column, made: Column) -> Column:
         )
 
     numeric = F.aggregate(chars, zero, step, lambda acc: acc["out"])
-    cased = F.when((raw == F.upper(raw)) & (raw != F.lower(raw)), F.upper(made)).when(kind.isin("given", "surname"), F.initcap(made)).otherwise(made)
+    cased = F.when((raw == F.upper(raw)) & (raw != F.lower(raw)), F.upper(made)).when(kind.isin("given", "surname") & (raw != F.lower(raw)), F.initcap(made)).otherwise(made)
     return F.when(kind.isin("phone", "card", "ssn", "iban"), numeric).when(kind.isin("email", "given", "surname"), cased).when(kind == "title", raw).otherwise(made)
 
 
