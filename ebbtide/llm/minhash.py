@@ -14,8 +14,10 @@ from above; classes and pairs whose bound is below the threshold go.
 First come star rounds: in each list of more than one component, every class meets only the
 list's hub (at first the class whose values most classes share, then one chosen by hash);
 collisions are counted by pair, and each class's best partner is confirmed.  This joins large
-groups of near copies with a row per class and coordinate, whatever their size.  Then the
-prefix join over what is still apart: two classes of different components that share at least
+groups of near copies with a row per class and coordinate, whatever their size.  Then come up
+to ``NEAR_ROUNDS`` rounds in which each class that is still apart confirms the partner of
+another component that it shares most coordinates with, so groups about the threshold grow
+together with a pair per class and round.  Last, the prefix join over what is still apart: two classes of different components that share at least
 ``MATCHES`` coordinates share one in the first ``size - MATCHES + 1`` of their postings,
 rarest first (prefix filter).  Lists of more than ``LIST`` classes are dealt out as pairs of
 blocks, so no task holds a whole list.  Within a list, pairs beyond the bound or below the
@@ -58,6 +60,7 @@ PERMUTATIONS = 64
 MATCHES = 28
 SIMILAR = 75  # per cent
 STAR_ROUNDS = 3
+NEAR_ROUNDS = 3
 CELLS = 64
 MOST = 32_767  # shingles that a cell counts
 LIST = 1024
@@ -309,9 +312,20 @@ def _in_blocks(lists: DataFrame) -> DataFrame:
     return met.withColumns({"low": F.least("block", "_other"), "high": F.greatest("block", "_other")}).drop("_other", "rows")
 
 
-def _alike_in_lists(lists: DataFrame) -> DataFrame:
-    """(a, b): pairs of different labels in one list (key, low, high) that share MATCHES
-    coordinates, the list's the first of both masks, and are within the bound."""
+def _prefix_lists(posts: DataFrame, labels: DataFrame) -> DataFrame:
+    """Classes under the keys of their prefixes, in blocks, where lists hold more than one label."""
+    first = f"slice(keys, 1, size(keys) - {MATCHES - 1})"
+    mask = F.expr(f"aggregate({first}, 0L, (acc, k) -> acc | shiftleft(1L, cast(shiftright(k, 32) as int)))")
+    labelled = posts.join(if_small(labels, SMALL_IDS), "id")
+    prefix = labelled.select("id", "n_shingles", "shared", "cells", "signature", mask.alias("mask"), "label", F.explode(F.expr(first)).alias("key"))
+    keys = labelled.select("id", "label", "weight", F.explode(F.expr(first)).alias("key"))
+    return _in_blocks(prefix.join(_mixed_lists(keys, 0).select("key", "rows"), "key"))
+
+
+def _alike_in_lists(lists: DataFrame, nearest: bool = False) -> DataFrame:
+    """(a, b, n): pairs of different labels in one list (key, low, high) that share n coordinates,
+    MATCHES or more, the list's the first of both masks, and are within the bound; ``nearest``:
+    for each a of a list only the b with the largest n."""
     names = ["key", "low", "high", "block", "id", "label", "n_shingles", "shared", "mask"]
 
     def apart(c: dict[str, np.ndarray], first: int, last: int, s: int, e: int) -> tuple[np.ndarray, np.ndarray]:
@@ -325,19 +339,26 @@ def _alike_in_lists(lists: DataFrame) -> DataFrame:
         i, j = np.nonzero(may)
         return i + first, j + s
 
-    def pairs(c: dict[str, np.ndarray], s: int, e: int) -> tuple[np.ndarray, np.ndarray]:
+    def pairs(c: dict[str, np.ndarray], s: int, e: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         i, j = (np.concatenate(x) for x in zip(*(apart(c, at, min(at + 256, e), s, e) for at in range(s, e, 256)), strict=True))
         bits = (c["mask"][s:e, None] >> np.arange(PERMUTATIONS)) & 1 == 1
-        keep = np.zeros(len(i), bool)
+        keep, shared = np.zeros(len(i), bool), np.zeros(len(i), np.int64)
         for at in range(0, len(i), 20_000):
             x, y = i[at : at + 20_000], j[at : at + 20_000]
             same = c["signature"][x] == c["signature"][y]
-            found = np.flatnonzero((same.sum(1) >= MATCHES) & ((same & bits[x - s] & bits[y - s]).argmax(1) == c["key"][s] >> 32))
+            shared[at : at + 20_000] = same.sum(1)
+            found = np.flatnonzero((shared[at : at + 20_000] >= MATCHES) & ((same & bits[x - s] & bits[y - s]).argmax(1) == c["key"][s] >> 32))
             x, y = x[found], y[found]
             least = np.minimum(c["cells"][x], c["cells"][y])
             keep[at + found] = _enough(least.sum(1, dtype=np.int64), c["n_shingles"][x] + c["n_shingles"][y]) | (least == MOST).any(1)
-        a, b = c["id"][i[keep]], c["id"][j[keep]]
-        return np.minimum(a, b), np.maximum(a, b)
+        a, b, n = c["id"][i[keep]], c["id"][j[keep]], shared[keep]
+        if not nearest:
+            return np.minimum(a, b), np.maximum(a, b), n
+        a, b, n = np.concatenate([a, b]), np.concatenate([b, a]), np.concatenate([n, n])
+        order = np.lexsort((b, -n, a))
+        a, b, n = a[order], b[order], n[order]
+        first = np.flatnonzero(np.diff(a, prepend=a[:1] - 1))
+        return a[first], b[first], n[first]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] | None = None
@@ -353,12 +374,12 @@ def _alike_in_lists(lists: DataFrame) -> DataFrame:
             cuts = [0, *(np.flatnonzero(new) + 1).tolist()] + ([len(held["key"])] if batch is None else [])
             made = [pairs(held, s, e) for s, e in zip(cuts, cuts[1:], strict=False) if e - s > 1]
             if made:
-                a, b = (np.concatenate(x) for x in zip(*made, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                columns = [pa.array(np.concatenate(x), pa.int64()) for x in zip(*made, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "n"])
             held = {n: v[cuts[-1] :] for n, v in held.items()}
 
     longs = [F.col(n).cast("long").alias(n) for n in names]
-    return lists.select(*longs, "cells", "signature").repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(run, "a long, b long")
+    return lists.select(*longs, "cells", "signature").repartition("key", "low", "high").sortWithinPartitions("key", "low", "high").mapInArrow(run, "a long, b long, n long")
 
 
 def _and_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
@@ -396,15 +417,26 @@ def labels_of(docs: DataFrame, marks: DataFrame, key: str = "doc_id", column: st
         links = new if links is None else links.unionByName(new)
         labels = _relabelled(labels, new)
 
-    first = f"slice(keys, 1, size(keys) - {MATCHES - 1})"
-    mask = F.expr(f"aggregate({first}, 0L, (acc, k) -> acc | shiftleft(1L, cast(shiftright(k, 32) as int)))")
-    labelled = posts.join(if_small(labels, SMALL_IDS), "id")
-    prefix = labelled.select("id", "n_shingles", "shared", "cells", "signature", mask.alias("mask"), "label", F.explode(F.expr(first)).alias("key"))
-    keys = labelled.select("id", "label", "weight", F.explode(F.expr(first)).alias("key"))
-    apart = _in_blocks(prefix.join(_mixed_lists(keys, 0).select("key", "rows"), "key"))
-    enough = _alike_in_lists(apart).distinct()
+    for _ in range(NEAR_ROUNDS):
+        near = _alike_in_lists(_prefix_lists(posts, labels), nearest=True)
+        near = near.groupBy("a").agg(F.min_by("b", F.struct(-F.col("n"), "b")).alias("b"))
+        near = written(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+        if near.isEmpty():
+            return _joined(labels, links)  # no pair is apart
+        new = written(confirmed(near, texts))
+        if new.isEmpty():
+            break
+        links = links.unionByName(new)
+        labels = _joined(labels, new)
+
+    enough = _alike_in_lists(_prefix_lists(posts, labels)).select("a", "b").distinct()
     new = written(confirmed(enough, texts))
-    joined = components(_between(links.unionByName(new), labels))
+    return _joined(labels, links.unionByName(new))
+
+
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels with those that links join as one, the smallest."""
+    joined = components(_between(links, labels))
     joined = if_small(written(joined.select(F.col("id").alias("label"), F.col("label").alias("low"))), SMALL_IDS)
     return written(labels.join(joined, "label", "left").select("id", F.coalesce("low", "label").alias("label")))
 
