@@ -17,6 +17,9 @@ whatever their names, and count for nothing there.  With ``names=False`` the nam
 ids and elements are not asked at all, and alignment alone decides.  Where a host has none, or a page has less of its text there, the page's
 own text chooses among its article elements, its main element and the whole page.
 
+Names drop less inside an article or region than outside, as ids and classes there are often
+the article's own words (``_says_otherwise``).
+
 What travels between pages is small: per host the most frequent folded tree, and per distinct
 page the hashes of its nodes' texts with their min-hash sketches, keyed by page or text, so a
 host with a third of all pages is no hot spot.  The outcome is one table with a row per host,
@@ -95,6 +98,10 @@ NOT_MAIN = re.compile(
 OWN = re.compile(r"(?:^|[\s_-])(?:headers?|masthead|side|search|forms?|alerts?|notices?|hidden)(?:$|[\s_-])", re.IGNORECASE)
 #: So do blocks of these names that hold a heading.
 OWN_HEADER = re.compile(r"(?:^|[\s_-])(?:headers?|masthead)(?=$|[\s_-])", re.IGNORECASE)
+#: Words of classes that leave no doubt, whatever other words stand beside them.
+CERTAIN = re.compile(r"ads?|adverts?|advertisements?|advertising|sponsored|cookies?|gdpr|newsletters?|sidebars?|navbar|breadcrumbs?|pagination|comments?|disqus", re.IGNORECASE)
+#: Words of layout, which do not tell what a part holds.
+LAYOUT = frozenset("area bar block bottom box button buttons col column container content count fixed float floating group heading icon icons inline inner item items large left link links list main mobile outer page panel post posts reading right row section site slot small stories sticky strip thread title top unit wrap wrapper zone".split())
 NOT_MAIN_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 MAIN = frozenset(("article", "main"))
 HEADINGS = frozenset(("h1", "h2", "h3"))
@@ -404,16 +411,57 @@ def _named_otherwise(node: Node, inside: bool) -> bool:
         return False
     if a.get("role", "").lower() in NOT_MAIN_ROLES or "hidden" in a or a.get("aria-hidden") == "true" or "display:none" in a.get("style", "").replace(" ", "").lower():
         return True
-    names = f"{a.get('class', '')} {a.get('id', '')}"
-    if node.tag in ("html", "body", "main") or not names.strip():
-        return False
-    # twice the gaps, as names share them
-    names = re.sub(r"[\s_-]+", "  ", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", names))
-    if inside and (node.tag in HEADINGS or node.tag in ("header", "hgroup")):
-        names = OWN.sub(" ", names)
-    elif inside and OWN_HEADER.search(names) and _has_heading(node):
-        names = OWN_HEADER.sub(" ", names)
-    return bool(NOT_MAIN.search(names))
+    return node.tag not in ("html", "body", "main") and _says_otherwise(node, inside)
+
+
+def _says_otherwise(node: Node, inside: bool) -> bool:
+    """Whether a class or id names a part that is not main text.
+
+    Outside articles one such word is enough.  Inside, names are also the article's own: an id
+    is often made from a heading ("search-algorithms"; a heading's own id always counts as
+    such), and classes describe figures ("side-by-side").  There a name must consist of such
+    words and of words of layout, or, as a class, hold a certain one; with other words beside
+    them, the part must look like one as well: mostly links, or a form."""
+    a = node.attributes
+    names = [(w, True) for w in a.get("class", "").split()]
+    if not (inside and _is_heading(node)):
+        names += [(w, False) for w in a.get("id", "").split()]
+    own = OWN if inside and (node.tag in HEADINGS or node.tag in ("header", "hgroup")) else None
+    doubtful = False
+    for name, is_class in names:
+        words = [w for w in re.split(r"[_-]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name)) if w]
+        found = {w for w in words if NOT_MAIN.search(w)}
+        if inside and found:
+            if own is None and any(map(OWN_HEADER.search, found)) and _has_heading(node):
+                own = OWN_HEADER
+            found = {w for w in found if not (own and own.search(w))}
+        if not found:
+            continue
+        if not inside or is_class and any(map(CERTAIN.fullmatch, found)) or all(w in found or w.lower() in LAYOUT or w[0].isdigit() for w in words):
+            return True
+        doubtful = True
+    return doubtful and _like_a_menu(node)
+
+
+def _is_heading(node: Node) -> bool:
+    return len(node.tag) == 2 and node.tag[0] == "h" and node.tag[1] in "123456"
+
+
+def _like_a_menu(node: Node) -> bool:
+    """Whether the text below lies mostly in links, or is a form's."""
+    chars = links = 0
+    todo = [(node, False)]
+    while todo:
+        at, linked = todo.pop()
+        for c in at.children:
+            if isinstance(c, str):
+                chars += len(c.strip())
+                links += len(c.strip()) if linked else 0
+            elif c.tag in ("form", "input", "textarea", "select"):
+                return True
+            elif c.tag not in RAW:
+                todo.append((c, linked or c.tag == "a"))
+    return links > LINK_SHARE * chars
 
 
 def _has_heading(node: Node) -> bool:

@@ -28,6 +28,13 @@ def test_markup_rules():
     assert text_of("<div>" * 5000 + "deep") == "deep" and text_of("a<b") == "a"
 
 
+def test_names_of_an_article_are_its_own_words():
+    own = ['<section id="search-algorithms">a</section>', '<div class="side-by-side">b</div>', '<section id="related-work">c</section>', '<div class="form-factor">d</div>', '<h2 id="comments">e</h2>', '<section id="comments-in-code">f</section>']
+    dropped = ['<div class="related-posts">x</div>', '<div id="comments">x</div>', '<div class="user-comments">x</div>', '<div class="share-buttons">x</div>', '<div class="search-results-box"><a>x</a></div>', '<div class="signup-today"><input>x</div>', '<div class="ad-300x250">x</div>', '<div class="my-ad">x</div>']
+    assert text_of(f"<article>{''.join(x + y for x, y in zip(own, dropped, strict=False))}{''.join(dropped)}</article>") == "a b c d e f"
+    assert text_of(f"<body>{''.join(dropped)}<p>text</p>{own[1]}</body>") == "text"
+
+
 def test_tree_matching_keeps_order_and_parents():
     a = wrappers.fold(wrappers._elements([wrappers.parse("<div><p>1</p><p>2</p></div><ul><li>x</ul><div class=z><h1>t</h1></div>")]))
     b = wrappers.from_outline(wrappers.outline(wrappers.fold(wrappers._elements([wrappers.parse("<div><p>1</p></div><div class=z><h1>q</h1></div>")]))))
@@ -210,6 +217,28 @@ def test_near_duplicates_equal_brute_force(spark):
     assert minhash.clustered(df.limit(0)).count() == 0
 
 
+def test_groups_about_the_threshold_send_few_pairs(spark, monkeypatch):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(4000)]
+    base = [rng.choice(words) for _ in range(200)]
+    docs = []
+    for i in range(300):
+        copy = list(base)
+        for _ in range(3):
+            copy[rng.randrange(200)] = rng.choice(words)
+        docs.append((i, " ".join(copy)))
+    sent = []
+
+    def counted(pairs, texts, confirmed=minhash.confirmed):
+        sent.append(pairs.count())
+        return confirmed(pairs, texts)
+
+    monkeypatch.setattr(minhash, "confirmed", counted)
+    got = {r.doc_id: r.component_id for r in minhash.clustered(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == brute(docs)
+    assert sum(sent) < 10 * len(docs), sent
+
+
 def test_components_of_chains(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 102), (50, 100)]
     got = {r.id: r.label for r in minhash.components(spark.createDataFrame(edges, "a long, b long")).collect()}
