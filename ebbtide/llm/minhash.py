@@ -61,6 +61,8 @@ MATCHES = 28
 SIMILAR = 75  # per cent
 STAR_ROUNDS = 3
 NEAR_ROUNDS = 3
+#: Rounds go on while this part of a round's pairs are alike; what is left is for the last join.
+LINKED = 0.25
 CELLS = 64
 MOST = 32_767  # shingles that a cell counts
 LIST = 1024
@@ -424,9 +426,9 @@ def labels_of(docs: DataFrame, marks: DataFrame, key: str = "doc_id", column: st
         if near.isEmpty():
             return _joined(labels, links)  # no pair is apart
         new = written(confirmed(near, texts))
-        if new.isEmpty():
-            break
         links = links.unionByName(new)
+        if new.count() < LINKED * near.count():
+            break  # most are apart: the last join tells them all at once
         labels = _joined(labels, new)
 
     enough = _alike_in_lists(_prefix_lists(posts, labels)).select("a", "b").distinct()
