@@ -270,6 +270,19 @@ def test_toxicity_held_out(spark, toxic_tables):
     assert toxicity.with_scores(docs.limit(0), model).count() == 0
 
 
+def test_toxicity_learns_from_every_labelled_row(spark):
+    ids = spark.range(10400).select(F.col("id").alias("doc_id")).where(~toxicity.held_out(F.col("doc_id")))
+    order = [r.doc_id for r in ids.orderBy(F.xxhash64(F.lit(toxicity.SEED), "doc_id")).collect()]
+    late = set(order[8000:])  # a word that only these rows hold
+    rows = [(i, f"{'blasted' if i in late else 'vile' if i % 10 == 0 else 'fair'} alpha word{i % 50}", "en", int(i in late or i % 10 == 0)) for i in order]
+    all_rows = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    model = toxicity.fitted(all_rows.drop("toxic"), all_rows.select("doc_id", "toxic"))
+    asked = spark.createDataFrame([(1, "blasted alpha word1", "en"), (2, "vile alpha word1", "en"), (3, "fair alpha word1", "en")], "doc_id long, text string, lang string")
+    assert {r.doc_id: r.score >= 0.5 for r in toxicity.with_scores(asked, model).collect()} == {1: True, 2: True, 3: False}
+    small = toxicity.fitted(all_rows.drop("toxic"), all_rows.select("doc_id", "toxic"), shard_rows=1500)  # many shards, the same answers
+    assert {r.doc_id: r.score >= 0.5 for r in toxicity.with_scores(asked, small).collect()} == {1: True, 2: True, 3: False}
+
+
 def test_toxicity_without_labels(spark, toxic_tables):
     docs, labels = toxic_tables
     assert {r.score for r in toxicity.with_scores(docs.limit(3), toxicity.fitted(docs, labels.limit(0))).collect()} == {0.5}
