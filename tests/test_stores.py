@@ -203,3 +203,10 @@ def test_survey_and_defaults(spark, tmp_path):
     files.write_partition(spark.createDataFrame([(2, "x", "2")], "a int, b string, pt string"), str(tmp_path / "t"))
     assert [(r.pt, r.lacks) for r in files.column_survey(spark, str(tmp_path / "t"), ["a", "b", "c"]).collect()] == [("1", ["b", "c"]), ("2", ["c"])]
     assert sorted(tuple(r) for r in files.with_defaults(spark.read.schema("a int, b string").parquet(str(tmp_path / "t")), {"b": "d", "c": 0}).drop("pt").collect()) == [(1, "d", 0), (2, "x", 0)]
+
+
+def test_a_reply_is_parsed_once(spark):
+    made = spark.createDataFrame([('{"normalizable": true}',), ('{"x": 1} 2',), ('{"confidence": 2}',), (None,)], "t string").select(mj.reply_error(F.col("t"), mj.NORMALISATION).alias("e"))
+    assert [r.e for r in made.collect()] == [None, "parse_error", "schema_validation_error", "parse_error"]
+    plan = made._jdf.queryExecution().analyzed().toString()
+    assert plan.count("parse_json") + plan.count("parseJson") <= 2  # within brackets and within braces
