@@ -207,3 +207,14 @@ def test_stream(spark, tmp_path):
     query = stateless.merge_stream(spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/in"), lambda df, _: df.select("info_id", "snippet_recall.has_recall").write.mode("append").parquet(f"{tmp_path}/out"), f"{tmp_path}/ck")
     query.awaitTermination(120)
     assert spark.read.parquet(f"{tmp_path}/out").first().has_recall
+
+
+def test_markdown_sends_python_small_batches(spark):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "10000")
+    try:
+        assert docs.normalised_markdown(spark.createDataFrame([("a",)] * 600, "t string"), "t").where("t = 'a\n'").count() == 600
+        assert int(spark.conf.get(name)) <= docs.BATCH
+    finally:
+        spark.conf.set(name, before)
