@@ -46,28 +46,33 @@ class ReplyStore:
         said = replies.where("reply IS NOT NULL").select("cache_key", "reply", F.current_timestamp().alias("said_at"), F.lit(task).alias("task"))
         said.write.mode("append").partitionBy("task").parquet(f"{self.path}/replies")
 
-    def kept(self, df: DataFrame, name: str) -> DataFrame:
+    def kept(self, df: DataFrame, name: str, *by: str) -> DataFrame:
         """A table of this run's own, written once and read from then on."""
         path = f"{self.path}/requests/{name}-{uuid.uuid4().hex}"
-        df.write.parquet(path)
+        df.write.partitionBy(*by).parquet(path)
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
-    def missing(self, requests: DataFrame, task: str) -> DataFrame:
-        """The (cache_key, request) rows that have no reply yet, each key once."""
-        wanted = requests.where("cache_key IS NOT NULL AND request IS NOT NULL").groupBy("cache_key").agg(F.min("request").alias("request"))
-        return wanted.join(self.read(requests.sparkSession, task), "cache_key", "left_anti")
+    def missing(self, requests: DataFrame, task: str, waves: int = 1) -> DataFrame:
+        """The (cache_key, request, wave) rows that have no reply yet, each key once, in one shuffle by wave and key."""
+        asked = requests.where("cache_key IS NOT NULL AND request IS NOT NULL").select("cache_key", "request", F.lit(False).alias("known"))
+        known = self.read(requests.sparkSession, task).select("cache_key", F.lit(None).cast("string").alias("request"), F.lit(True).alias("known"))
+        both = asked.unionByName(known).withColumn("wave", F.pmod(F.xxhash64("cache_key"), F.lit(waves)).cast("int"))
+        both = both.repartition("wave") if waves > 1 else both
+        return both.groupBy("wave", "cache_key").agg(F.min("request").alias("request"), F.bool_or("known").alias("known")).where("NOT known").select("cache_key", "request", "wave")
 
     def fill(self, requests: DataFrame, task: str, ask: Callable[[int], Callable[[str], str | None]], in_flight: int = 8) -> int:
         """Ask what is missing and store the replies; the number of requests asked.
 
         ``ask(tasks)`` is called in each task, with the number of tasks that run at once, and gives
-        the function that asks the model; it must not raise (null is a failed call).  ``in_flight`` calls of a task run at once."""
+        the function that asks the model; it must not raise (null is a failed call).  ``in_flight`` calls of a task run at once.
+        A wave's requests have a folder of their own, so it reads no others'."""
         spark = requests.sparkSession
-        left = self.kept(self.missing(requests, task), task)
-        n = left.count()
+        keys = requests.where("cache_key IS NOT NULL AND request IS NOT NULL").select("cache_key").distinct()
+        n = keys.join(self.read(spark, task), "cache_key", "left_anti").count()
         waves = math.ceil(n / self.wave)
+        left = self.kept(self.missing(requests, task, waves), task, "wave") if waves else None
         for wave in range(waves):
-            part = left.where(F.pmod(F.xxhash64("cache_key"), F.lit(waves)) == wave)
+            part = left.where(F.col("wave") == wave).drop("wave")
             tasks = max(1, math.ceil(n / waves / self.per_task))
             at_once = min(tasks, spark.sparkContext.defaultParallelism)
 

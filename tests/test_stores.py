@@ -106,6 +106,15 @@ def test_waves_and_tasks_ask_each_key_once(spark, tmp_path):
     assert said == {str(i): f"q{i}!" for i in range(57) if i != 7}
 
 
+def test_a_wave_reads_its_own_requests(spark, tmp_path):
+    store = ReplyStore(f"{tmp_path}/store", per_task=3, wave=10)
+    requests = spark.range(57).select(F.col("id").cast("string").alias("cache_key"), F.concat(F.lit("q"), "id").alias("request"))
+    assert store.fill(requests, "t", lambda _: lambda text: text) == 57
+    (kept,) = (tmp_path / "store/requests").iterdir()
+    assert len([d for d in kept.iterdir() if d.is_dir()]) == 6  # a folder a wave
+    assert store.read(spark, "t").count() == 57
+
+
 def test_templates_from_files(spark, tmp_path):
     (tmp_path / "final_decision_v1.yaml").write_text("system: |\n  Be brief.\nuser: |\n  Say {{payload}}\n")
     (tmp_path / "signal_detection_v2.yaml").write_text("user: x\n")
