@@ -12,7 +12,9 @@ part.  The threshold is the only thing that depends on the language; scores do n
 Training sees every labelled row that is not held out, as whole texts of hashed words, dealt by
 hash into shards of about ``shard_rows``.  Log-odds are counted over all shards; in every epoch
 each shard's task goes on from the common model with its own rows, and the changes are averaged,
-block by block of the parameters, by the number of rows.  Cuts are found on counts of rows by score
+block by block of the parameters, by the number of rows.  Texts cross one shuffle, to their shard,
+where they meet their labels; bitmaps of the labelled ids' hashes keep nearly all other texts out of
+it.  Cuts are found on counts of rows by score
 (log odds to two decimals).  A task holds one shard; the driver gets the parameters (2 MB) and
 those counts.  Scoring is one pass over every text; the weights are broadcast (2 MB, whatever the
 corpus).
@@ -33,7 +35,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbtide.llm.common import table, with_small_batches, written
@@ -50,6 +52,8 @@ SHARD_ROWS = 8000
 EPOCHS = 3
 #: Parameters that are summed in one group, rows set aside (one in so many), and steps of log odds in one.
 BLOCK, ASIDE, STEPS = 8192, 5, 100
+#: Bits of one bitmap, bits for each labelled id, and the most bitmaps broadcast (8 MB).
+BITS, BITS_AN_ID, MOST_BITMAPS = 1 << 15, 8, 2048
 SEED = 7
 FOLDS = 5
 #: Texts made Python strings at a time, and words whose buckets a task remembers.
@@ -273,6 +277,31 @@ def held_out(key: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(key.cast("string")), F.lit(FOLDS)) == 0, F.lit(False))
 
 
+def _marked(docs: DataFrame, known: DataFrame, n: int) -> DataFrame:
+    """The documents whose id's hash is marked by one of the ``n`` known ids: all those known, and few others.
+
+    Past 8 million ids the bitmaps stay as large and let more of the others through."""
+    bitmaps = min(MOST_BITMAPS, math.ceil(n * BITS_AN_ID / BITS))
+    place = F.xxhash64(F.lit(SEED + 2), "doc_id")
+    which, bit = F.pmod(F.shiftright(place, 15), F.lit(bitmaps)), F.pmod(place, F.lit(BITS))
+    marks = known.groupBy(which.alias("_which")).agg(F.bitmap_construct_agg(bit).alias("_marks"))
+    byte = F.conv(F.hex(F.substr("_marks", (F.shiftright(bit, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return docs.join(F.broadcast(marks), (which == F.col("_which")) & (F.getbit(byte, bit % 8) == 1), "left_semi")
+
+
+def _dealt(docs: DataFrame, known: DataFrame, n: int, shards: int, seed: int) -> DataFrame:
+    """(shard, aside, lang, toxic, text) of the known documents, a shard a partition, in order of their places.
+
+    Labels and texts are dealt alike, and a label stands before the texts of its id."""
+    texts = _marked(docs.select("doc_id", "lang", "text").where(~held_out(F.col("doc_id"))), known, n)
+    both = texts.unionByName(known.select("doc_id", F.col("toxic").alias("told")), allowMissingColumns=True)
+    place = F.xxhash64(F.lit(seed), "doc_id")
+    shard = F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(shards)).cast("int")
+    both = both.withColumns({"place": place, "aside": F.pmod(place, F.lit(ASIDE)) == 0, "shard": shard, "mark": F.xxhash64("text")}).repartitionById(shards, "shard")
+    own = Window.partitionBy("shard", "place", "doc_id").orderBy(F.col("told").asc_nulls_last(), "mark").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return both.withColumn("toxic", F.max("told").over(own)).where("told IS NULL AND toxic IS NOT NULL").select("shard", "aside", "lang", "toxic", "text")
+
+
 def _of(batch: pa.RecordBatch) -> list[np.ndarray]:
     return [np.frombuffer(v, "<u2").reshape(-1, PARTS) for v in batch.column("buckets").to_pylist()]
 
@@ -327,18 +356,15 @@ def _trained(rows: DataFrame, n1: int, n0: int, seed: int, epochs: int) -> Model
 def fitted(docs: DataFrame, labels: DataFrame, shard_rows: int = SHARD_ROWS, seed: int = SEED, epochs: int = EPOCHS) -> Model:
     """Train on all labelled documents that are not held out, in shards of about ``shard_rows``."""
     known = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    known = known.groupBy("doc_id").agg((F.max("toxic") > 0).cast("int").alias("toxic"))
-    place = F.xxhash64(F.lit(seed), "doc_id")
-    known = known.withColumns({"place": place, "aside": F.pmod(place, F.lit(ASIDE)) == 0})
+    known = known.groupBy(F.col("doc_id").cast(docs.schema["doc_id"].dataType).alias("doc_id")).agg((F.max("toxic") > 0).cast("int").alias("toxic"))
+    known = known.withColumn("aside", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.lit(ASIDE)) == 0)
     toxic, aside = F.col("toxic") > 0, F.col("aside")
     kinds = [F.count_if(toxic & ~aside), F.count_if(~toxic & ~aside), F.count_if(toxic & aside), F.count_if(~toxic & aside)]
     n1, n0, a1, a0 = docs.select("doc_id").join(known, "doc_id").agg(*kinds).first()
     if not (n1 + a1 and n0 + a0):
         return Model(constant=1.0 if n1 + a1 else 0.0 if n0 + a0 else 0.5)
     shards = math.ceil((n1 + n0 + a1 + a0) / shard_rows)
-    texts = docs.select("doc_id", "lang", "text").join(known, "doc_id").withColumn("shard", F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id"), F.lit(shards)).cast("int"))
-    dealt = texts.repartitionById(shards, "shard").sortWithinPartitions("shard", "place", "doc_id", F.xxhash64("text"))
-    rows = written(buckets_of(dealt.select("shard", "aside", "lang", "toxic", "text")))
+    rows = written(buckets_of(_dealt(docs, known, n1 + n0 + a1 + a0, shards, seed)))
     apart = bool(n1 and n0 and a1 and a0)  # else all rows train, and calibrate
     model = _trained(rows.where(~aside), n1, n0, seed, epochs) if apart else _trained(rows, n1 + a1, n0 + a0, seed, epochs)
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -1,6 +1,7 @@
 """Extraction, mixing, near-duplicates, toxicity, and the pipeline."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -283,6 +284,30 @@ def test_toxicity_learns_from_every_labelled_row(spark):
     assert {r.doc_id: r.score >= 0.5 for r in toxicity.with_scores(asked, small).collect()} == {1: True, 2: True, 3: False}
 
 
+def test_toxicity_moves_labelled_texts_once(spark, monkeypatch):
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.concat(F.lit("word"), F.col("id").cast("string")).alias("text"))
+    docs = docs.union(docs.where("doc_id = 41 OR doc_id = 1999")).union(spark.createDataFrame([(None, "en", "lost")], "doc_id long, lang string, text string"))
+    labels = spark.range(0, 8000, 50).select((F.col("id") + 41).alias("doc_id"), (F.col("id") % 100 == 0).cast("int").alias("toxic"))
+    sent, whole = [], toxicity.buckets_of
+
+    def seen(df, *args):
+        sent.append(df)
+        return whole(df, *args)
+
+    monkeypatch.setattr(toxicity, "buckets_of", seen)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with labels too many to broadcast
+    try:
+        toxicity.fitted(docs, labels, shard_rows=20, epochs=1)
+        plan = sent[0]._jdf.queryExecution().explainString(spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert len(re.findall(r"\) Exchange\nInput \[\d+\]: \[[^\]]*\btext#", plan)) == 1
+    wanted = docs.join(labels, "doc_id").where(~toxicity.held_out(F.col("doc_id"))).select("text", "toxic").collect()
+    assert sorted((r.text, r.toxic) for r in sent[0].collect()) == sorted(tuple(r) for r in wanted)
+    passed = {r.doc_id for r in toxicity._marked(docs, labels, labels.count()).collect()}
+    assert {i for i in range(41, 4000, 50)} <= passed and len(passed) < 400
+
+
 def test_toxicity_without_labels(spark, toxic_tables):
     docs, labels = toxic_tables
     assert {r.score for r in toxicity.with_scores(docs.limit(3), toxicity.fitted(docs, labels.limit(0))).collect()} == {0.5}
