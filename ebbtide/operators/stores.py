@@ -1,7 +1,8 @@
 """The result store as partitioned tables: runs, steps, published records and annotations.
 
-A table is Parquet by ``pt``.  A write merges the partitions that the new rows have, each in one
-shuffle by key, and overwrites those only; other partitions are neither read nor written.
+A table is Parquet by ``pt``.  A write merges the partitions that the new rows have and overwrites
+those only; other partitions are neither read nor written.  Keys alone are counted first; a row whose
+fate is then clear is written where it was read, and of old rows that are replaced only the key moves.
 """
 
 from __future__ import annotations
@@ -20,26 +21,57 @@ from ebbtide.operators.keyed import publish_key
 from ebbtide.sources.files import write_partition
 
 MOST_NOTES = 3
+#: Bits of one bitmap, and the most bitmaps of each of three kinds (6 MB in all).
+BITS, BITMAPS = 1 << 15, 512
+
+
+def _fates(rows: DataFrame, keys: Sequence[str], created: str) -> DataFrame:
+    """Add what is sure of a row's key: ``_alone``, it has this row only; ``_pair``, it has one old row and
+    one new, whose ``created`` is ``_low``; ``_covered``, it has a new row.  Where nothing is sure all three are false.
+
+    Keys are marked by their hashes, in bitmaps of a fixed size that are broadcast, one for each kind
+    of key; every key marks its own kind, so a place with one kind tells that of all keys there."""
+    place = F.xxhash64(*keys)
+    which, bit = F.pmod(F.shiftright(place, 15), F.lit(BITMAPS)), F.pmod(place, F.lit(BITS))
+    new, old = F.count_if("_new").alias("_n"), F.count_if(~F.col("_new")).alias("_o")
+    seen = rows.groupBy(*keys).agg(new, old, F.min(F.when(~F.col("_new"), F.col(created))).alias("_first"))
+    one, two = F.col("_n") + F.col("_o") == 1, (F.col("_n") == 1) & (F.col("_o") == 1)
+    kinds = {"_one": one, "_two": two, "_many": ~(one | two)}
+    first = F.when(two, F.col("_first"))
+    like = F.coalesce(F.min(first) == F.max(first), F.lit(False)) & (F.count(first) == F.count_if(two))
+    maps = seen.groupBy(which.alias("_which")).agg(*[F.bitmap_construct_agg(F.when(c, bit)).alias(f"{k}_marks") for k, c in kinds.items()], F.min(first).alias("_low"), like.alias("_like"))
+    byte = lambda c: F.conv(F.hex(F.substr(c, (F.shiftright(bit, 3) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    joined = rows.join(F.broadcast(maps), which == F.col("_which"), "left")
+    marked = joined.select(*rows.columns, "_low", "_like", *[F.coalesce(F.getbit(byte(f"{k}_marks"), bit % 8) == 1, F.lit(True)).alias(k) for k in kinds])
+    covered = F.col("_two") & ~F.col("_one") & ~F.col("_many")
+    sure = {"_alone": ~F.col("_two") & ~F.col("_many"), "_pair": covered & F.coalesce("_like", F.lit(False)), "_covered": covered}
+    return marked.select(*rows.columns, "_low", *[c.alias(k) for k, c in sure.items()])
 
 
 def upserted(old: DataFrame, new: DataFrame, keys: Sequence[str], now: Column, created: str = "created_at", updated: str = "updated_at", order: Sequence[str] = ()) -> DataFrame:
-    """One row a key, in one shuffle: the new one if there is one, else the old.
+    """One row a key: the new one if there is one, else the old.
 
     Keys may repeat on both sides: the last by ``order`` counts (then any, the same in every
     run).  A new row's ``created`` is the earliest that is stored of its key, ``now`` if there is
-    none; its ``updated`` is ``now``.  Columns that one side lacks are null there; null keys equal each other."""
+    none; its ``updated`` is ``now``.  Columns that one side lacks are null there; null keys equal each other.
+    Both sides are read several times.  Keys are counted, and rows whose key is sure to have no other row, or one
+    old and one new, stay where they are (see ``_fates``); the others meet in one shuffle."""
     if created not in new.columns:
         new = new.withColumn(created, F.lit(None).cast(old.schema[created].dataType if created in old.columns else "timestamp"))
     stamped = new.withColumn(updated, now)
     both = old.withColumn("_new", F.lit(False)).unionByName(stamped.withColumn("_new", F.lit(True)), allowMissingColumns=True)
     names = [c for c in both.columns if c != "_new"]
-    last = F.struct("_new", *order, F.xxhash64(*[F.col(c) for c in names if not isinstance(both.schema[c].dataType, T.MapType)]))
     rest = [c for c in names if c not in keys]
-    row = F.max_by(F.struct("_new", *rest), last).alias("_row")
-    merged = both.groupBy(*keys).agg(row, F.min(F.when(~F.col("_new"), F.col(created))).alias("_created"))
     kind = both.schema[created].dataType
+    both = _fates(both, keys, created)
+    begun = F.when(F.col("_new"), F.coalesce(F.when(F.col("_pair"), F.col("_low")), created, now.cast(kind))).otherwise(F.col(created))
+    alone = both.where(F.col("_alone") | (F.col("_pair") & F.col("_new"))).select(*[(begun if c == created else F.col(c)).alias(c) for c in names])
+    last = F.struct("_new", *order, F.xxhash64(*[F.col(c) for c in names if not isinstance(both.schema[c].dataType, T.MapType)]))
+    row = F.when(F.col("_new") | ~F.col("_covered"), F.struct("_new", *rest))
+    moved = both.where(~F.col("_alone") & ~F.col("_pair")).select(*keys, row.alias("_row"), last.alias("_last"), F.when(~F.col("_new"), F.col(created)).alias("_created"))
+    merged = moved.groupBy(*keys).agg(F.max_by("_row", "_last").alias("_row"), F.min("_created").alias("_created"))
     first = F.when(F.col("_row._new"), F.coalesce("_created", F.col(f"_row.{created}"), now.cast(kind))).otherwise(F.col(f"_row.{created}"))
-    return merged.select(*[F.col(c) if c in keys else (first if c == created else F.col(f"_row.{c}")).alias(c) for c in names])
+    return alone.unionByName(merged.select(*[F.col(c) if c in keys else (first if c == created else F.col(f"_row.{c}")).alias(c) for c in names]))
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -78,7 +78,7 @@ def read_keyed_lines(spark: SparkSession, path: str, schema: T.StructType, key:
 
 def write_partition(df: DataFrame, path: str, by: str = "pt") -> None:
     """Overwrite just the partitions that df has."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(by).parquet(path)
 
 
 def write_keyed_lines(df: DataFrame, path: str, key: str) -> None:

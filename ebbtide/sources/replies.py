@@ -49,7 +49,7 @@ class ReplyStore:
     def kept(self, df: DataFrame, name: str, *by: str) -> DataFrame:
         """A table of this run's own, written once and read from then on."""
         path = f"{self.path}/requests/{name}-{uuid.uuid4().hex}"
-        df.write.partitionBy(*by).parquet(path)
+        df.write.option("compression", "zstd").partitionBy(*by).parquet(path)
         return df.sparkSession.read.schema(df.schema).parquet(path)
 
     def missing(self, requests: DataFrame, task: str, waves: int = 1) -> DataFrame:

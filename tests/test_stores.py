@@ -139,6 +139,57 @@ def test_upserts_touch_their_partitions_only(spark, tmp_path):
     assert got == {("r", "s"): (9, 1, 2), ("r", None): (3, 1, 1), ("n", "s"): (5, 2, 2), ("q", "s"): (4, 1, 1)}
 
 
+def brute_upsert(old, new):
+    """(key, k2) -> (value, created, updated) of rows (key, k2, value, created), by the rules of ``upserted``."""
+    out = {}
+    for side, rows in enumerate((old, new)):
+        for a, b, v, made in rows:
+            out.setdefault((a, b), ([], []))[side].append((v, made))
+    return {k: ((max(n)[0], min(m for _, m in o) if o else "now", "now") if n else (max(o)[0], min(m for _, m in o if m) if max(o)[1] is None else max(o)[1], None)) for k, (o, n) in out.items()}
+
+
+@pytest.mark.parametrize("bitmaps, bits", [(512, 1 << 15), (1, 8)])
+def test_upserts_whatever_the_bitmaps_tell(spark, monkeypatch, bitmaps, bits):
+    monkeypatch.setattr(stores, "BITMAPS", bitmaps)
+    monkeypatch.setattr(stores, "BITS", bits)
+    key = lambda i: (None if i % 50 == 0 else f"k{i}", "s" if i % 3 else None)
+    old = [(*key(i), f"o{i}", f"d{i % 4}") for i in range(100)] + [(*key(i), f"p{i}", "d9") for i in range(0, 100, 9)]
+    new = [(*key(i), f"n{i}", None) for i in range(60, 160)] + [(*key(i), f"m{i}", None) for i in range(60, 160, 7)]
+    make = lambda rows: spark.createDataFrame(rows, "a string, b string, v string, created_at string")
+    merged = stores.upserted(make(old), make(new).drop("created_at"), ["a", "b"], F.lit("now"), order=["v"]).collect()
+    expected = brute_upsert(old, new)
+    assert len(merged) == len(expected) and {(r.a, r.b): (r.v, r.created_at, r.updated_at) for r in merged} == expected
+
+
+def test_rows_of_a_repeated_write_stay_where_they_are(spark, tmp_path, monkeypatch):
+    rows = spark.range(2000).select(F.concat(F.lit("r"), "id").alias("run_id"), F.repeat(F.col("id").cast("string"), F.lit(500)).alias("doc"), (F.col("id") % 2).cast("int").alias("pt"))
+    moved, fates = [], stores._fates
+
+    def seen(*args):
+        found = fates(*args)
+        moved.append(found.where("NOT _alone AND NOT _pair").count())
+        return found
+
+    monkeypatch.setattr(stores, "_fates", seen)
+    for day in ("2026-01-01", "2026-01-02"):
+        stores.upsert(f"{tmp_path}/t", rows, ["run_id"], F.lit(day))
+    assert moved == [0, 0]
+    got = spark.read.parquet(f"{tmp_path}/t").agg(F.count("doc"), F.min("created_at").cast("string"), F.max("created_at").cast("string"), F.min("updated_at").cast("string")).first()
+    assert tuple(got) == (2000, "2026-01-01 00:00:00", "2026-01-01 00:00:00", "2026-01-02 00:00:00")
+
+
+def test_texts_are_kept_once(spark, tmp_path):
+    """Tables of a run hold a row's text once, requests besides."""
+    text = "today " + "".join(chr(0x4E00 + i * 7919 % 20000) for i in range(3000))
+    store = ReplyStore(f"{tmp_path}/store")
+    made = records.run_records(wide(spark, [("a", text)]), client(tmp_path), known(spark), store, records.Settings(lexicon=LEXICON))
+    one = made.first()
+    assert one.raw_wide_row.job_detail == one.wide_row.job_detail == text and one.route == "formal"
+    for kept in (tmp_path / "store/requests").iterdir():
+        row = spark.read.parquet(str(kept)).first()
+        assert str(row.asDict(True)).count(text) == (0 if kept.name.startswith("final_decision") else 1), kept.name
+
+
 def test_a_flipped_route_leaves_one_record(spark):
     fields = "publish_key string, entity_key string, route string, record string, updated_at int"
     published = spark.createDataFrame([("a::s::g", "a", "formal", "1", 1), ("b::s::g", "b", "formal", "2", 1), ("b::s::g::fallback", "b", "fallback", "3", 2), ("c::s::g", "c", "formal", "4", 1)], fields)
